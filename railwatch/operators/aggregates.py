@@ -29,7 +29,7 @@ from railwatch.schemas import AGGREGATE_KEY, FINDING, LEAKAGE, LOOPING, SCORED_G
 from railwatch.settings import DEFAULTS, Settings
 
 SLICES = 256
-_NO_VALUE = "\u0000"  # stands for null inside the job, so that keys join with plain equality
+NO_VALUE = "\u0000"  # stands for null inside the job, so that keys join with plain equality
 
 WINDOW_KEY = (*AGGREGATE_KEY, "windowName", "windowStartMillis")
 
@@ -99,7 +99,7 @@ def _finish(merged: DataFrame) -> DataFrame:
     size = F.col("windowSizeMillis")
     return merged.select(
         F.col("tenant.v").alias("tenantId"),
-        *[F.when(F.col(c) != _NO_VALUE, F.col(c)).alias(c) for c in AGGREGATE_KEY],
+        *[F.when(F.col(c) != NO_VALUE, F.col(c)).alias(c) for c in AGGREGATE_KEY],
         window_name(size).alias("windowName"),
         "windowStartMillis",
         (F.col("windowStartMillis") + size).alias("windowEndMillis"),
@@ -116,15 +116,18 @@ def _finish(merged: DataFrame) -> DataFrame:
     )
 
 
-def value_counts(events: DataFrame, base_ms: int) -> DataFrame:
-    """Partial measures per (key, base window, confidence); mergeable across inputs."""
+def value_counts(events: DataFrame, base_ms: int, window: Column | None = None) -> DataFrame:
+    """Partial measures per (key, base window, confidence); mergeable across inputs.
+
+    A stream passes its own ``window`` column, by which Spark knows when to drop state.
+    """
     keyed = findings(events).withColumns(
-        {c: F.coalesce(F.col(c), F.lit(_NO_VALUE)) for c in AGGREGATE_KEY}
+        {c: F.coalesce(F.col(c), F.lit(NO_VALUE)) for c in AGGREGATE_KEY}
     )
     score = F.when(is_scored(F.col("guardrailName")), F.col("confidence"))
     return keyed.groupBy(
         *AGGREGATE_KEY,
-        window_start(F.col("eventTimeMillis"), base_ms).alias("baseStart"),
+        window_start(F.col("eventTimeMillis"), base_ms).alias("baseStart") if window is None else window,
         score.alias("score"),
     ).agg(*_measures())
 
@@ -194,7 +197,7 @@ def compact_aggregates(events: DataFrame, sizes_ms: Sequence[int]) -> DataFrame:
     """
     sizes = F.explode(F.array(*[F.lit(int(s)).cast("long") for s in sizes_ms]))
     keyed = findings(events).withColumns(
-        {c: F.coalesce(F.col(c), F.lit(_NO_VALUE)) for c in AGGREGATE_KEY}
+        {c: F.coalesce(F.col(c), F.lit(NO_VALUE)) for c in AGGREGATE_KEY}
     ).select("*", sizes.alias("windowSizeMillis"))
     start = window_start(F.col("eventTimeMillis"), F.col("windowSizeMillis"))
     return _finish(
@@ -245,7 +248,7 @@ def quality_metrics(aggregates: DataFrame) -> DataFrame:
 def latest_aggregates(emissions: DataFrame) -> DataFrame:
     """Final revision of every window: of all emissions, the one that saw most events."""
     keyed = emissions.withColumns(
-        {f"__k_{c}": F.coalesce(F.col(c).cast("string"), F.lit(_NO_VALUE)) for c in WINDOW_KEY}
+        {f"__k_{c}": F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)) for c in WINDOW_KEY}
     )
     row = F.struct(*emissions.columns)
     best = keyed.groupBy(*[f"__k_{c}" for c in WINDOW_KEY]).agg(

@@ -26,7 +26,7 @@ from railwatch.schemas import INCIDENT, INCIDENT_FIELDS, PROMPT_INJECTION, SIMIL
 from railwatch.settings import DEFAULTS, CampaignSettings, Settings
 
 CAMPAIGN_KEY = ["tenantId", "agentId", "guardrailName", "embeddingModelVersion"]
-_NO_VALUE = "\u0000"
+NO_VALUE = "\u0000"
 COUNTERS = ("embedded", "evicted", "overflow")
 
 SCANNED = T.StructType(
@@ -39,6 +39,7 @@ SCANNED = T.StructType(
 def embedded_findings(
     events: DataFrame, settings: CampaignSettings = DEFAULTS.campaigns,
     embedder: Callable[[Column], Column] | None = None, guardrail: str = PROMPT_INJECTION,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Evidence-bearing findings with a unit vector.  The filter runs before the embedder."""
     embed = embedder or hash_embedding(settings)
@@ -46,7 +47,7 @@ def embedded_findings(
     chosen = evidence_bearing(events, guardrail).select(
         "tenantId", "agentId", "sessionId", "requestId", "eventTimeMillis", "seq", "guardrailName",
         F.lit(settings.model_version).alias("embeddingModelVersion"),
-        F.substring(trimmed, 1, settings.max_evidence_chars).alias("evidenceSnippet"),
+        F.substring(trimmed, 1, settings.max_evidence_chars).alias("evidenceSnippet"), *keep,
     )
     return chosen.withColumn("embedding", embed(F.col("evidenceSnippet")))
 
@@ -54,7 +55,7 @@ def embedded_findings(
 def _pieces(found: DataFrame, settings: CampaignSettings) -> DataFrame:
     """Add ``piece``: the part of a key between idle times longer than the window."""
     keyed = found.withColumns({
-        "__tenant": F.coalesce(F.col("tenantId"), F.lit(_NO_VALUE)),
+        "__tenant": F.coalesce(F.col("tenantId"), F.lit(NO_VALUE)),
         "__block": F.floor(F.col("eventTimeMillis") / F.lit(settings.window_ms)),
     })
     key = ["__tenant", "agentId", "guardrailName", "embeddingModelVersion"]

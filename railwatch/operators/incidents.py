@@ -27,6 +27,15 @@ from railwatch.settings import DEFAULTS, Settings
 
 SESSION = ["agentId", "sessionId"]
 _GUARDRAILS = {"pi": PROMPT_INJECTION, "tox": TOXICITY, "loop": LOOPING, "leak": LEAKAGE}
+_LISTS = {
+    "requestIds": "requestId", "guardrailNames": "guardrailName",
+    "guardrailVersions": "guardrailVersion", "policyVersions": "policyVersion",
+}
+EMITTED_FIELDS = (
+    *SESSION, "tenantId", "ruleName", "revision", "t", "seq", "first_t", "last_t",
+    *[f"n_{k}" for k in ("all", *_GUARDRAILS)], "max_pi", "max_tox",
+    "win_pi", "win_tox", "winmax_pi", "winmax_tox",
+)
 _RUNNING_START = (Window.unboundedPreceding, Window.currentRow)
 
 
@@ -131,7 +140,7 @@ def session_state(events: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
     none = F.lit(-1.0)
     return scanned.join(carry, [*SESSION, "block"]).select(
         *SESSION, "epoch", "block", "t", "seq", "tenantId", "requestId", "guardrailName", "confidence",
-        F.col("epoch_first_t").alias("first_t"),
+        F.col("epoch_first_t").alias("first_t"), F.col("t").alias("last_t"),
         *[(F.col(f"c_{k}") + F.col(f"l_{k}")).alias(f"n_{k}") for k in ("all", *_GUARDRAILS)],
         *[
             F.coalesce(F.greatest(f"c_max_{k}", f"l_max_{k}"), none).alias(f"max_{k}")
@@ -278,33 +287,36 @@ def session_incidents(
     to the few emitted rows only.
     """
     emitted = emissions(session_state(events, settings), settings).where(F.col("ruleName").isin(*rules))
+    lists = _first_seen(events, session_blocks(events, settings), emitted, settings)
+    until = F.struct(F.col("t").alias("t"), F.col("seq").alias("seq"))
+    listed = {
+        out: F.transform(F.filter(F.col(f"all_{kind}"), lambda x: x["at"] <= until), lambda x: x["value"])
+        for out, kind in _LISTS.items()
+    }
+    complete = emitted.join(lists, [*SESSION, "epoch"], "left").select(
+        *EMITTED_FIELDS, *[c.alias(out) for out, c in listed.items()]
+    )
+    return incident_rows(complete, timeline, settings)
+
+
+def incident_rows(emitted: DataFrame, timeline: DataFrame | None, settings: Settings = DEFAULTS) -> DataFrame:
+    """Incident rows of emissions that carry their lists, judged by the policy in force."""
     if timeline is None:
         ruled = emitted.withColumn("policy", F.lit(None).cast(POLICY))
     else:
         ruled = attach_policy(emitted, timeline)
     limits = thresholds(F.col("policy"), F.col("agentId"))
-    lists = _first_seen(events, session_blocks(events, settings), emitted, settings)
-    until = F.struct(F.col("t").alias("t"), F.col("seq").alias("seq"))
-
-    def listed(kind: str) -> Column:
-        return F.transform(
-            F.filter(F.col(f"all_{kind}"), lambda x: x["at"] <= until), lambda x: x["value"]
-        )
-
     no_texts = F.array().cast("array<string>")
-    incident = ruled.join(lists, [*SESSION, "epoch"], "left").select(
+    incident = ruled.select(
         F.concat_ws("|", "agentId", "sessionId", "ruleName", F.col("first_t").cast("string")).alias("incidentId"),
         "tenantId", "agentId", "sessionId", "ruleName",
         _severity(limits, settings).alias("severity"),
-        listed("requestId").alias("requestIds"),
-        listed("guardrailName").alias("guardrailNames"),
-        listed("guardrailVersion").alias("guardrailVersions"),
-        listed("policyVersion").alias("policyVersions"),
+        *_LISTS,
         no_texts.alias("sessionIds"), no_texts.alias("evidenceSnippets"),
         F.lit(None).cast("string").alias("embeddingModelVersion"),
         limits["appliedPolicyVersion"].alias("appliedPolicyVersion"),
         F.col("first_t").alias("firstEventTimeMillis"),
-        F.col("t").alias("lastEventTimeMillis"),
+        F.col("last_t").alias("lastEventTimeMillis"),
         F.col("t").alias("emittedAtEventTimeMillis"),
         F.col("n_all").alias("triggeredFindingsCount"),
         F.col("revision").alias("emissionRevision"),

@@ -121,21 +121,31 @@ def invalid(parsed: DataFrame) -> DataFrame:
 
 def with_watermark(
     events: DataFrame, settings: Settings = DEFAULTS, shifts: Sequence[int] = SHIFTS,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``watermark``: what was known before the row arrived, null for the first rows.
 
     Newest earlier event time of the same ``(source, partition)`` in arrival order, minus
-    the out-of-orderness bound and one millisecond.
+    the out-of-orderness bound and one millisecond.  ``carry`` holds ``(source, partition,
+    newest)`` of rows that arrived before this input, one row per partition of a source.
     """
     seen = running(
         events, "seq", {"__newest": ("max", "eventTimeMillis")},
         keys=("source", "partition"), inclusive=False, shifts=shifts,
     )
+    if carry is not None:
+        seen = seen.join(carry.select("source", "partition", "newest"), ["source", "partition"], "left")
+        seen = seen.withColumn("__newest", F.greatest("__newest", "newest")).drop("newest")
     return seen.withColumn(
         "watermark", F.col("__newest") - F.lit(settings.out_of_orderness_ms + 1)
     ).drop("__newest")
 
 
+def newest_times(events: DataFrame) -> DataFrame:
+    """Newest event time per partition of a source: the carry for the next input."""
+    return events.groupBy("source", "partition").agg(F.max("eventTimeMillis").alias("newest"))
+
+
 def is_late(settings: Settings = DEFAULTS) -> Column:
     late = F.col("eventTimeMillis") + settings.late_tolerance_ms < F.col("watermark")
     return F.coalesce(late, F.lit(False))

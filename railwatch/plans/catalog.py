@@ -14,7 +14,11 @@ from railwatch.schemas import (
     ARRIVAL, BURST_RULE, EVENT_FIELDS, LEAK_RULE, LOOP_RULE, MIXED_RULE, TOXIC_RULE,
 )
 from railwatch.settings import DEFAULTS, MINUTE_MS
+from railwatch.sources import tables
+from railwatch.sources.staging import new_path
+from railwatch.sources.streams import read_table_stream
 from railwatch.sources.tables import T0_MILLIS
+from railwatch.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -344,3 +348,51 @@ def _(p: Pipeline) -> DataFrame:
         (key % 3 * 100).alias("lag_after_settle"),
         ((key + customer) % 3 * 50).alias("lag_after_recovery"),
     ))
+
+
+# --- streams ------------------------------------------------------------------------------
+# Each runs the stream over everything the source holds, then reads the table it wrote.
+
+
+def _stream_intake(p: Pipeline) -> str:
+    """Run the intake stream over the events file; returns its output folder."""
+    out = new_path(p.spark, "stream")
+    source = read_table_stream(p.spark, p.sf_dir, "events.parquet", p.table("events").schema)
+    jobs.start_intake(tables.raw_events(source), out, p.settings).awaitTermination()
+    return out
+
+
+def _normalized_stream(p: Pipeline, out: str) -> DataFrame:
+    return p.spark.readStream.schema(p.events.schema).parquet(f"{out}/normalized")
+
+
+@query("stream_intake")
+def _(p: Pipeline) -> DataFrame:
+    out = _stream_intake(p)
+    return p.spark.read.parquet(f"{out}/normalized").select(
+        *ARRIVAL, "eventTimeMillis", "eventType", "requestId"
+    )
+
+
+@query("stream_guardrail_agg")
+def _(p: Pipeline) -> DataFrame:
+    out = _stream_intake(p)
+    jobs.start_aggregates(_normalized_stream(p, out), out, p.settings).awaitTermination()
+    emissions = p.spark.read.parquet(f"{out}/aggregates").drop("batch_id")
+    return _rounded(aggregates.latest_aggregates(emissions))
+
+
+@query("stream_session_incidents")
+def _(p: Pipeline) -> DataFrame:
+    out = _stream_intake(p)
+    jobs.start_session_incidents(
+        _normalized_stream(p, out), lambda: p.timeline, out, p.settings
+    ).awaitTermination()
+    return flat(p.spark.read.parquet(f"{out}/incidents").drop("batch_id"))
+
+
+@query("stream_campaigns")
+def _(p: Pipeline) -> DataFrame:
+    out = _stream_intake(p)
+    jobs.start_campaigns(_normalized_stream(p, out), out, p.settings).awaitTermination()
+    return flat(p.spark.read.parquet(f"{out}/campaigns").drop("batch_id"))

@@ -537,3 +537,8 @@ SELECT *, CASE WHEN generator_exit_code <> 0 THEN 'failed'
   WHEN lag_after_recovery > 0 AND lag_after_recovery < lag_after_settle THEN 'still-draining'
   WHEN lag_after_recovery > 0 THEN 'not-recovering'
   WHEN lag_at_end + lag_after_settle > 0 THEN 'recovered' ELSE 'stable' END AS verdict FROM runs"""
+
+# A finished stream has the result of the batch.
+ORACLES["stream_intake"] = ORACLES["on_time_events"]
+ORACLES["stream_guardrail_agg"] = ORACLES["guardrail_agg_all"]
+ORACLES["stream_session_incidents"] = ORACLES["session_incidents"]
