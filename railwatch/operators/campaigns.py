@@ -191,14 +191,12 @@ def nearest_centroid(
     checked = packed.select(
         F.when(F.size("__all") <= limit, F.col("__all"))
         .otherwise(F.raise_error(F.lit(f"more than {limit} centroids"))).alias("__all")
-    )
+    ).scalar()
     own = unit(F.col(vector))
     scored = F.transform("__all", lambda c: F.struct(
         (-F.round(dot(own, c["centroid"]), 9)).alias("distance"), c[name].alias(name)
     ))
-    return vectors.join(F.broadcast(checked), F.lit(True)).withColumn(
-        "__best", F.array_min(scored)
-    ).select(
+    return vectors.withColumn("__all", checked).withColumn("__best", F.array_min(scored)).select(
         *[c for c in vectors.columns if c != vector],
         F.col(f"__best.{name}").alias(f"nearest_{name}"),
         (-F.col("__best.distance")).alias("similarity"),

@@ -20,6 +20,9 @@ BAD_TYPE = "Unsupported eventType: "
 BAD_PAYLOAD = "Parse error: "
 LATE_REASON = "Event is older than current watermark tolerance"
 
+# Fixed value: JSON texts that are well formed but no object; they lack every field.
+NO_OBJECT = r'^\s*(\[|(null|true|false|-?\d+(\.\d+)?([eE][+-]?\d+)?|"[^"\\]*")\s*$)'
+
 
 def _whole(text: Column, kind: str) -> Column:
     """Number from JSON text: fractions truncate, unreadable text is 0, null stays null."""
@@ -74,9 +77,7 @@ def parse(raw: DataFrame) -> DataFrame:
         j("evidenceSnippet").alias("evidenceSnippet"),
         F.col("value").alias("rawPayload"),
         j("eventTime").alias("__time"),
-        # A top-level array is well-formed JSON without fields, not a syntax error.
-        (j(CORRUPT).isNotNull() & ~F.coalesce(F.ltrim(F.col("value")).startswith("["), F.lit(False)))
-        .alias("__broken"),
+        (j(CORRUPT).isNotNull() & ~F.col("value").rlike(NO_OBJECT)).alias("__broken"),
     )
 
     missing = lambda name: F.lit(f"{BAD_TYPE}Missing required field: {name}")

@@ -22,6 +22,14 @@ def _of_window(rows: DataFrame, name: str) -> DataFrame:
     return rows.where(F.col("windowName") == name)
 
 
+def _one_row(*singles: DataFrame) -> DataFrame:
+    """Single rows with different columns put side by side, without a join."""
+    stacked = singles[0]
+    for single in singles[1:]:
+        stacked = stacked.unionByName(single, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def totals(aggregates: DataFrame, window: str = "1m") -> DataFrame:
     """Aggregates, triggered findings, detector errors and events per window."""
     return _of_window(aggregates, window).groupBy("windowStartMillis").agg(
@@ -116,8 +124,7 @@ def intake(parsed: DataFrame, watermarked: DataFrame, settings: Settings = DEFAU
         F.count_if(is_late(settings)).alias("lateEvents"),
         F.count_if(~is_late(settings)).alias("onTimeEvents"),
     )
-    # Both sides are a single row by construction.
-    return checks.join(routes, F.lit(True))
+    return _one_row(checks, routes)
 
 
 def incidents_by_rule(incidents: DataFrame, window_ms: int = 5 * MINUTE_MS) -> DataFrame:
@@ -147,7 +154,7 @@ def policy_updates(parsed: DataFrame, decided: DataFrame) -> DataFrame:
             F.when(F.col("accepted"), F.col("seq")),
         ).alias("lastUpdateEpochMs"),
     )
-    return decisions.join(invalid, F.lit(True))
+    return _one_row(decisions, invalid)
 
 
 def replay_summary(parsed: DataFrame, watermarked: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -166,7 +173,7 @@ def replay_summary(parsed: DataFrame, watermarked: DataFrame, settings: Settings
         ).alias("evidenceBearingInjections"),
     )
     late = watermarked.agg(F.count_if(is_late(settings)).alias("late"))
-    return rows.join(late, F.lit(True))
+    return _one_row(rows, late)
 
 
 def run_verdict(snapshots: DataFrame) -> DataFrame:
