@@ -75,4 +75,13 @@ def cosine(a: Column, b: Column) -> Column:
 def unit(v: Column) -> Column:
     """The vector scaled to length one; null for a zero vector."""
     norm = F.sqrt(dot(v, v))
-    return F.when(norm > 0, F.transform(v, lambda x: x.cast("double") / norm))
+    # The norm enters as an array, so that it is computed once and not once per component.
+    norms = F.array_repeat(norm, F.size(v))
+    return F.when(norm > 0, F.zip_with(v, norms, lambda x, n: x.cast("double") / n))
+
+
+def cosine_to_unit(v: Column, u: Column) -> Column:
+    """Cosine of any vector with a unit vector; null for invalid vectors or unequal sizes."""
+    ok = valid_vector(v) & valid_vector(u) & (F.size(v) == F.size(u))
+    norm = F.sqrt(dot(v, v))
+    return F.when(ok & (norm > 0), dot(v, u) / norm)

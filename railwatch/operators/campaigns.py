@@ -17,9 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from railwatch.functions import cosine
 from railwatch.functions.embedding import hash_embedding
-from railwatch.functions.scalars import dot, unit
+from railwatch.functions.scalars import cosine_to_unit, unit
 from railwatch.operators.clusters import ClusterBook
 from railwatch.operators.intake import evidence_bearing
 from railwatch.schemas import INCIDENT, INCIDENT_FIELDS, PROMPT_INJECTION, SIMILAR_RULE
@@ -175,7 +174,7 @@ def label_centroids(vectors: DataFrame, key: str, vector: str = "embedding") ->
 def centroid_similarity(vectors: DataFrame, centroids: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
     """Cosine of every vector with the centroid of its key."""
     return vectors.join(centroids, key).withColumn(
-        "similarity", cosine(unit(F.col(vector)), F.col("centroid"))
+        "similarity", cosine_to_unit(F.col(vector), F.col("centroid"))
     )
 
 
@@ -192,9 +191,8 @@ def nearest_centroid(
         F.when(F.size("__all") <= limit, F.col("__all"))
         .otherwise(F.raise_error(F.lit(f"more than {limit} centroids"))).alias("__all")
     ).scalar()
-    own = unit(F.col(vector))
     scored = F.transform("__all", lambda c: F.struct(
-        (-F.round(dot(own, c["centroid"]), 9)).alias("distance"), c[name].alias(name)
+        (-F.round(cosine_to_unit(F.col(vector), c["centroid"]), 9)).alias("distance"), c[name].alias(name)
     ))
     return vectors.withColumn("__all", checked).withColumn("__best", F.array_min(scored)).select(
         *[c for c in vectors.columns if c != vector],

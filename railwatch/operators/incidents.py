@@ -279,14 +279,17 @@ def _severity(limits: dict[str, Column], settings: Settings) -> Column:
 
 def session_incidents(
     events: DataFrame, timeline: DataFrame | None = None, settings: Settings = DEFAULTS,
-    rules: tuple[str, ...] = SESSION_RULES,
+    rules: tuple[str, ...] = SESSION_RULES, emitted: DataFrame | None = None,
 ) -> DataFrame:
     """Incident rows of the session rules under the policies of ``timeline``.
 
     Severity depends on the policy, the decision to emit does not, so policies are attached
-    to the few emitted rows only.
+    to the few emitted rows only.  These rows are read several times here: a job passes its
+    staged ``emitted`` table, otherwise they are computed for each use.
     """
-    emitted = emissions(session_state(events, settings), settings).where(F.col("ruleName").isin(*rules))
+    if emitted is None:
+        emitted = emissions(session_state(events, settings), settings)
+    emitted = emitted.where(F.col("ruleName").isin(*rules))
     lists = _first_seen(events, session_blocks(events, settings), emitted, settings)
     until = F.struct(F.col("t").alias("t"), F.col("seq").alias("seq"))
     listed = {

@@ -192,7 +192,7 @@ def _(p: Pipeline) -> DataFrame:
 
 @query("session_state")
 def _(p: Pipeline) -> DataFrame:
-    return incidents.session_state(p.events, p.settings).select(
+    return p.session_state.select(
         "seq", "agentId", "sessionId", F.col("first_t").alias("firstEventTimeMillis"),
         *[f"n_{k}" for k in ("all", "pi", "tox", "loop", "leak")], "max_pi", "max_tox",
         "win_pi", "win_tox", "winmax_pi", "winmax_tox",

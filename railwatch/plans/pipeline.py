@@ -6,6 +6,7 @@ lazy DataFrame.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,8 +38,9 @@ class Pipeline:
     def table(self, name: str) -> DataFrame:
         return tables.table(self.spark, self.sf_dir, name)
 
-    def _staged(self, step: str, build) -> DataFrame:
-        return staged_once(self.spark, f"{self.sf_dir}|{step}|{self.settings}", build)
+    def _staged(self, step: str, build, *settings) -> DataFrame:
+        """One table per step and per the settings that the step depends on."""
+        return staged_once(self.spark, f"{self.sf_dir}|{step}|{settings}", build)
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -51,7 +53,8 @@ class Pipeline:
     @cached_property
     def watermarked(self) -> DataFrame:
         return self._staged(
-            "watermarked", lambda: intake.with_watermark(intake.valid(self.parsed), self.settings)
+            "watermarked", lambda: intake.with_watermark(intake.valid(self.parsed), self.settings),
+            self.settings.out_of_orderness_ms,
         )
 
     @cached_property
@@ -79,15 +82,26 @@ class Pipeline:
     def decided(self) -> DataFrame:
         return self._staged("decided", lambda: policies.decide(
             self.bootstrap.unionByName(self.parsed_policies), self.settings
-        ))
+        ), self.settings.reject_older_policies)
 
     @cached_property
     def timeline(self) -> DataFrame:
         return self.decided.where("accepted").select("seq", "policy")
 
+    @cached_property
+    def session_state(self) -> DataFrame:
+        return self._staged(
+            "state", lambda: incidents.session_state(self.events, self.settings),
+            replace(self.settings, emit_updates=False),
+        )
+
+    @cached_property
+    def emitted(self) -> DataFrame:
+        return self._staged("emitted", lambda: incidents.emissions(self.session_state, self.settings), self.settings)
+
     def incidents(self, *rules: str) -> DataFrame:
         return incidents.session_incidents(
-            self.events, self.timeline, self.settings, rules or SESSION_RULES
+            self.events, self.timeline, self.settings, rules or SESSION_RULES, self.emitted
         )
 
     @cached_property
