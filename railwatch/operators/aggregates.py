@@ -48,15 +48,14 @@ _PERCENTILES = (
 
 
 def _measures() -> list[Column]:
-    """Mergeable partial measures of raw findings."""
+    """Mergeable partial measures of raw findings.
+
+    Numbers only: they fit a hash aggregation, while text or structs would make Spark sort
+    the raw rows first.
+    """
     fired = F.coalesce(F.col("triggered"), F.lit(False))
     name = F.col("guardrailName")
-    tenant = F.when(
-        non_blank(F.col("tenantId")),
-        F.struct(F.col("eventTimeMillis").alias("t"), F.col("seq").alias("s"), F.col("tenantId").alias("v")),
-    )
     return [
-        F.min(tenant).alias("tenant"),
         F.count(F.lit(1)).alias("totalEvents"),
         F.count_if(F.col("eventType") == FINDING).alias("guardrailFindingCount"),
         F.count_if(fired).alias("triggeredCount"),
@@ -83,13 +82,15 @@ _SUMMED = (
     "systemPromptLeakageTriggeredCount", "inputTokens", "outputTokens", "detectorErrorCount",
     "latencyCount", "latencySum", "confidenceCount", "confidenceSum",
 )
-_LEAST = ("tenant", "minDetectorLatencyMs", "minConfidence")
+_LEAST = ("minDetectorLatencyMs", "minConfidence")
 _GREATEST = ("latestEventTimeMillis", "maxDetectorLatencyMs", "maxConfidence")
 
 
 def _merged() -> list[Column]:
+    # The tenant of a window is the first that arrived.
+    first = F.min(F.when(F.col("tenant") != NO_VALUE, F.struct("firstSeq", "tenant")))["tenant"]
     return (
-        [F.sum(c).alias(c) for c in _SUMMED]
+        [first.alias("tenantId")] + [F.sum(c).alias(c) for c in _SUMMED]
         + [F.min(c).alias(c) for c in _LEAST]
         + [F.max(c).alias(c) for c in _GREATEST]
     )
@@ -98,7 +99,7 @@ def _merged() -> list[Column]:
 def _finish(merged: DataFrame) -> DataFrame:
     size = F.col("windowSizeMillis")
     return merged.select(
-        F.col("tenant.v").alias("tenantId"),
+        "tenantId",
         *[F.when(F.col(c) != NO_VALUE, F.col(c)).alias(c) for c in AGGREGATE_KEY],
         window_name(size).alias("windowName"),
         "windowStartMillis",
@@ -116,20 +117,27 @@ def _finish(merged: DataFrame) -> DataFrame:
     )
 
 
+def _keyed(events: DataFrame) -> DataFrame:
+    """Findings with a key that has no nulls, and the tenant where one is named."""
+    keyed = findings(events).withColumns(
+        {c: F.coalesce(F.col(c), F.lit(NO_VALUE)) for c in AGGREGATE_KEY}
+    )
+    named = F.when(non_blank(F.col("tenantId")), F.col("tenantId")).otherwise(F.lit(NO_VALUE))
+    return keyed.withColumn("tenant", named)
+
+
 def value_counts(events: DataFrame, base_ms: int, window: Column | None = None) -> DataFrame:
-    """Partial measures per (key, base window, confidence); mergeable across inputs.
+    """Partial measures per (key, base window, confidence, tenant); mergeable across inputs.
 
     A stream passes its own ``window`` column, by which Spark knows when to drop state.
     """
-    keyed = findings(events).withColumns(
-        {c: F.coalesce(F.col(c), F.lit(NO_VALUE)) for c in AGGREGATE_KEY}
-    )
+    keyed = _keyed(events)
     score = F.when(is_scored(F.col("guardrailName")), F.col("confidence"))
     return keyed.groupBy(
         *AGGREGATE_KEY,
         window_start(F.col("eventTimeMillis"), base_ms).alias("baseStart") if window is None else window,
-        score.alias("score"),
-    ).agg(*_measures())
+        score.alias("score"), "tenant",
+    ).agg(F.min("seq").alias("firstSeq"), *_measures())
 
 
 def aggregate_value_counts(
@@ -196,13 +204,12 @@ def compact_aggregates(events: DataFrame, sizes_ms: Sequence[int]) -> DataFrame:
     For windows of a bounded number of distinct confidences, and for streams.
     """
     sizes = F.explode(F.array(*[F.lit(int(s)).cast("long") for s in sizes_ms]))
-    keyed = findings(events).withColumns(
-        {c: F.coalesce(F.col(c), F.lit(NO_VALUE)) for c in AGGREGATE_KEY}
-    ).select("*", sizes.alias("windowSizeMillis"))
+    keyed = _keyed(events).select("*", sizes.alias("windowSizeMillis"))
     start = window_start(F.col("eventTimeMillis"), F.col("windowSizeMillis"))
+    first = F.min(F.when(F.col("tenant") != NO_VALUE, F.struct("seq", "tenant")))["tenant"]
     return _finish(
         keyed.groupBy(*AGGREGATE_KEY, "windowSizeMillis", start.alias("windowStartMillis"))
-        .agg(*_measures(), *value_map_percentiles())
+        .agg(first.alias("tenantId"), *_measures(), *value_map_percentiles())
     )
 
 

@@ -139,7 +139,8 @@ def session_state(events: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
     )
     none = F.lit(-1.0)
     return scanned.join(carry, [*SESSION, "block"]).select(
-        *SESSION, "epoch", "block", "t", "seq", "tenantId", "requestId", "guardrailName", "confidence",
+        *SESSION, "epoch", "block", "t", "seq", "tenantId", "requestId", "guardrailName",
+        "guardrailVersion", "policyVersion", "confidence",
         F.col("epoch_first_t").alias("first_t"), F.col("t").alias("last_t"),
         *[(F.col(f"c_{k}") + F.col(f"l_{k}")).alias(f"n_{k}") for k in ("all", *_GUARDRAILS)],
         *[
@@ -210,22 +211,21 @@ def emissions(state: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     return emitted.withColumn("rule_rank", rank[F.col("ruleName")])
 
 
-def _first_seen(events: DataFrame, blocks: DataFrame, emitted: DataFrame, settings: Settings) -> DataFrame:
-    """Per emitting epoch, the distinct values of four columns in first-seen order.
+def first_seen_lists(state: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Per epoch, the distinct values of four columns in first-seen order, with their rank.
 
-    Request ids are cut to the tracked number, which is a fixed property of the incident
-    (later ids are never recorded); the other lists are complete.
+    The order key is ``n_all``, the place of a finding in its epoch.  Request ids are cut to
+    the tracked number, which is a fixed property of the incident (later ids are never
+    recorded); the other lists are complete.
     """
-    last = emitted.groupBy(*SESSION, "epoch").agg(F.max("t").alias("until"))
-    spans = blocks.select(*SESSION, "block", "epoch").join(last, [*SESSION, "epoch"])
-    rows = _blocked(events, settings).join(spans, [*SESSION, "block"]).where(F.col("t") <= F.col("until"))
-    kinds = ("requestId", "guardrailName", "guardrailVersion", "policyVersion")
-    values = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in kinds]))
+    values = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in _LISTS.values()
+    ]))
     seen = (
-        rows.select(*SESSION, "epoch", "t", "seq", values.alias("v"))
+        state.select(*SESSION, "epoch", "n_all", values.alias("v"))
         .where(non_blank(F.col("v.value")))
         .groupBy(*SESSION, "epoch", F.col("v.kind").alias("kind"), F.col("v.value").alias("value"))
-        .agg(F.min(F.struct("t", "seq")).alias("at"))
+        .agg(F.min("n_all").alias("at"))
     )
     # The rank limit is applied inside each task before the shuffle as well.
     ranked = seen.where(F.col("kind") == "requestId").withColumn(
@@ -234,7 +234,7 @@ def _first_seen(events: DataFrame, blocks: DataFrame, emitted: DataFrame, settin
     kept = ranked.unionByName(seen.where(F.col("kind") != "requestId"))
     item = F.struct("at", "value")
     return kept.groupBy(*SESSION, "epoch").agg(*[
-        F.sort_array(F.collect_list(F.when(F.col("kind") == k, item))).alias(f"all_{k}") for k in kinds
+        F.sort_array(F.collect_list(F.when(F.col("kind") == k, item))).alias(f"all_{k}") for k in _LISTS.values()
     ])
 
 
@@ -279,21 +279,25 @@ def _severity(limits: dict[str, Column], settings: Settings) -> Column:
 
 def session_incidents(
     events: DataFrame, timeline: DataFrame | None = None, settings: Settings = DEFAULTS,
-    rules: tuple[str, ...] = SESSION_RULES, emitted: DataFrame | None = None,
+    rules: tuple[str, ...] = SESSION_RULES, state: DataFrame | None = None,
+    emitted: DataFrame | None = None,
 ) -> DataFrame:
     """Incident rows of the session rules under the policies of ``timeline``.
 
     Severity depends on the policy, the decision to emit does not, so policies are attached
-    to the few emitted rows only.  These rows are read several times here: a job passes its
-    staged ``emitted`` table, otherwise they are computed for each use.
+    to the few emitted rows only.  ``state`` and ``emitted`` are read several times here: a
+    job passes its staged tables, otherwise they are computed for each use.
     """
+    if state is None:
+        state = session_state(events, settings)
     if emitted is None:
-        emitted = emissions(session_state(events, settings), settings)
+        emitted = emissions(state, settings)
     emitted = emitted.where(F.col("ruleName").isin(*rules))
-    lists = _first_seen(events, session_blocks(events, settings), emitted, settings)
-    until = F.struct(F.col("t").alias("t"), F.col("seq").alias("seq"))
+    lists = first_seen_lists(state, settings)
     listed = {
-        out: F.transform(F.filter(F.col(f"all_{kind}"), lambda x: x["at"] <= until), lambda x: x["value"])
+        out: F.transform(
+            F.filter(F.col(f"all_{kind}"), lambda x: x["at"] <= F.col("n_all")), lambda x: x["value"]
+        )
         for out, kind in _LISTS.items()
     }
     complete = emitted.join(lists, [*SESSION, "epoch"], "left").select(

@@ -228,7 +228,7 @@ def attach_policy(rows: DataFrame, timeline: DataFrame) -> DataFrame:
         "policy",
     )
     carried = running(
-        left.unionByName(right), slot, {"__applied": ("last", "policy")}, shifts=(_SHIFTS[0] - 3,)
+        left.unionByName(right), slot, {"__applied": ("last", "policy")}, shifts=_SHIFTS
     )
     return carried.where(F.col("__row").isNotNull()).select("__row.*", F.col("__applied").alias("policy"))
 

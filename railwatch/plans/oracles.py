@@ -118,7 +118,7 @@ def _agg(sizes: str = "(60000), (300000)", source: str = "ev", name: str = "agg"
     )
     key = '"agentId", "guardrailName", "guardrailVersion", "policyVersion", "modelName"'
     return f"""{name} AS (
-  SELECT first("tenantId" ORDER BY "eventTimeMillis", seq) AS "tenantId", {key},
+  SELECT first("tenantId" ORDER BY seq) AS "tenantId", {key},
     CASE size WHEN 60000 THEN '1m' ELSE '5m' END AS "windowName",
     "eventTimeMillis" // size * size AS "windowStartMillis",
     "eventTimeMillis" // size * size + size AS "windowEndMillis",

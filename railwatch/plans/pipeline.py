@@ -16,7 +16,7 @@ from railwatch.operators import aggregates, campaigns, incidents, intake, polici
 from railwatch.schemas import INCIDENT, POLICY_SECTIONS, SESSION_RULES
 from railwatch.settings import DEFAULTS, Settings
 from railwatch.sources import tables
-from railwatch.sources.staging import staged_once
+from railwatch.sources.staging import ship_package, staged_once
 
 # Fixed values of the derivation: the policy in force before any update.
 BOOTSTRAP = {
@@ -34,6 +34,7 @@ class Pipeline:
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = DEFAULTS):
         self.spark, self.sf_dir, self.settings = spark, sf_dir.rstrip("/"), settings
+        ship_package(spark)
 
     def table(self, name: str) -> DataFrame:
         return tables.table(self.spark, self.sf_dir, name)
@@ -101,7 +102,8 @@ class Pipeline:
 
     def incidents(self, *rules: str) -> DataFrame:
         return incidents.session_incidents(
-            self.events, self.timeline, self.settings, rules or SESSION_RULES, self.emitted
+            self.events, self.timeline, self.settings, rules or SESSION_RULES, self.session_state,
+            self.emitted,
         )
 
     @cached_property

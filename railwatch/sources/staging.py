@@ -7,14 +7,17 @@ lineage, survives the loss of executors, and lets later steps read only their co
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _written: dict[tuple[str, str], str] = {}
 _own_folder: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,3 +57,16 @@ def staged_once(spark: SparkSession, key: str, build) -> DataFrame:
         build().write.parquet(path)
         _written[slot] = path
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors of a cluster this package, which their Python workers import."""
+    context = spark.sparkContext
+    if context.master.startswith("local") or context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='railwatch-')}/railwatch", "zip", root, "railwatch"
+    )
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)

@@ -128,7 +128,7 @@ def start_aggregates(
 
 def latest_value_counts(rows: DataFrame) -> DataFrame:
     """Newest revision of every partial measure row."""
-    key = [*AGGREGATE_KEY, "baseStart", "score"]
+    key = [*AGGREGATE_KEY, "baseStart", "score", "tenant"]
     values = [c for c in rows.columns if c not in (*key, "batch_id")]
     newest = F.max_by(F.struct(*values), "batch_id").alias("v")
     return rows.groupBy(*key).agg(newest).select(*key, "v.*")
