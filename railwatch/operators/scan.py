@@ -53,23 +53,26 @@ def running(
     keys: Sequence[str] = (),
     inclusive: bool = True,
     shifts: Sequence[int] = SHIFTS,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add running values: ``{out: (kind, column)}``, kind in ``sum``, ``max``, ``last``.
 
-    ``order`` is a non-null integer, unique inside ``keys``; ``keys`` are non-null.
+    ``order`` is a non-null integer; rows of equal ``order`` are placed by ``ties``.
+    ``keys`` are non-null.
     ``last`` carries the latest non-null value forward.  ``inclusive=False`` looks at
     earlier rows only.
     """
     end = 0 if inclusive else -1
     if not shifts:
         # Top level: one row per key and widest bucket.
-        window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+        window = Window.partitionBy(*keys).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, end)
         return df.withColumns({out: _over(k, F.col(c), window) for out, (k, c) in values.items()})
 
     bucket = f"__bucket{len(shifts)}"
     cut = df.withColumn(bucket, F.shiftright(F.col(order).cast("long"), shifts[0]))
+    place = F.struct(order, *ties) if ties else F.col(order)
     totals = cut.groupBy(*keys, bucket).agg(
-        *[_total(k, F.col(c), F.col(order)).alias(f"__t_{out}") for out, (k, c) in values.items()]
+        *[_total(k, F.col(c), place).alias(f"__t_{out}") for out, (k, c) in values.items()]
     )
     carried = running(
         totals, bucket, {f"__c_{out}": (k, f"__t_{out}") for out, (k, _) in values.items()},
@@ -77,7 +80,7 @@ def running(
     ).select(*keys, bucket, *[f"__c_{out}" for out in values])
 
     window = (
-        Window.partitionBy(*keys, bucket).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+        Window.partitionBy(*keys, bucket).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, end)
     )
     local = cut.withColumns({f"__l_{out}": _over(k, F.col(c), window) for out, (k, c) in values.items()})
     joined = local.join(carried, [*keys, bucket], "left")

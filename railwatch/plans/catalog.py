@@ -8,7 +8,9 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railwatch.operators import aggregates, campaigns, incidents, intake, policies, reports
+from railwatch.operators import (
+    aggregates, campaigns, correlation, incidents, intake, policies, reports, review,
+)
 from railwatch.plans.pipeline import Pipeline, flat
 from railwatch.schemas import (
     ARRIVAL, BURST_RULE, EVENT_FIELDS, LEAK_RULE, LOOP_RULE, MIXED_RULE, TOXIC_RULE,
@@ -350,6 +352,89 @@ def _(p: Pipeline) -> DataFrame:
     ))
 
 
+# --- specified correlations and reviews ---------------------------------------------------
+
+
+@query("findings_around_requests")
+def _(p: Pipeline) -> DataFrame:
+    return correlation.findings_around_requests(p.events)
+
+
+@query("request_correlation")
+def _(p: Pipeline) -> DataFrame:
+    """Events of one session minute stand for one request."""
+    minute = F.concat(F.lit("minute-"), F.floor(F.col("eventTimeMillis") / MINUTE_MS).cast("string"))
+    return correlation.requests(p.events.withColumn("requestId", minute))
+
+
+@query("enriched_findings")
+def _(p: Pipeline) -> DataFrame:
+    """Nations stand for the owners of agents, regions for their criticality."""
+    registry = p.table("nation").join(
+        p.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
+    ).select(
+        F.concat(F.lit("agent-"), F.col("n_nationkey").cast("string")).alias("agentId"),
+        F.col("n_name").alias("owner"), F.col("r_name").alias("criticality"),
+    )
+    return correlation.enriched(intake.findings(p.events), registry).select(
+        "seq", "agentId", "guardrailName", "owner", "criticality"
+    )
+
+
+@query("escalations")
+def _(p: Pipeline) -> DataFrame:
+    return correlation.escalations(p.events, 0.5, 350, 10 * MINUTE_MS)
+
+
+@query("finding_severity")
+def _(p: Pipeline) -> DataFrame:
+    return review.with_severity(p.events).select("seq", "guardrailName", "severity")
+
+
+@query("affected_sessions")
+def _(p: Pipeline) -> DataFrame:
+    return review.affected_sessions(p.events, 5 * MINUTE_MS)
+
+
+@query("slice_rollup")
+def _(p: Pipeline) -> DataFrame:
+    return review.slices(p.events, ("tenantId", "agentId", "modelName", "sessionId"))
+
+
+@query("latency_by_version")
+def _(p: Pipeline) -> DataFrame:
+    return review.latency_by_version(p.events)
+
+
+@query("incidents_by_version")
+def _(p: Pipeline) -> DataFrame:
+    return review.incidents_by_version(p.incidents())
+
+
+@query("suppressed_incidents", emit_updates=True)
+def _(p: Pipeline) -> DataFrame:
+    return review.suppressed(p.incidents()).select(
+        "incidentId", "ruleName", "emissionRevision", "emittedAtEventTimeMillis", "duplicate", "overLimit"
+    )
+
+
+@query("audit_sample")
+def _(p: Pipeline) -> DataFrame:
+    return review.audit_sample(p.events).select("seq", "requestId", "inclusionProbability")
+
+
+@query("detector_quality")
+def _(p: Pipeline) -> DataFrame:
+    """Document labels stand for verdicts on the toxicity findings of the same number."""
+    judged = intake.findings(p.events).where(F.col("guardrailName") == "TOXICITY").join(
+        p.table("labels"), F.col("seq") == F.col("doc_id")
+    )
+    return _rounded(review.detector_quality(judged.select(
+        "guardrailName", F.col("triggered").alias("detected"), (F.col("toxic") == 1).alias("label"),
+        F.when(F.col("quality") == 1, 0.5).otherwise(0.25).alias("probability"),
+    )))
+
+
 # --- streams ------------------------------------------------------------------------------
 # Each runs the stream over everything the source holds, then reads the table it wrote.
 

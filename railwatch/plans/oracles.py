@@ -538,6 +538,104 @@ SELECT *, CASE WHEN generator_exit_code <> 0 THEN 'failed'
   WHEN lag_after_recovery > 0 THEN 'not-recovering'
   WHEN lag_at_end + lag_after_settle > 0 THEN 'recovered' ELSE 'stable' END AS verdict FROM runs"""
 
+# --- specified correlations and reviews ---------------------------------------------------
+
+ORACLES["findings_around_requests"] = f"""WITH {ROUTED}
+SELECT r."agentId", r."sessionId", r."requestId", r."eventTimeMillis", count(f.seq) AS findings,
+  count(f.seq) FILTER (WHERE f.triggered) AS "triggeredFindings"
+FROM ev r LEFT JOIN ev f ON f."eventType" = 'GUARDRAIL_FINDING' AND f."agentId" = r."agentId"
+  AND f."sessionId" = r."sessionId"
+  AND f."eventTimeMillis" BETWEEN r."eventTimeMillis" - 2000 AND r."eventTimeMillis" + 30000
+WHERE r."eventType" = 'AGENT_REQUEST' GROUP BY 1, 2, 3, 4"""
+ORACLES["request_correlation"] = f"""WITH {ROUTED}, grouped AS (
+  SELECT "agentId", "sessionId", 'minute-' || ("eventTimeMillis" // 60000) AS "requestId",
+    count(*) FILTER (WHERE "eventType" = 'AGENT_REQUEST') AS requests,
+    count(*) FILTER (WHERE "eventType" = 'AGENT_RESPONSE') AS responses,
+    count(*) FILTER (WHERE "eventType" = 'GUARDRAIL_FINDING') AS findings,
+    count(DISTINCT "guardrailName") FILTER (WHERE "eventType" = 'GUARDRAIL_FINDING' AND triggered)
+      AS "firedGuardrails",
+    max(confidence) FILTER (WHERE "eventType" = 'GUARDRAIL_FINDING') AS "maxConfidence",
+    min("eventTimeMillis") AS "firstEventTimeMillis", max("eventTimeMillis") AS "lastEventTimeMillis"
+  FROM ev GROUP BY 1, 2, 3)
+SELECT *, "firedGuardrails" >= 2 AS "multiSignal" FROM grouped"""
+ORACLES["enriched_findings"] = f"""WITH {ROUTED}
+SELECT seq, "agentId", "guardrailName", n_name AS owner, r_name AS criticality
+FROM ev LEFT JOIN nation ON "agentId" = 'agent-' || n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
+WHERE "eventType" = 'GUARDRAIL_FINDING'"""
+# Here every sequence is formed and the latest start is taken.
+ORACLES["escalations"] = f"""WITH {ROUTED}, e AS (
+  SELECT *, "eventTimeMillis" AS t,
+    triggered AND "guardrailName" = 'PROMPT_INJECTION' AND confidence >= 0.5 AS injection,
+    triggered AND "guardrailName" = 'SYSTEM_PROMPT_LEAKAGE' AS leak FROM ev
+), pairs AS (
+  SELECT b."agentId", b."sessionId", b.t, b.seq, a.t AS start FROM e a JOIN e b
+    ON a.injection AND b.injection AND a."agentId" = b."agentId" AND a."sessionId" = b."sessionId"
+    AND (a.t, a.seq) < (b.t, b.seq) AND b.t - a.t <= 600000
+), leaks AS (
+  SELECT l."agentId", l."sessionId", l.t, l.seq, max(p.start) AS start FROM pairs p JOIN e l
+    ON l.leak AND p."agentId" = l."agentId" AND p."sessionId" = l."sessionId"
+    AND (p.t, p.seq) < (l.t, l.seq) AND l.t - p.start <= 600000 GROUP BY 1, 2, 3, 4
+)
+SELECT h."agentId", h."sessionId", h."requestId", max(l.start) AS "startMillis", h.t AS "eventTimeMillis",
+  h."outputTokens"
+FROM leaks l JOIN e h ON h."outputTokens" >= 350 AND l."agentId" = h."agentId" AND l."sessionId" = h."sessionId"
+  AND (l.t, l.seq) < (h.t, h.seq) AND h.t - l.start <= 600000
+GROUP BY h."agentId", h."sessionId", h."requestId", h."outputTokens", h.t"""
+ORACLES["finding_severity"] = f"""WITH {ROUTED}
+SELECT seq, "guardrailName", CASE
+  WHEN "guardrailName" = 'PROMPT_INJECTION' THEN
+    CASE WHEN confidence >= 0.9 THEN 'CRITICAL' WHEN confidence >= 0.75 THEN 'HIGH'
+         WHEN confidence >= 0.55 THEN 'MEDIUM' ELSE 'LOW' END
+  WHEN "guardrailName" = 'TOXICITY' THEN
+    CASE WHEN confidence >= 0.9 THEN 'HIGH' WHEN confidence >= 0.7 THEN 'MEDIUM' ELSE 'LOW' END
+  WHEN "guardrailName" = 'LOOPING' AND triggered THEN 'MEDIUM'
+  WHEN "guardrailName" = 'SYSTEM_PROMPT_LEAKAGE' AND triggered THEN 'CRITICAL' ELSE 'LOW' END AS severity
+FROM ev WHERE "eventType" = 'GUARDRAIL_FINDING'"""
+ORACLES["affected_sessions"] = f"""WITH {ROUTED}
+SELECT "agentId", "eventTimeMillis" // 300000 * 300000 AS "windowStartMillis",
+  count(DISTINCT "sessionId") FILTER (WHERE triggered) AS "affectedSessions"
+FROM ev WHERE "eventType" = 'GUARDRAIL_FINDING' GROUP BY 1, 2"""
+ORACLES["slice_rollup"] = f"""WITH {ROUTED}
+SELECT "tenantId", "agentId", "modelName", "sessionId", count(*) AS findings,
+  count(*) FILTER (WHERE triggered) AS triggered, CAST(sum("outputTokens") AS BIGINT) AS "outputTokens"
+FROM ev WHERE "eventType" = 'GUARDRAIL_FINDING' GROUP BY ROLLUP ("tenantId", "agentId", "modelName", "sessionId")"""
+ORACLES["latency_by_version"] = f"""WITH {ROUTED}
+SELECT "guardrailName", "guardrailVersion", count(*) AS findings,
+  quantile_disc("detectorLatencyMs", 0.95) AS "latencyMs", max("detectorLatencyMs") AS "maxLatencyMs"
+FROM ev WHERE "eventType" = 'GUARDRAIL_FINDING' GROUP BY 1, 2"""
+ORACLES["incidents_by_version"] = f"""{_R} {INCIDENTS}
+SELECT "agentId", "ruleName", v AS "guardrailVersion", count(*) AS incidents
+FROM (SELECT *, unnest(string_split("guardrailVersions", ',')) AS v FROM incidents) GROUP BY 1, 2, 3"""
+ORACLES["suppressed_incidents"] = f"""{_R} {UPDATES}, lagged AS (
+  SELECT *, coalesce("emittedAtEventTimeMillis" - lag("emittedAtEventTimeMillis") OVER (
+      PARTITION BY "agentId", "sessionId", "ruleName" ORDER BY "emittedAtEventTimeMillis", "emissionRevision",
+      "firstEventTimeMillis") <= 180000, false) AS duplicate
+  FROM incidents
+), kept AS (
+  SELECT *, sum(CASE WHEN duplicate THEN 0 ELSE 1 END) OVER (
+      PARTITION BY "agentId", "sessionId", "firstEventTimeMillis"
+      ORDER BY "emittedAtEventTimeMillis", "ruleName", "emissionRevision" ROWS UNBOUNDED PRECEDING) AS n
+  FROM lagged
+)
+SELECT "incidentId", "ruleName", "emissionRevision", "emittedAtEventTimeMillis", duplicate,
+  NOT duplicate AND n > 3 AS "overLimit" FROM kept"""
+ORACLES["audit_sample"] = f"""WITH {ROUTED}
+SELECT seq, "requestId", 0.1::DOUBLE AS "inclusionProbability" FROM ev
+WHERE CAST('0x' || md5("requestId")[1:8] AS BIGINT) % 1000 < 100"""
+ORACLES["detector_quality"] = f"""WITH {ROUTED}, judged AS (
+  SELECT triggered AS d, toxic = 1 AS l, CASE WHEN quality = 1 THEN 2.0 ELSE 4.0 END::DOUBLE AS w
+  FROM ev JOIN labels ON seq = doc_id WHERE "eventType" = 'GUARDRAIL_FINDING' AND "guardrailName" = 'TOXICITY'
+), cells AS (
+  SELECT count(*) AS judged, coalesce(sum(w) FILTER (WHERE d AND l), 0) AS tp,
+    coalesce(sum(w) FILTER (WHERE d AND NOT l), 0) AS fp, coalesce(sum(w) FILTER (WHERE NOT d AND l), 0) AS fn,
+    coalesce(sum(w) FILTER (WHERE NOT d AND NOT l), 0) AS tn FROM judged
+)
+SELECT 'TOXICITY' AS "guardrailName", *,
+  CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 9) ELSE 0 END AS precision,
+  CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 9) ELSE 0 END AS recall,
+  CASE WHEN fp + tn > 0 THEN round(fp / (fp + tn), 9) ELSE 0 END AS "falsePositiveRate",
+  round((fp + fn) / (tp + fp + fn + tn), 9) AS "disagreementRate" FROM cells"""
+
 # A finished stream has the result of the batch.
 ORACLES["stream_intake"] = ORACLES["on_time_events"]
 ORACLES["stream_guardrail_agg"] = ORACLES["guardrail_agg_all"]
