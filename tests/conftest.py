@@ -10,7 +10,7 @@ logging.getLogger("py4j").setLevel(logging.ERROR)
 def spark():
     session = (
         SparkSession.builder.master("local[8]").appName("railwatch-tests")
-        .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "3").config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
