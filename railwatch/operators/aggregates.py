@@ -8,7 +8,8 @@ own a third of them.  So no task ever holds a whole window:
 3. ranks are running counts inside a slice plus the counts of the lower slices;
 4. the last grouping only merges partial sums.
 
-Raw rows are shuffled once whatever the number of window sizes.
+Raw rows are reduced and shuffled by the first step only, whatever the number of window
+sizes.  Its result is read twice, so a job writes it as a table first (``Pipeline`` does).
 """
 
 from __future__ import annotations

@@ -60,7 +60,8 @@ class ClusterBook:
         top = scores[np.arange(len(best)), best]
         close = np.abs(top - limit) < _CLOSE
         if scores.shape[1] > 1:
-            close |= top - np.partition(scores, -2, axis=1)[:, -2] < _CLOSE
+            with np.errstate(invalid="ignore"):  # rows without an active cluster
+                close |= top - np.partition(scores, -2, axis=1)[:, -2] < _CLOSE
         for row in np.flatnonzero(close & np.isfinite(top)):
             exact = np.where(alive[row], ordered_dot(centroids, vectors[row]), -np.inf)
             best[row], top[row] = exact.argmax(), exact.max()

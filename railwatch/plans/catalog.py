@@ -102,7 +102,7 @@ def _(p: Pipeline) -> DataFrame:
 
 
 def _aggregates(p: Pipeline, *sizes: int) -> DataFrame:
-    return aggregates.window_aggregates(p.events, sizes, p.settings)
+    return p.window_aggregates(*sizes)
 
 
 @query("guardrail_agg_1m")
@@ -139,7 +139,10 @@ def _(p: Pipeline) -> DataFrame:
 
 @query("latest_aggregates")
 def _(p: Pipeline) -> DataFrame:
-    """Two emissions per window: before and after its delayed rows arrived."""
+    """Two emissions per window: before and after its delayed rows arrived.
+
+    The earlier one is aggregated straight from the events, without staged partial measures.
+    """
     prompt = p.events.where(F.col("detectorLatencyMs") != 12)
     emissions = aggregates.window_aggregates(prompt, settings=p.settings).unionByName(p.aggregates)
     return _rounded(aggregates.latest_aggregates(emissions))

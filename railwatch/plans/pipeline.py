@@ -7,7 +7,8 @@ lazy DataFrame.
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import cached_property
+from functools import cached_property, reduce
+from math import gcd
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,9 +64,23 @@ class Pipeline:
         """Normalised on-time events."""
         return intake.on_time(self.watermarked, self.settings)
 
+    @cached_property
+    def value_counts(self) -> DataFrame:
+        """Mergeable partial measures: the only pass of the aggregates over the events."""
+        base = reduce(gcd, self.settings.window_sizes_ms)
+        return self._staged(
+            "value_counts", lambda: aggregates.value_counts(self.events, base),
+            base, self.settings.out_of_orderness_ms, self.settings.late_tolerance_ms,
+        )
+
+    def window_aggregates(self, *sizes_ms: int) -> DataFrame:
+        return aggregates.aggregate_value_counts(
+            self.value_counts, sizes_ms or self.settings.window_sizes_ms
+        )
+
     @cached_property
     def aggregates(self) -> DataFrame:
-        return aggregates.window_aggregates(self.events, settings=self.settings)
+        return self.window_aggregates()
 
     @cached_property
     def bootstrap(self) -> DataFrame:
