@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from railwatch.functions import safe_ratio
@@ -64,6 +64,19 @@ def latency_by_version(events: DataFrame, percent: int = 95) -> DataFrame:
     )
 
 
+def version_drift(events: DataFrame) -> DataFrame:
+    """Change of mean confidence and trigger rate from one guardrail version to the next."""
+    rates = findings(events).groupBy("guardrailName", "guardrailVersion").agg(
+        F.count(F.lit(1)).alias("findings"), F.avg("confidence").alias("avgConfidence"),
+        F.avg(F.when(F.col("triggered"), 1.0).otherwise(0.0)).alias("triggerRate"),
+    )
+    # One row per version from here on.
+    order = Window.partitionBy("guardrailName").orderBy("guardrailVersion")
+    return rates.withColumns({
+        f"{c}Drift": F.col(c) - F.lag(c).over(order) for c in ("avgConfidence", "triggerRate")
+    })
+
+
 def incidents_by_version(incidents: DataFrame) -> DataFrame:
     return incidents.select("agentId", "ruleName", F.explode("guardrailVersions").alias("guardrailVersion")).groupBy(
         "agentId", "ruleName", "guardrailVersion"

@@ -409,6 +409,13 @@ def _(p: Pipeline) -> DataFrame:
     return review.latency_by_version(p.events)
 
 
+@query("version_drift")
+def _(p: Pipeline) -> DataFrame:
+    """Source partitions stand for successive versions of a guardrail."""
+    version = F.concat("guardrailVersion", F.lit("."), F.col("partition").cast("string"))
+    return _rounded(review.version_drift(p.events.withColumn("guardrailVersion", version)))
+
+
 @query("incidents_by_version")
 def _(p: Pipeline) -> DataFrame:
     return review.incidents_by_version(p.incidents())

@@ -603,6 +603,16 @@ ORACLES["latency_by_version"] = f"""WITH {ROUTED}
 SELECT "guardrailName", "guardrailVersion", count(*) AS findings,
   quantile_disc("detectorLatencyMs", 0.95) AS "latencyMs", max("detectorLatencyMs") AS "maxLatencyMs"
 FROM ev WHERE "eventType" = 'GUARDRAIL_FINDING' GROUP BY 1, 2"""
+ORACLES["version_drift"] = f"""WITH {ROUTED}, rates AS (
+  SELECT "guardrailName", "guardrailVersion" || '.' || "partition" AS "guardrailVersion", count(*) AS findings,
+    avg(confidence) AS "avgConfidence", avg(CASE WHEN triggered THEN 1.0 ELSE 0.0 END::DOUBLE) AS "triggerRate"
+  FROM ev WHERE "eventType" = 'GUARDRAIL_FINDING' GROUP BY 1, 2
+)
+SELECT "guardrailName", "guardrailVersion", findings, round("avgConfidence", 9) AS "avgConfidence",
+  round("triggerRate", 9) AS "triggerRate",
+  round("avgConfidence" - lag("avgConfidence") OVER w, 9) AS "avgConfidenceDrift",
+  round("triggerRate" - lag("triggerRate") OVER w, 9) AS "triggerRateDrift"
+FROM rates WINDOW w AS (PARTITION BY "guardrailName" ORDER BY "guardrailVersion")"""
 ORACLES["incidents_by_version"] = f"""{_R} {INCIDENTS}
 SELECT "agentId", "ruleName", v AS "guardrailVersion", count(*) AS incidents
 FROM (SELECT *, unnest(string_split("guardrailVersions", ',')) AS v FROM incidents) GROUP BY 1, 2, 3"""

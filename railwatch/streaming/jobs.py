@@ -7,6 +7,7 @@ output.  Sessions and campaigns keep keyed state (see ``state.py``).
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from math import gcd
 
@@ -15,10 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from railwatch.operators import aggregates, campaigns, incidents, intake
+from railwatch.operators import aggregates, campaigns, incidents, intake, policies
 from railwatch.operators.aggregates import AGGREGATE_KEY, WINDOW_KEY
 from railwatch.settings import DEFAULTS, MINUTE_MS, Settings
-from railwatch.sources.staging import new_path
+from railwatch.sources.staging import new_path, ship_package
 from railwatch.sources.streams import read_batches, write_batch
 from railwatch.streaming.state import CampaignProcessor, SessionProcessor
 
@@ -35,7 +36,14 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
-def _start(stream: DataFrame, handle, checkpoint: str, mode: str, trigger: dict | None) -> StreamingQuery:
+def _start(
+    stream: DataFrame, handle, checkpoint: str, mode: str, trigger: dict | None, settings: Settings,
+) -> StreamingQuery:
+    """Start one job.  At least once, it resumes from its checkpoint after a failure; with the
+    guarantee ``NONE`` every start forgets earlier progress."""
+    ship_package(stream.sparkSession)
+    if settings.delivery_guarantee == "NONE":
+        checkpoint = f"{checkpoint}-{uuid.uuid4().hex}"
     return (
         stream.writeStream.foreachBatch(handle).outputMode(mode)
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
@@ -66,7 +74,7 @@ def start_intake(
         write_batch(intake.invalid(parsed), f"{out}/invalid", batch_id)
         write_batch(intake.newest_times(valid), f"{out}/newest", batch_id)
 
-    return _start(raw, handle, f"{out}/_checkpoints/intake", "append", trigger)
+    return _start(raw, handle, f"{out}/_checkpoints/intake", "append", trigger, settings)
 
 
 def streaming_value_counts(events: DataFrame, base_ms: int, delay_ms: int) -> DataFrame:
@@ -123,7 +131,7 @@ def start_aggregates(
         )
         write_batch(rows.join(touched, same, "left_semi"), f"{out}/aggregates", batch_id)
 
-    return _start(counts, handle, f"{out}/_checkpoints/aggregates", "update", trigger)
+    return _start(counts, handle, f"{out}/_checkpoints/aggregates", "update", trigger, settings)
 
 
 def latest_value_counts(rows: DataFrame) -> DataFrame:
@@ -134,6 +142,28 @@ def latest_value_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*key).agg(newest).select(*key, "v.*")
 
 
+def start_policy_updates(
+    messages: DataFrame, out: str, settings: Settings = DEFAULTS, trigger: dict | None = None
+) -> StreamingQuery:
+    """Policy messages (``value, seq``) to the ``policies`` table below ``out``.
+
+    Invalid messages are kept with a null policy, so that they can be counted.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch(policies.parse_policies(batch), f"{out}/policies", batch_id)
+
+    return _start(messages, handle, f"{out}/_checkpoints/policies", "append", trigger, settings)
+
+
+def current_timeline(
+    spark: SparkSession, out: str, bootstrap: DataFrame | None, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Accepted policies of everything that arrived so far; read again for each micro-batch."""
+    updates = read_batches(spark, f"{out}/policies", policies.PARSED).drop("batch_id")
+    return policies.accepted_timeline(bootstrap, updates, settings)
+
+
 def start_session_incidents(
     events: DataFrame, policies_at, out: str, settings: Settings = DEFAULTS, trigger: dict | None = None
 ) -> StreamingQuery:
@@ -160,7 +190,7 @@ def start_session_incidents(
         rows = spark.read.schema(SessionProcessor.OUTPUT).parquet(staged)
         write_batch(incidents.incident_rows(rows, policies_at(), settings), f"{out}/incidents", batch_id)
 
-    return _start(emitted, handle, f"{out}/_checkpoints/sessions", "update", trigger)
+    return _start(emitted, handle, f"{out}/_checkpoints/sessions", "update", trigger, settings)
 
 
 def start_campaigns(
@@ -179,4 +209,4 @@ def start_campaigns(
     def handle(batch: DataFrame, batch_id: int) -> None:
         write_batch(campaigns.campaign_incidents(batch), f"{out}/campaigns", batch_id)
 
-    return _start(emitted, handle, f"{out}/_checkpoints/campaigns", "update", trigger)
+    return _start(emitted, handle, f"{out}/_checkpoints/campaigns", "update", trigger, settings)

@@ -25,80 +25,114 @@ def policy(spark, **agents):
     })
 
 
-def test_burst(spark):
-    rows = [finding(i, i * 1000, PI, c) for i, c in enumerate((0.6, 0.7, 0.76, 0.99))]
-    row, = run(spark, rows, timeline=policy(spark))
+HALF_HOUR = 1_800_000
+
+
+def scenarios():
+    """Many sessions for one run: name -> findings of that session."""
+    override = {"agentId": "agent-2"}
+    return {
+        "burst": [finding(i, i * 1000, PI, c) for i, c in enumerate((0.6, 0.7, 0.76, 0.99))],
+        "plain": [finding(i, i, PI, 0.73) for i in range(3)],
+        "override": [finding(i, i, PI, 0.73, **override) for i in range(3)],
+        "toxic": [finding(i, i, TOX) for i in range(3)],
+        "leak-last": [finding(1, 0, PI, 0.91), finding(2, 1, LEAK), finding(3, 2, LEAK)],
+        "leak-first": [finding(1, 0, LEAK), finding(2, 1, PI, 0.5), finding(3, 2, PI, 0.99)],
+        "loop": [finding(i, i, LOOP) for i in range(5)],
+        "near": [finding(1, 123, TOX, 0.6), finding(2, 60_123, PI, 0.8)],
+        "edge": [finding(1, 123, TOX, 0.6), finding(2, 300_123, PI, 0.8)],
+        "far": [finding(1, 123, TOX, 0.6), finding(2, 300_124, PI, 0.8)],
+        "weak": [finding(1, 0, TOX, None), finding(2, 1, PI, 0.8), finding(3, 2, TOX, 0.7)],
+        "same": [finding(1, 0, LOOP), finding(2, HALF_HOUR, LOOP)],
+        "apart": [finding(1, 0, LOOP), finding(2, HALF_HOUR + 1, LOOP)],
+        "quiet": [finding(i, i, PI, 0.99, triggered=bool(i % 2) or None) for i in range(4)],
+    }
+
+
+def by_session(spark, settings, timeline=None):
+    rows, found = [], defaultdict(list)
+    for number, (name, part) in enumerate(scenarios().items()):
+        rows += [{**r, "sessionId": name, "seq": r["seq"] + 100 * number} for r in part]
+    for row in run(spark, rows, settings, timeline):
+        found[row.sessionId].append(row)
+    return found
+
+
+@pytest.fixture(scope="module")
+def once(spark):
+    return by_session(spark, ONCE, policy(spark, agent_2={"promptInjection": {"high": 0.72}}))
+
+
+def test_burst(once):
+    row, = once["burst"]
     assert (row.ruleName, row.severity, row.triggeredFindingsCount) == ("PROMPT_INJECTION_BURST", "HIGH", 3)
-    assert row.incidentId == f"agent-1|session-1|PROMPT_INJECTION_BURST|{BASE}"
+    assert row.incidentId == f"agent-1|burst|PROMPT_INJECTION_BURST|{BASE}"
     assert row.requestIds == ["req-0", "req-1", "req-2"]
     assert (row.guardrailNames, row.guardrailVersions, row.policyVersions) == ([PI], ["pi-v1"], ["policy-v1"])
     assert (row.appliedPolicyVersion, row.emissionRevision) == ("policy-v1", 1)
     assert row.summary == "Prompt injection burst detected: findings=3, maxConfidence=0.760"
-    assert run(spark, rows)[0].severity == "MEDIUM"  # fallback threshold
-    assert run(spark, rows)[0].appliedPolicyVersion == "config-fallback"
 
 
-def test_agent_override(spark):
-    rows = [finding(i, i, PI, 0.73) for i in range(3)]
-    override = {"promptInjection": {"high": 0.72}}
-    assert run(spark, rows, timeline=policy(spark))[0].severity == "MEDIUM"
-    assert run(spark, rows, timeline=policy(spark, agent_1=override))[0].severity == "HIGH"
+def test_severity_follows_the_policy_of_the_agent(once):
+    assert [r.severity for r in once["plain"]] == ["MEDIUM"]
+    assert [r.severity for r in once["override"]] == ["HIGH"]
 
 
-def test_toxicity_without_confidence(spark):
-    row, = run(spark, [finding(i, i, TOX) for i in range(3)])
+def test_rules_without_confidence_and_without_triggers(once):
+    row, = once["toxic"]
     assert (row.severity, row.summary) == ("MEDIUM", "Toxicity campaign detected: findings=3, maxConfidence=n/a")
+    assert once["quiet"] == []
 
 
-def test_leakage_with_injection_either_order(spark):
-    a = [finding(1, 0, PI, 0.91), finding(2, 1, LEAK), finding(3, 2, LEAK)]
-    b = [finding(1, 0, LEAK), finding(2, 1, PI, 0.5), finding(3, 2, PI, 0.99)]
-    first, = run(spark, a)
-    second, = run(spark, b)
+def test_leakage_with_injection_either_order(once):
+    first, = once["leak-last"]
+    second, = once["leak-first"]
     assert (first.severity, first.emittedAtEventTimeMillis) == ("CRITICAL", BASE + 1)
     assert (second.severity, second.emittedAtEventTimeMillis) == ("HIGH", BASE + 1)
 
 
-def test_looping_escalates(spark):
-    rows = [finding(i, i, LOOP) for i in range(5)]
-    assert [(r.severity, r.emissionRevision) for r in run(spark, rows)] == [("MEDIUM", 1)]
-    assert [(r.severity, r.emissionRevision) for r in run(spark, rows, EVERY)] == [
-        ("MEDIUM", 1), ("MEDIUM", 2), ("HIGH", 3), ("HIGH", 4)
-    ]
+def test_injection_and_toxicity_look_back(once):
+    assert [r.ruleName for r in once["near"] + once["edge"]] == ["PI_AND_TOXIC"] * 2 and once["far"] == []
+    assert once["near"][0].severity == "HIGH"
+    assert once["near"][0].summary == (
+        "PI_AND_TOXIC detected: promptInjectionFindings=1, toxicityFindings=1, "
+        "maxPromptInjectionConfidence=0.800, maxToxicityConfidence=0.600"
+    )
+    assert [r.emittedAtEventTimeMillis - BASE for r in once["weak"]] == [1]
 
 
-@pytest.mark.parametrize("gap,fires", [(60_000, True), (300_000, True), (300_001, False)])
-def test_injection_and_toxicity_look_back(spark, gap, fires):
-    rows = [finding(1, 123, TOX, 0.6), finding(2, 123 + gap, PI, 0.8)]
-    found = run(spark, rows)
-    assert [r.ruleName for r in found] == (["PI_AND_TOXIC"] if fires else [])
-    if fires:
-        assert found[0].severity == "HIGH"
-        assert found[0].summary == (
-            "PI_AND_TOXIC detected: promptInjectionFindings=1, toxicityFindings=1, "
-            "maxPromptInjectionConfidence=0.800, maxToxicityConfidence=0.600"
-        )
-
-
-def test_look_back_thresholds(spark):
-    rows = [finding(1, 0, TOX, None), finding(2, 1, PI, 0.8), finding(3, 2, TOX, 0.7)]
-    strict = Settings(pi_and_toxic_min_toxicity_confidence=0.65)
-    assert [r.emittedAtEventTimeMillis - BASE for r in run(spark, rows)] == [1]
-    assert [r.emittedAtEventTimeMillis - BASE for r in run(spark, rows, strict)] == [2]
-    assert run(spark, rows, Settings(pi_and_toxic_enabled=False)) == []
-
-
-def test_inactivity_starts_a_new_epoch(spark):
-    half_hour = 1_800_000
-    same = [finding(1, 0, LOOP), finding(2, half_hour, LOOP)]
-    apart = [finding(1, 0, LOOP), finding(2, half_hour + 1, LOOP)]
-    assert len(run(spark, same)) == 1 and run(spark, apart) == []
-    epochs = I.session_epochs(events(spark, apart)).orderBy("epoch").collect()
+def test_inactivity_starts_a_new_epoch(spark, once):
+    assert len(once["same"]) == 1 and once["apart"] == []
+    apart = events(spark, scenarios()["apart"])
+    epochs = I.session_epochs(apart).orderBy("epoch").collect()
     assert [(e.epoch, e.triggeredFindingsCount) for e in epochs] == [(0, 1), (1, 1)]
-    open_now = I.open_sessions(events(spark, apart), F.lit(BASE + half_hour).cast("long")).collect()
+    open_now = I.open_sessions(apart, F.lit(BASE + HALF_HOUR).cast("long")).collect()
     assert [e.epoch for e in open_now] == [1]
 
 
+def test_updates_and_fallback_thresholds(spark):
+    found = by_session(spark, EVERY)
+    assert [(r.severity, r.emissionRevision) for r in found["loop"]] == [
+        ("MEDIUM", 1), ("MEDIUM", 2), ("HIGH", 3), ("HIGH", 4)
+    ]
+    assert [(r.severity, r.emissionRevision) for r in found["burst"]] == [("MEDIUM", 1), ("HIGH", 2)]
+    assert found["burst"][0].appliedPolicyVersion == "config-fallback"
+
+
+def test_look_back_settings(spark):
+    strict = by_session(spark, Settings(pi_and_toxic_min_toxicity_confidence=0.65))
+    assert [r.emittedAtEventTimeMillis - BASE for r in strict["weak"]] == [2] and strict["near"] == []
+    off = emitted_rules(spark, Settings(pi_and_toxic_enabled=False))
+    assert "PI_AND_TOXIC" not in off and len(off) == 4
+
+
+def emitted_rules(spark, settings):
+    rows = [r for i, part in enumerate(scenarios().values()) for r in (
+        {**x, "sessionId": str(i), "seq": x["seq"] + 100 * i} for x in part)]
+    state = I.session_state(events(spark, rows), settings)
+    return {r.ruleName for r in I.emissions(state, settings).select("ruleName").distinct().collect()}
+
+
 def test_request_ids_stop_at_the_cap_and_blanks_are_skipped(spark):
     rows = [finding(i, i, LOOP if i < 60 else PI, 0.1, requestId=f"r{i // 2}" if i else " ") for i in range(130)]
     settings = Settings(injection_burst_min=70, max_request_ids=50)

@@ -109,6 +109,19 @@ def ordered_stream(spark, pipeline, out):
     return spark.readStream.schema(pipeline.events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
+def test_policy_updates_arrive_as_a_stream(spark, streamed, tmp_path):
+    pipeline, _ = streamed
+    for part in ("seq < 400", "seq >= 400"):
+        pipeline.policy_messages.where(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/messages")
+    messages = read_raw_stream(spark, f"{tmp_path}/messages", schema=pipeline.policy_messages.schema, files_per_trigger=1)
+    jobs.start_policy_updates(messages, f"{tmp_path}/out").awaitTermination()
+    got = jobs.current_timeline(spark, f"{tmp_path}/out", pipeline.bootstrap)
+    version = F.col("policy.version").alias("version")
+    assert same(got.select("seq", version), pipeline.timeline.select("seq", version)) > 2
+    empty = jobs.current_timeline(spark, f"{tmp_path}/none", pipeline.bootstrap)
+    assert [r.seq for r in empty.collect()] == [-1]
+
+
 def test_session_state_forgets_after_the_timeout(spark, streamed):
     pipeline, out = streamed
     epochs = incidents.session_epochs(pipeline.events)
