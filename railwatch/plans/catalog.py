@@ -40,7 +40,8 @@ def query(name: str, **changes):
     return register
 
 
-def _rounded(df: DataFrame, digits: int = 9) -> DataFrame:
+def _rounded(df: DataFrame, digits: int = 12) -> DataFrame:
+    """Fewer digits than a sum may lose, more than an average of four-digit scores has ties at."""
     return df.select(*[
         F.round(f.name, digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
         for f in df.schema.fields

@@ -145,8 +145,8 @@ def _agg(sizes: str = "(60000), (300000)", source: str = "ev", name: str = "agg"
 )"""
 
 
-_AVERAGES = """* REPLACE (round("avgConfidence", 9) AS "avgConfidence",
-  round("avgDetectorLatencyMs", 9) AS "avgDetectorLatencyMs")"""
+_AVERAGES = """* REPLACE (round("avgConfidence", 12) AS "avgConfidence",
+  round("avgDetectorLatencyMs", 12) AS "avgDetectorLatencyMs")"""
 AGG = ROUTED + ", " + _agg()
 ORACLES["guardrail_agg_1m"] = f"WITH {ROUTED}, {_agg('(60000)')} SELECT {_AVERAGES} FROM agg"
 ORACLES["guardrail_agg_5m"] = f"WITH {ROUTED}, {_agg('(300000)')} SELECT {_AVERAGES} FROM agg"
@@ -179,10 +179,10 @@ QUALITY = AGG + f""", quality AS (
 )"""
 ORACLES["guardrail_quality"] = f"""WITH {QUALITY}
 SELECT * REPLACE (
-  round("triggerRate", 9) AS "triggerRate", round("detectorErrorRate", 9) AS "detectorErrorRate",
-  round("missingConfidenceRate", 9) AS "missingConfidenceRate",
-  round("confidenceCoverageRate", 9) AS "confidenceCoverageRate",
-  round("avgDetectorLatencyMs", 9) AS "avgDetectorLatencyMs") FROM quality"""
+  round("triggerRate", 12) AS "triggerRate", round("detectorErrorRate", 12) AS "detectorErrorRate",
+  round("missingConfidenceRate", 12) AS "missingConfidenceRate",
+  round("confidenceCoverageRate", 12) AS "confidenceCoverageRate",
+  round("avgDetectorLatencyMs", 12) AS "avgDetectorLatencyMs") FROM quality"""
 
 # --- policies -----------------------------------------------------------------------------
 
@@ -455,7 +455,7 @@ SELECT "windowStartMillis", "guardrailName" AS guardrail, CAST(sum("triggeredCou
 FROM agg GROUP BY 1, 2"""
 ORACLES["report_triggered_share"] = f"""WITH {AGG_1M}
 SELECT "windowStartMillis", "guardrailName" AS guardrail,
-  round(sum("triggeredCount") / greatest(sum("totalEvents"), 1)::DOUBLE, 9) AS "triggeredShare"
+  round(sum("triggeredCount") / greatest(sum("totalEvents"), 1)::DOUBLE, 12) AS "triggeredShare"
 FROM agg GROUP BY 1, 2"""
 ORACLES["report_tokens"] = f"""WITH {AGG_1M}
 SELECT "windowStartMillis", "guardrailName" AS guardrail, CAST(sum("inputTokens") AS BIGINT) AS "inputTokens",
@@ -463,7 +463,7 @@ SELECT "windowStartMillis", "guardrailName" AS guardrail, CAST(sum("inputTokens"
 
 
 def _last(source: str, columns: dict[str, str], where: str = "true", rounded: bool = False) -> str:
-    value = lambda c: f'round(max("{c}"), 9)' if rounded else f'max("{c}")'
+    value = lambda c: f'round(max("{c}"), 12)' if rounded else f'max("{c}")'
     outs = ", ".join(f'{value(c)} AS "{out}"' for out, c in columns.items())
     return f"""SELECT "guardrailName" AS guardrail, "windowName", "windowStartMillis", {outs}
 FROM {source} a WHERE {where} AND "windowStartMillis" = (
@@ -477,8 +477,8 @@ ORACLES["report_last_percentiles"] = f"WITH {AGG} " + _last("agg", {
     "triggeredP50": "triggeredP50Confidence", "triggeredP95": "triggeredP95Confidence",
 }, "\"guardrailName\" IN ('PROMPT_INJECTION', 'TOXICITY')")
 ORACLES["report_quality_totals"] = f"""WITH {QUALITY}
-SELECT "windowStartMillis", count(*) AS rows, round(max("detectorErrorRate"), 9) AS "maxDetectorErrorRate",
-  round(max("missingConfidenceRate"), 9) AS "maxMissingConfidenceRate",
+SELECT "windowStartMillis", count(*) AS rows, round(max("detectorErrorRate"), 12) AS "maxDetectorErrorRate",
+  round(max("missingConfidenceRate"), 12) AS "maxMissingConfidenceRate",
   max("maxDetectorLatencyMs") AS "maxDetectorLatencyMs"
 FROM quality WHERE "windowName" = '1m' GROUP BY 1"""
 ORACLES["report_quality_by_guardrail"] = f"""WITH {QUALITY}, last AS ({_last("quality", {
@@ -486,9 +486,9 @@ ORACLES["report_quality_by_guardrail"] = f"""WITH {QUALITY}, last AS ({_last("qu
         "detectorErrorRate", "triggerRate", "confidenceCoverageRate", "avgDetectorLatencyMs",
         "maxDetectorLatencyMs")
 })})
-SELECT * REPLACE (round("detectorErrorRate", 9) AS "detectorErrorRate", round("triggerRate", 9) AS "triggerRate",
-  round("confidenceCoverageRate", 9) AS "confidenceCoverageRate",
-  round("avgDetectorLatencyMs", 9) AS "avgDetectorLatencyMs") FROM last"""
+SELECT * REPLACE (round("detectorErrorRate", 12) AS "detectorErrorRate", round("triggerRate", 12) AS "triggerRate",
+  round("confidenceCoverageRate", 12) AS "confidenceCoverageRate",
+  round("avgDetectorLatencyMs", 12) AS "avgDetectorLatencyMs") FROM last"""
 ORACLES["report_emit_latency"] = f"WITH {QUALITY} " + _last(
     "quality", {"latestEventToEmitMs": "e2eLatestEventToEmitMs", "windowEndToEmitMs": "e2eWindowEndToEmitMs"}
 )
@@ -608,10 +608,10 @@ ORACLES["version_drift"] = f"""WITH {ROUTED}, rates AS (
     avg(confidence) AS "avgConfidence", avg(CASE WHEN triggered THEN 1.0 ELSE 0.0 END::DOUBLE) AS "triggerRate"
   FROM ev WHERE "eventType" = 'GUARDRAIL_FINDING' GROUP BY 1, 2
 )
-SELECT "guardrailName", "guardrailVersion", findings, round("avgConfidence", 9) AS "avgConfidence",
-  round("triggerRate", 9) AS "triggerRate",
-  round("avgConfidence" - lag("avgConfidence") OVER w, 9) AS "avgConfidenceDrift",
-  round("triggerRate" - lag("triggerRate") OVER w, 9) AS "triggerRateDrift"
+SELECT "guardrailName", "guardrailVersion", findings, round("avgConfidence", 12) AS "avgConfidence",
+  round("triggerRate", 12) AS "triggerRate",
+  round("avgConfidence" - lag("avgConfidence") OVER w, 12) AS "avgConfidenceDrift",
+  round("triggerRate" - lag("triggerRate") OVER w, 12) AS "triggerRateDrift"
 FROM rates WINDOW w AS (PARTITION BY "guardrailName" ORDER BY "guardrailVersion")"""
 ORACLES["incidents_by_version"] = f"""{_R} {INCIDENTS}
 SELECT "agentId", "ruleName", v AS "guardrailVersion", count(*) AS incidents
@@ -641,10 +641,10 @@ ORACLES["detector_quality"] = f"""WITH {ROUTED}, judged AS (
     coalesce(sum(w) FILTER (WHERE NOT d AND NOT l), 0) AS tn FROM judged
 )
 SELECT 'TOXICITY' AS "guardrailName", *,
-  CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 9) ELSE 0 END AS precision,
-  CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 9) ELSE 0 END AS recall,
-  CASE WHEN fp + tn > 0 THEN round(fp / (fp + tn), 9) ELSE 0 END AS "falsePositiveRate",
-  round((fp + fn) / (tp + fp + fn + tn), 9) AS "disagreementRate" FROM cells"""
+  CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 12) ELSE 0 END AS precision,
+  CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 12) ELSE 0 END AS recall,
+  CASE WHEN fp + tn > 0 THEN round(fp / (fp + tn), 12) ELSE 0 END AS "falsePositiveRate",
+  round((fp + fn) / (tp + fp + fn + tn), 12) AS "disagreementRate" FROM cells"""
 
 # A finished stream has the result of the batch.
 ORACLES["stream_intake"] = ORACLES["on_time_events"]
