@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from railwatch.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from railwatch.llm.tokens import token_counts
 
@@ -46,4 +52,15 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op5_feistel_shards, op8_pack_sequences, op9_mix_sources)}
+def op10_pstable_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from railwatch.llm.vectors import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f for f in (
+        op2_minmax_near_dedup, op4_token_counts, op5_feistel_shards, op8_pack_sequences, op9_mix_sources,
+        op10_pstable_near_dedup,
+    )
+}
