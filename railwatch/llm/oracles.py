@@ -81,4 +81,16 @@ FROM numbered JOIN walk USING (k) WHERE v < n
 """
 
 
-ORACLES = {"op5_feistel_shards": _op5(), "op9_mix_sources": _OP9}
+_OP3 = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM (SELECT DISTINCT * FROM whole WHERE vec_id % 50 = 0) q JOIN (SELECT DISTINCT * FROM whole) c ON q.vec_id <> c.vec_id
+), best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM best WHERE rank <= 5
+"""
+
+
+ORACLES = {"op3_ball_tree_top_k": _OP3, "op5_feistel_shards": _op5(), "op9_mix_sources": _OP9}

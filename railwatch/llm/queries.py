@@ -23,6 +23,16 @@ def op2_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op3_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from railwatch.llm.topk import top_k
+
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("long"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    rows = table(spark, sf_dir, "embeddings").where(finite).select("vec_id", whole.alias("embedding"))
+    found = top_k(rows, rows.where(F.col("vec_id") % 50 == 0), 5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from railwatch.llm.tokens import token_counts
 
@@ -38,6 +48,12 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from railwatch.llm.urls import judge
+
+    return judge(table(spark, sf_dir, "pages"))
+
+
 def op8_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     from railwatch.llm.packing import pack
 
@@ -60,7 +76,8 @@ def op10_pstable_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op2_minmax_near_dedup, op4_token_counts, op5_feistel_shards, op8_pack_sequences, op9_mix_sources,
+        op2_minmax_near_dedup, op3_ball_tree_top_k, op4_token_counts, op5_feistel_shards, op7_path_templates,
+        op8_pack_sequences, op9_mix_sources,
         op10_pstable_near_dedup,
     )
 }
