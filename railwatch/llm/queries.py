@@ -48,6 +48,16 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from railwatch.llm.quality import held_out, scores, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return scores(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op7_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from railwatch.llm.urls import judge
 
@@ -76,7 +86,7 @@ def op10_pstable_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op2_minmax_near_dedup, op3_ball_tree_top_k, op4_token_counts, op5_feistel_shards, op7_path_templates,
+        op2_minmax_near_dedup, op3_ball_tree_top_k, op4_token_counts, op5_feistel_shards, op6_line_crf_quality, op7_path_templates,
         op8_pack_sequences, op9_mix_sources,
         op10_pstable_near_dedup,
     )
