@@ -7,7 +7,6 @@ columns of ``documents``; the last gives the places of the packed pieces.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from railwatch.llm.queries import vocabulary
 from railwatch.sources.staging import new_path
@@ -15,6 +14,21 @@ from railwatch.sources.staging import new_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line model, learned from the labels, does not reject."""
+    from railwatch.llm.quality import good_documents, train
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return good_documents(docs, train(docs, labels), 0.5).select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its five-word shingles."""
+    from railwatch.llm.minhash import deduplicated
+
+    return deduplicated(docs, width=5, percent=80).select(*COLUMNS)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target weights; a document taken twice is there twice."""
     from railwatch.llm.mixing import mixed
@@ -29,7 +43,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return pack(docs, vocabulary())
 
 
-STAGES = [("mixing", mix_sources), ("packing", pack_sequences)]
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("mixing", mix_sources), ("packing", pack_sequences)]
 
 # A trained model, hashed signatures and a local search have no SQL; tests/llm compares stages.
 ORACLE_SQL = None

@@ -208,3 +208,19 @@ def near_duplicates(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` with one document of each group of near duplicates, with all their columns.
+
+    The one with the smallest id stays.  Rows with a null id stay; of rows that repeat an id one
+    stays.
+    """
+    id_col = options.get("id_col", "doc_id")
+    found = staged(near_duplicates(docs, **options), "near-duplicates")
+    left = docs.join(found.where(F.col(id_col).isNotNull() & ~F.col("kept")).select(id_col).distinct(), id_col, "left_anti").select(*docs.columns)
+    repeated = found.where("kept").groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_col)
+    if repeated.isEmpty():
+        return left
+    several = left.join(repeated, id_col, "left_semi").select(*docs.columns)
+    return left.join(repeated, id_col, "left_anti").select(*docs.columns).unionByName(several.dropDuplicates([id_col]))

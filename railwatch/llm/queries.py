@@ -17,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_wrapper_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from railwatch.llm.html import extract
+
+    found = extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from railwatch.llm.minhash import near_duplicates
 
@@ -86,7 +93,7 @@ def op10_pstable_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op2_minmax_near_dedup, op3_ball_tree_top_k, op4_token_counts, op5_feistel_shards, op6_line_crf_quality, op7_path_templates,
+        op1_wrapper_main_text, op2_minmax_near_dedup, op3_ball_tree_top_k, op4_token_counts, op5_feistel_shards, op6_line_crf_quality, op7_path_templates,
         op8_pack_sequences, op9_mix_sources,
         op10_pstable_near_dedup,
     )
