@@ -127,20 +127,22 @@ def _keyed(events: DataFrame) -> DataFrame:
     return keyed.withColumn("tenant", named)
 
 
-def value_counts(events: DataFrame, base_ms: int, window: Column | None = None) -> DataFrame:
-    """Partial measures per (key, base window, confidence, tenant); mergeable across inputs.
-
-    A stream passes its own ``window`` column, by which Spark knows when to drop state.
-    """
-    keyed = _keyed(events)
+def value_counts(events: DataFrame, base_ms: int) -> DataFrame:
+    """Partial measures per (key, base window, confidence, tenant); mergeable across inputs."""
     score = F.when(is_scored(F.col("guardrailName")), F.col("confidence"))
-    return keyed.groupBy(
-        *AGGREGATE_KEY,
-        window_start(F.col("eventTimeMillis"), base_ms).alias("baseStart") if window is None else window,
-        score.alias("score"), "tenant",
+    return _keyed(events).groupBy(
+        *AGGREGATE_KEY, window_start(F.col("eventTimeMillis"), base_ms).alias("baseStart"), score.alias("score"), "tenant",
     ).agg(F.min("seq").alias("firstSeq"), *_measures())
 
 
+def merged_value_counts(parts: DataFrame) -> DataFrame:
+    """One row per key of :func:`value_counts` from the rows of several inputs."""
+    return parts.groupBy(*AGGREGATE_KEY, "baseStart", "score", "tenant").agg(
+        *[F.sum(c).alias(c) for c in (*_SUMMED, "n_trig")], *[F.min(c).alias(c) for c in ("firstSeq", *_LEAST)],
+        *[F.max(c).alias(c) for c in _GREATEST],
+    )
+
+
 def aggregate_value_counts(
     counts: DataFrame, sizes_ms: Sequence[int], slices: int = SLICES
 ) -> DataFrame:

@@ -3,8 +3,8 @@
 Clustering a key is sequential by definition: each finding is compared with centroids that
 all earlier ones moved.  What Spark can spread, it spreads: texts are embedded before the
 shuffle, and a key is cut wherever it was idle longer than the window, since no cluster
-survives that.  The ordered scan of a piece reads Arrow batches and keeps at most
-20 clusters, so its memory does not grow with the piece.
+survives that.  The ordered scan of a piece reads Arrow batches; its memory is the clusters that
+are alive, which the settings can limit.
 """
 
 from __future__ import annotations
@@ -46,7 +46,8 @@ def embedded_findings(
     chosen = evidence_bearing(events, guardrail).select(
         "tenantId", "agentId", "sessionId", "requestId", "eventTimeMillis", "seq", "guardrailName",
         F.lit(settings.model_version).alias("embeddingModelVersion"),
-        F.substring(trimmed, 1, settings.max_evidence_chars).alias("evidenceSnippet"), *keep,
+        (trimmed if settings.max_evidence_chars is None else F.substring(trimmed, 1, settings.max_evidence_chars))
+        .alias("evidenceSnippet"), *keep,
     )
     return chosen.withColumn("embedding", embed(F.col("evidenceSnippet")))
 

@@ -77,6 +77,7 @@ class ClusterBook:
             raise ValueError("embedding is empty or not finite")
         out, i, stretch, total = [], 0, 1, len(times)
         full = self.settings.max_requests_per_cluster
+        full = float("inf") if full is None else full
         self.embedded += total
         while i < total:
             self.prune(int(times[i]) - self.settings.window_ms)
@@ -108,7 +109,7 @@ class ClusterBook:
     def _record(self, cluster, t, vector, request, session, snippet) -> dict | None:
         s = self.settings
         if cluster is None:
-            if len(self.clusters) >= s.max_clusters_per_key:
+            if s.max_clusters_per_key is not None and len(self.clusters) >= s.max_clusters_per_key:
                 self.clusters.remove(min(self.clusters, key=lambda c: (c.last, c.cluster_id)))
                 self.evicted += 1
             cluster = Cluster(request, vector.astype(np.float32), t, t)
@@ -119,7 +120,7 @@ class ClusterBook:
             (cluster.sessions, session, s.max_sessions_per_cluster),
             (cluster.samples, snippet[: s.max_sample_chars], s.max_samples_per_cluster),
         ):
-            if len(known) < limit:
+            if limit is None or len(known) < limit:
                 known.setdefault(value)
         cluster.centroid = moved_centroid(cluster.centroid, len(cluster.requests) - 1, vector)
         cluster.first, cluster.last = min(cluster.first, t), max(cluster.last, t)

@@ -214,9 +214,8 @@ def emissions(state: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 def first_seen_lists(state: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Per epoch, the distinct values of four columns in first-seen order, with their rank.
 
-    The order key is ``n_all``, the place of a finding in its epoch.  Request ids are cut to
-    the tracked number, which is a fixed property of the incident (later ids are never
-    recorded); the other lists are complete.
+    The order key is ``n_all``, the place of a finding in its epoch.  Request ids are cut if
+    the settings limit them (later ids are then never recorded); the other lists are complete.
     """
     values = F.explode(F.array(*[
         F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in _LISTS.values()
@@ -227,17 +226,21 @@ def first_seen_lists(state: DataFrame, settings: Settings = DEFAULTS) -> DataFra
         .groupBy(*SESSION, "epoch", F.col("v.kind").alias("kind"), F.col("v.value").alias("value"))
         .agg(F.min("n_all").alias("at"))
     )
-    # The rank limit is applied inside each task before the shuffle as well.
-    ranked = seen.where(F.col("kind") == "requestId").withColumn(
-        "rank", F.row_number().over(Window.partitionBy(*SESSION, "epoch").orderBy("at"))
-    ).where(F.col("rank") <= settings.max_request_ids).drop("rank")
-    kept = ranked.unionByName(seen.where(F.col("kind") != "requestId"))
+    kept = seen if settings.max_request_ids is None else _first_ids(seen, settings.max_request_ids)
     item = F.struct("at", "value")
     return kept.groupBy(*SESSION, "epoch").agg(*[
         F.sort_array(F.collect_list(F.when(F.col("kind") == k, item))).alias(f"all_{k}") for k in _LISTS.values()
     ])
 
 
+def _first_ids(seen: DataFrame, limit: int) -> DataFrame:
+    # The rank limit is applied inside each task before the shuffle as well.
+    ranked = seen.where(F.col("kind") == "requestId").withColumn(
+        "rank", F.row_number().over(Window.partitionBy(*SESSION, "epoch").orderBy("at"))
+    ).where(F.col("rank") <= limit).drop("rank")
+    return ranked.unionByName(seen.where(F.col("kind") != "requestId"))
+
+
 def _score(c: Column) -> Column:
     return F.when(c < 0, F.lit("n/a")).otherwise(F.format_string("%.3f", c))
 

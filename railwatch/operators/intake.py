@@ -45,9 +45,10 @@ def _flag(text: Column) -> Column:
 
 def parse(raw: DataFrame) -> DataFrame:
     """One row per payload: event columns plus ``reason_code`` / ``reason`` (null when valid)."""
-    payload = F.from_json(
-        F.col("value"), JSON_PAYLOAD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
+    payload = F.from_json(F.col("value"), JSON_PAYLOAD, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+        "allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
+    })
     j = lambda name: F.col(f"j.{name}")
     extra = [c for c in raw.columns if c != "value"]
     # Exploding a one-element array keeps later filters above the JSON reader; pushed below

@@ -454,7 +454,7 @@ def _stream_intake(p: Pipeline) -> str:
     """Run the intake stream over the events file; returns its output folder."""
     out = new_path(p.spark, "stream")
     source = read_table_stream(p.spark, p.sf_dir, "events.parquet", p.table("events").schema)
-    jobs.start_intake(tables.raw_events(source), out, p.settings).awaitTermination()
+    jobs.start_intake(tables.raw_events(source, p.table("conversations")), out, p.settings).awaitTermination()
     return out
 
 

@@ -7,11 +7,11 @@ or YAML text, so that a fault in a reader shows.  Lists compare as text.
 from __future__ import annotations
 
 from railwatch.plans.catalog import EMITTED_AT_MS
-from railwatch.sources.tables import EVIDENCE, POLICY_T0_SECONDS, T0_MILLIS
+from railwatch.sources.tables import CONVERSATIONS, POLICY_T0_SECONDS, REQUESTS_PER_USER, T0_MILLIS, TURNS
 
 ORACLES: dict[str, str] = {}
 
-_EVIDENCE_LIST = "[" + ", ".join(f"'{text}'" for text in EVIDENCE) + "]"
+BOOTSTRAP_SECONDS = POLICY_T0_SECONDS - 6 * 86_400
 
 # One row per table event, with the fields that survive the injected faults.
 NORM = f"""
@@ -28,7 +28,7 @@ base AS (
     CAST(user_id % 3 AS INTEGER) AS "partition",
     'tenant-' || (user_id % 8) AS "tenantId", 'agent-' || (user_id % 4) AS "agentId",
     CASE WHEN k <> 9 THEN 'session-' || user_id END AS "sessionId",
-    'req-' || seq AS "requestId", 'turn-' || seq AS "turnId",
+    'req-' || user_id || '-' || (seq % {REQUESTS_PER_USER}) AS "requestId", 'turn-' || seq AS "turnId",
     CASE WHEN k <> 10 THEN ms0 - CASE k WHEN 7 THEN 45000 WHEN 8 THEN 360000 ELSE 0 END END
       AS "eventTimeMillis",
     CASE WHEN k = 14 THEN 'AGENT_PING' WHEN kind <> 'click' THEN 'GUARDRAIL_FINDING'
@@ -46,7 +46,9 @@ base AS (
     CASE WHEN k <> 13 AND kind <> 'click' THEN score >= 0.40 END AS triggered,
     CAST(5 + k AS BIGINT) AS "detectorLatencyMs",
     CASE WHEN k % 12 = 0 THEN 'ERROR' ELSE 'OK' END AS "detectorStatus",
-    CASE WHEN kind = 'error' THEN {_EVIDENCE_LIST}[k % 17 + 1] END AS "evidenceSnippet",
+    CASE WHEN kind = 'error' THEN (
+      SELECT any_value(c.text) FROM conversations c
+      WHERE c.conv_id = seq % {CONVERSATIONS} AND c.turn = (seq // {CONVERSATIONS}) % {TURNS}) END AS "evidenceSnippet",
     CASE
       WHEN k = 15 THEN 'PARSE_ERROR'
       WHEN k = 14 THEN 'UNSUPPORTED_EVENT_TYPE'
@@ -216,8 +218,8 @@ FROM pol"""
 DECIDED = POLICIES + f""", line AS (
   SELECT *, row_number() OVER (ORDER BY seq) AS n FROM pol WHERE valid
 ), fold AS (
-  SELECT CAST(0 AS BIGINT) AS n, CAST(-1 AS BIGINT) AS seq, 'policy-v1' AS version, true AS accepted,
-    CAST(NULL AS VARCHAR) AS rejection, CAST({POLICY_T0_SECONDS} AS BIGINT) AS cur_at, 'policy-v1' AS cur_version
+  SELECT CAST(0 AS BIGINT) AS n, CAST(-1 AS BIGINT) AS seq, 'base-0' AS version, true AS accepted,
+    CAST(NULL AS VARCHAR) AS rejection, CAST({BOOTSTRAP_SECONDS} AS BIGINT) AS cur_at, 'base-0' AS cur_version
   UNION ALL
   SELECT l.n, l.seq, l.version,
     NOT (coalesce(l.upd < f.cur_at, false) OR (l.upd IS NULL AND f.cur_at IS NULL AND l.version < f.cur_version)),
@@ -236,8 +238,8 @@ TIMELINE = DECIDED + """, line_of AS (
   SELECT f.seq, f.version, coalesce(p.pi_high, 0.75) AS pi_high, coalesce(p.pi_critical, 0.90) AS pi_critical,
     CASE WHEN f.seq < 0 THEN 0.70 END AS tox_medium, coalesce(p.tox_high, 0.90) AS tox_high,
     coalesce(p.looping, 'MEDIUM') AS looping, coalesce(p.agent, 'agent-0') AS agent,
-    CASE WHEN f.seq < 0 THEN 0.72 ELSE p.agent_high END AS agent_high,
-    CASE WHEN f.seq < 0 THEN 0.88 ELSE p.agent_critical END AS agent_critical
+    CASE WHEN f.seq < 0 THEN 0.68 ELSE p.agent_high END AS agent_high,
+    CASE WHEN f.seq < 0 THEN 0.93 ELSE p.agent_critical END AS agent_critical
   FROM fold f LEFT JOIN pol p ON p.seq = f.seq WHERE f.accepted
 ), timeline AS (SELECT *, lead(seq) OVER (ORDER BY seq) AS until FROM line_of)"""
 ORACLES["effective_policy"] = f"""{_R} {TIMELINE}
@@ -360,7 +362,7 @@ def _incidents(updates: bool) -> str:
       WHEN 'LOOPING_PERSISTENCE' THEN
         CASE WHEN n_loop >= 4 AND "loopingSeverity" = 'MEDIUM' THEN 'HIGH' ELSE "loopingSeverity" END
       ELSE 'HIGH' END AS severity,
-    {values("requestId", "LIMIT 50")} AS "requestIds",
+    {values("requestId", "")} AS "requestIds",
     {values("guardrailName")} AS "guardrailNames",
     {values("guardrailVersion")} AS "guardrailVersions",
     {values("policyVersion")} AS "policyVersions",
@@ -401,7 +403,7 @@ ORACLES["hash_embedding"] = f"""WITH {FIRED}, texts AS (
   SELECT seq, lower('query: ' || "evidenceSnippet") AS text FROM fired
   WHERE "guardrailName" = 'PROMPT_INJECTION'
 ), words AS (
-  SELECT seq, unnest(string_split(text, ' ')) AS raw FROM texts
+  SELECT seq, unnest(regexp_split_to_array(trim(text, ' \t\n\x0b\f\r'), '[ \t\n\x0b\f\r]+')) AS raw FROM texts
 ), concepts AS (
   SELECT seq, CASE
     WHEN raw IN ('ignore', 'disregard', 'bypass') THEN 'override'

@@ -17,16 +17,16 @@ from railwatch.operators import aggregates, campaigns, incidents, intake, polici
 from railwatch.schemas import INCIDENT, POLICY_SECTIONS, SESSION_RULES
 from railwatch.settings import DEFAULTS, Settings
 from railwatch.sources import tables
-from railwatch.sources.staging import ship_package, staged_once
+from railwatch.sources.staging import folder_state, ship_package, staged_once
 
 # Fixed values of the derivation: the policy in force before any update.
 BOOTSTRAP = {
-    "version": "policy-v1", "updated_at": "2026-08-26T00:00:00Z",
+    "version": "base-0", "updated_at": "2026-08-20T00:00:00Z",
     "defaults": dict(zip(POLICY_SECTIONS, (
         {"medium": 0.55, "high": 0.75, "critical": 0.90}, {"medium": 0.70, "high": 0.90},
         {"severity": "MEDIUM"}, {"severity": "CRITICAL"},
     ))),
-    "agents": {"agent-0": {"promptInjection": {"high": 0.72, "critical": 0.88}}},
+    "agents": {"agent-0": {"promptInjection": {"high": 0.68, "critical": 0.93}}},
 }
 
 
@@ -41,12 +41,16 @@ class Pipeline:
         return tables.table(self.spark, self.sf_dir, name)
 
     def _staged(self, step: str, build, *settings) -> DataFrame:
-        """One table per step and per the settings that the step depends on."""
-        return staged_once(self.spark, f"{self.sf_dir}|{step}|{settings}", build)
+        """One table per step, per the files it was made from and the settings it depends on."""
+        return staged_once(self.spark, f"{self.sf_dir}|{self._files}|{step}|{settings}", build)
+
+    @cached_property
+    def _files(self) -> str:
+        return folder_state(self.spark, self.sf_dir)
 
     @cached_property
     def raw(self) -> DataFrame:
-        return tables.raw_events(tables.spread(self.table("events")))
+        return tables.raw_events(self.table("events"), self.table("conversations"))
 
     @cached_property
     def parsed(self) -> DataFrame:

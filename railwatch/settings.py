@@ -25,13 +25,14 @@ class CampaignSettings:
     input_prefix: str = "query: "
     dimension: int = 384
     max_tokens: int = 256
-    max_evidence_chars: int = 1_000
-    max_clusters_per_key: int = 20
-    max_requests_per_cluster: int = 100
-    max_sessions_per_cluster: int = 20
-    max_samples_per_cluster: int = 5
-    max_sample_chars: int = 500
-    max_request_ids_per_incident: int = 50
+    # Limits; None keeps everything.
+    max_evidence_chars: int | None = None
+    max_clusters_per_key: int | None = None
+    max_requests_per_cluster: int | None = None
+    max_sessions_per_cluster: int | None = None
+    max_samples_per_cluster: int | None = None
+    max_sample_chars: int | None = None
+    max_request_ids_per_incident: int | None = None
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,8 @@ class Settings:
     incidents_enabled: bool = True
     emit_updates: bool = False
     session_timeout_ms: int = 30 * MINUTE_MS
-    max_request_ids: int = 50
+    max_request_ids: int | None = None  # of an incident; None lists all
+    state_idle_ms: int = 24 * 60 * MINUTE_MS  # wall-clock time after which a silent key's state is freed
     injection_burst_min: int = 3
     toxicity_campaign_min: int = 3
     looping_min: int = 2

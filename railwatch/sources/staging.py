@@ -10,6 +10,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+import zlib
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,13 @@ _shipped: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's folder; a fresh local one only where none is set, as in tests."""
+    """The cluster's folder; a fresh local one only where none is set and all work is on this machine."""
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"{_SETTING} must name a folder that all machines share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
         _own_folder[app] = tempfile.mkdtemp(prefix="railwatch-")
@@ -36,6 +40,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def folder_state(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files below a folder, as one checksum."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(target, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return f"{zlib.crc32(repr(sorted(found)).encode()):08x}-{len(found)}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/railwatch/{name}-{uuid.uuid4().hex}"
 

@@ -27,6 +27,7 @@ NEWEST = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("partition", T.IntegerType()),
     T.StructField("newest", T.LongType()),
 ])
+HOUR_MS = 60 * MINUTE_MS
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -50,6 +51,19 @@ def _start(
     )
 
 
+def _bounded(trigger: dict | None) -> bool:
+    return not trigger or "availableNow" in trigger or "once" in trigger
+
+
+def _time_mode(trigger: dict | None) -> str:
+    """Wall-clock timers where the query runs on; a run over what is there would wait for them forever."""
+    return "None" if _bounded(trigger) else "ProcessingTime"
+
+
+def _idle_ms(trigger: dict | None, settings: Settings) -> int | None:
+    return None if _bounded(trigger) else settings.state_idle_ms
+
+
 def start_intake(
     raw: DataFrame, out: str, settings: Settings = DEFAULTS, trigger: dict | None = None
 ) -> StreamingQuery:
@@ -77,46 +91,37 @@ def start_intake(
     return _start(raw, handle, f"{out}/_checkpoints/intake", "append", trigger, settings)
 
 
-def streaming_value_counts(events: DataFrame, base_ms: int, delay_ms: int) -> DataFrame:
-    """Mergeable partial measures per (key, base window, confidence) as a stream.
-
-    The state of a busy window is spread over its confidences instead of being one row.
-    """
-    kept = events.withWatermark("event_time", f"{delay_ms} milliseconds")
-    window = F.window("event_time", f"{base_ms} milliseconds")
-    counts = aggregates.value_counts(kept, base_ms, window)
-    return counts.withColumn("baseStart", F.unix_millis("window.start")).drop("window")
-
-
 def start_aggregates(
     events: DataFrame, out: str, settings: Settings = DEFAULTS, trigger: dict | None = None,
-    partition_skew_ms: int = 30 * MINUTE_MS,
 ) -> StreamingQuery:
     """Normalised stream to the ``value_counts`` and ``aggregates`` tables below ``out``.
 
-    Each micro-batch re-emits the windows it touched; the last revision of a window equals
-    the batch result.  A row that was routed on time is never older than the watermark
-    unless partitions drift apart by more than ``partition_skew_ms``.
+    The partial measures are mergeable, so a micro-batch only adds those of its own rows, in folders
+    by the hour of their window, and sums what the touched hours hold.  There is no state that a
+    watermark could close: a row counts however late its partition delivers it.  Each micro-batch
+    re-emits the windows it touched; the last revision of a window equals the batch result.
     """
-    base = reduce(gcd, settings.window_sizes_ms)
-    delay = settings.out_of_orderness_ms + settings.late_tolerance_ms + partition_skew_ms
-    counts = streaming_value_counts(events, base, delay)
-    schema, widest = counts.schema, max(settings.window_sizes_ms)
-
-    def handle(changed: DataFrame, batch_id: int) -> None:
-        spark = changed.sparkSession
-        table = f"{out}/value_counts"
-        write_batch(changed, table, batch_id)
-        fresh = spark.read.schema(schema).parquet(f"{table}/batch_id={batch_id}")
-        span = fresh.agg(F.min("baseStart").alias("lo"), F.max("baseStart").alias("hi")).first()
-        if span is None or span["lo"] is None:
+    base, widest = reduce(gcd, settings.window_sizes_ms), max(settings.window_sizes_ms)
+    table = f"{out}/value_counts"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        delta = aggregates.value_counts(batch, base).withColumn("hour", F.floor(F.col("baseStart") / HOUR_MS).cast("long"))
+        schema = delta.schema
+        # One folder per batch and hour: a repeated batch replaces its own.
+        delta.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("hour", "batch_id").parquet(table)
+        known = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(table)
+        fresh = known.where(F.col("batch_id") == batch_id)
+        hours = [r["hour"] for r in fresh.select("hour").distinct().collect()]
+        if not hours:
             return
-        # Only windows that can hold a touched base window are read again.
-        near = read_batches(spark, table, schema, batch_id).where(
-            F.col("baseStart").between(span["lo"] - widest, span["hi"] + widest)
-        )
-        current = latest_value_counts(near)
-        rows = aggregates.aggregate_value_counts(current, settings.window_sizes_ms)
+        reach = -(-widest // HOUR_MS)
+        near = known.where((F.col("batch_id") <= batch_id) & F.col("hour").isin(
+            sorted({h + d for h in hours for d in range(-reach, reach + 1)})
+        ))
+        rows = aggregates.aggregate_value_counts(aggregates.merged_value_counts(near), settings.window_sizes_ms)
         sizes = F.explode(F.array(*[F.lit(s).cast("long") for s in settings.window_sizes_ms]))
         touched = (
             fresh.select(*AGGREGATE_KEY, "baseStart", sizes.alias("size"))
@@ -131,15 +136,7 @@ def start_aggregates(
         )
         write_batch(rows.join(touched, same, "left_semi"), f"{out}/aggregates", batch_id)
 
-    return _start(counts, handle, f"{out}/_checkpoints/aggregates", "update", trigger, settings)
-
-
-def latest_value_counts(rows: DataFrame) -> DataFrame:
-    """Newest revision of every partial measure row."""
-    key = [*AGGREGATE_KEY, "baseStart", "score", "tenant"]
-    values = [c for c in rows.columns if c not in (*key, "batch_id")]
-    newest = F.max_by(F.struct(*values), "batch_id").alias("v")
-    return rows.groupBy(*key).agg(newest).select(*key, "v.*")
+    return _start(events, handle, f"{out}/_checkpoints/aggregates", "append", trigger, settings)
 
 
 def start_policy_updates(
@@ -176,11 +173,11 @@ def start_session_incidents(
     use_rocksdb(events.sparkSession)
     rows = intake.triggered(events).select(
         "agentId", "sessionId", "tenantId", "requestId", F.col("eventTimeMillis").alias("t"), "seq",
-        "guardrailName", "guardrailVersion", "policyVersion", "confidence", "event_time",
-    ).withWatermark("event_time", f"{settings.out_of_orderness_ms} milliseconds")
+        "guardrailName", "guardrailVersion", "policyVersion", "confidence",
+    )
     emitted = rows.groupBy("agentId", "sessionId").transformWithStateInPandas(
-        statefulProcessor=SessionProcessor(settings), outputStructType=SessionProcessor.OUTPUT,
-        outputMode="Update", timeMode="EventTime",
+        statefulProcessor=SessionProcessor(settings, _idle_ms(trigger, settings)),
+        outputStructType=SessionProcessor.OUTPUT, outputMode="Update", timeMode=_time_mode(trigger),
     )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -198,12 +195,11 @@ def start_campaigns(
 ) -> StreamingQuery:
     """Normalised stream to the ``campaigns`` table below ``out``."""
     use_rocksdb(events.sparkSession)
-    kept = events.withWatermark("event_time", f"{settings.out_of_orderness_ms} milliseconds")
-    found = campaigns.embedded_findings(kept, settings.campaigns, embedder, keep=("event_time",))
+    found = campaigns.embedded_findings(events, settings.campaigns, embedder)
     keyed = found.withColumn("tenantId", F.coalesce(F.col("tenantId"), F.lit(campaigns.NO_VALUE)))
     emitted = keyed.groupBy(*campaigns.CAMPAIGN_KEY).transformWithStateInPandas(
-        statefulProcessor=CampaignProcessor(settings), outputStructType=campaigns.SCANNED,
-        outputMode="Update", timeMode="EventTime",
+        statefulProcessor=CampaignProcessor(settings, _idle_ms(trigger, settings)),
+        outputStructType=campaigns.SCANNED, outputMode="Update", timeMode=_time_mode(trigger),
     )
 
     def handle(batch: DataFrame, batch_id: int) -> None:

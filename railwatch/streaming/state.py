@@ -1,8 +1,10 @@
 """Keyed state of the stream jobs.
 
 Rows of a key may come in several frames of a micro-batch, in no order; they are sorted by
-``(event time, seq)`` before use.  Timers fire after the rows of their micro-batch, so each
-row compares itself with the deadline first.
+``(event time, seq)`` before use.  Time in the rules is event time: a row ends the session before it
+when it lies beyond that one's deadline.  No watermark filters rows, so every row that was routed on
+time is used however far its partition lags.  Timers are wall-clock time, exist only where
+a query runs on and on, and only free the state of keys that have been silent for long.
 """
 
 from __future__ import annotations
@@ -34,6 +36,14 @@ def _ordered(frames: Iterator[pd.DataFrame], time: str) -> pd.DataFrame:
     return pd.concat(list(frames), ignore_index=True).sort_values([time, "seq"], kind="stable")
 
 
+def _restart_timer(handle: StatefulProcessorHandle, timerValues, after_ms: int | None) -> None:
+    if after_ms is None:
+        return
+    for timer in list(handle.listTimers()):
+        handle.deleteTimer(timer)
+    handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + after_ms)
+
+
 class SessionProcessor(StatefulProcessor):
     """Session rules; emits the rows that :func:`incidents.incident_rows` turns into incidents."""
 
@@ -49,8 +59,8 @@ class SessionProcessor(StatefulProcessor):
         + [T.StructField(n, T.ArrayType(T.StringType())) for n in _LISTED]
     )
 
-    def __init__(self, settings: Settings):
-        self.settings = settings
+    def __init__(self, settings: Settings, idle_ms: int | None = None):
+        self.settings, self.idle_ms = settings, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -71,18 +81,13 @@ class SessionProcessor(StatefulProcessor):
                 state = self._fresh()
             self._record(state, row)
             out += self._emissions(state, key, row)
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(state["deadline"])
+        _restart_timer(self.handle, timerValues, self.idle_ms)
         self.state.update((json.dumps(state),))
         if out:
             yield pd.DataFrame(out, columns=self.OUTPUT.fieldNames())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            deadline = json.loads(self.state.get()[0])["deadline"]
-            if expiredTimerInfo.getExpiryTimeInMs() >= deadline:
-                self.state.clear()
+        self.state.clear()
         return iter(())
 
     def close(self) -> None:
@@ -167,8 +172,8 @@ class CampaignProcessor(StatefulProcessor):
 
     OUTPUT = SCANNED
 
-    def __init__(self, settings: Settings):
-        self.settings = settings
+    def __init__(self, settings: Settings, idle_ms: int | None = None):
+        self.settings, self.idle_ms = settings, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -182,21 +187,13 @@ class CampaignProcessor(StatefulProcessor):
         part, book = _ordered(rows, "eventTimeMillis"), self._book()
         tenant = None if key[0] == NO_VALUE else key[0]
         emitted = consume_frame(book, part, (tenant, *key[1:]), self.settings.campaigns)
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        newest = int(part["eventTimeMillis"].iloc[-1])
-        self.handle.registerTimer(newest + self.settings.campaigns.window_ms + 1)
+        _restart_timer(self.handle, timerValues, self.idle_ms)
         self.state.update((pickle.dumps(book.clusters),))
         if emitted:
             yield scanned_frame(emitted)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        book = self._book()
-        book.prune(expiredTimerInfo.getExpiryTimeInMs() - self.settings.campaigns.window_ms)
-        if book.clusters:
-            self.state.update((pickle.dumps(book.clusters),))
-        else:
-            self.state.clear()
+        self.state.clear()
         return iter(())
 
     def close(self) -> None:

@@ -11,7 +11,6 @@ from railwatch.functions import embedding as E
 from railwatch.operators import campaigns as C
 from railwatch.operators.clusters import ClusterBook, moved_centroid, ordered_dot
 from railwatch.settings import CampaignSettings, Settings
-from railwatch.sources.tables import EVIDENCE
 from tests.rows import events, finding
 
 DEFAULT = CampaignSettings()
@@ -50,6 +49,11 @@ def naive(rows, s, updates=False):
     return sorted(out, key=str)
 
 
+# Five families of three texts that differ in one word.
+WORDS = ["".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyz", k=7)) for i in range(60)]
+EVIDENCE = tuple(" ".join([*WORDS[9 * f:9 * f + 9], WORDS[45 + 3 * f + i]]) for f in range(5) for i in range(3))
+
+
 def evidence(seq, t, text, session, **other):
     return finding(seq, t, confidence=0.9, evidenceSnippet=text, sessionId=session, **other)
 
@@ -132,7 +136,7 @@ def test_flooded_key_in_many_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
     try:
         rows = [evidence(i, i, EVIDENCE[i % 3], f"s{i % 7}") for i in range(1_000)]
-        scanned = scan(spark, rows)
+        scanned = scan(spark, rows, Settings(campaigns=replace(DEFAULT, max_requests_per_cluster=100)))
         assert C.campaign_incidents(scanned).count() == 1
         counters, = C.campaign_counters(scanned).collect()
         assert (counters.embedded, counters.overflow) == (1_000, 900)
@@ -179,3 +183,16 @@ def test_cosine_and_centroids(spark):
 
     bad = spark.createDataFrame([([1.0], [1.0, 0.0]), ([], []), ([float("nan")], [1.0])], "a array<double>, b array<double>")
     assert [r[0] for r in bad.select(cosine(F.col("a"), F.col("b"))).collect()] == [None, None, None]
+
+
+def test_nothing_is_cut(spark):
+    """Over 20 clusters and sessions, 50 and 100 requests, and 1,000 characters of evidence."""
+    tail = " ".join(f"t{j}" for j in range(400))
+    rows = [evidence(i, i, f"{EVIDENCE[0]} {tail}", f"s{i % 40}") for i in range(150)]
+    rows += [evidence(1_000 + i, 200 + i, f"only{i} alone{i} single{i}", f"s{i}") for i in range(60)]
+    scanned = scan(spark, rows, Settings(emit_updates=True))
+    last = max(C.campaign_incidents(scanned).collect(), key=lambda r: r.emissionRevision)
+    assert (len(last.requestIds), len(last.sessionIds)) == (150, 40)
+    assert len(last.evidenceSnippets[0]) > 1_000
+    counters, = C.campaign_counters(scanned).collect()
+    assert (counters.embedded, counters.evicted, counters.overflow) == (210, 0, 0)

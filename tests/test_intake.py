@@ -144,3 +144,10 @@ def test_filters(spark):
     assert {r.seq for r in intake.findings(frame).collect()} == {1, 2, 3, 4}
     assert {r.seq for r in intake.triggered(frame).collect()} == {1, 2, 4}
     assert {r.seq for r in intake.evidence_bearing(frame, "PROMPT_INJECTION").collect()} == {2}
+
+
+def test_only_strict_json_is_an_event(spark):
+    single = json.dumps(REQUEST).replace('"', "'")
+    nan = json.dumps({**FINDING, "confidence": 0.5}).replace("0.5", "NaN")
+    raw = spark.createDataFrame([(single, "t", 0, 1), (nan, "t", 0, 2)], "value string, source string, partition int, seq long")
+    assert [r.reason_code for r in intake.parse(raw).collect()] == ["PARSE_ERROR", "PARSE_ERROR"]

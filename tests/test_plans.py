@@ -7,6 +7,7 @@ import pytest
 from railwatch.operators import incidents, intake
 from railwatch.plans.catalog import QUERIES
 from railwatch.plans.pipeline import Pipeline
+from railwatch.settings import Settings
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,7 +43,7 @@ def test_scans_read_only_their_columns(pipeline):
 
 
 def test_request_ids_are_limited_before_the_shuffle(pipeline):
-    text = plan(incidents.first_seen_lists(pipeline.session_state))
+    text = plan(incidents.first_seen_lists(pipeline.session_state, Settings(max_request_ids=50)))
     assert re.search(r"WindowGroupLimit .*Partial", text)
 
 
