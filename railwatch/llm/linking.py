@@ -5,100 +5,192 @@ Neither step holds a bucket or a component in one task, and neither emits all pa
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railwatch.sources.staging import staged
 
-SMALL_BUCKET = 12
-STRAYS_TRIED = (16, 256, None)
+WIDE_BUCKET = 64
+BLOCK = 512
+ROUNDS_BY_ID = 2
 
 
 def components(links: DataFrame) -> DataFrame:
     """``id, component`` for every end of ``links`` (``a, b``); the component is its smallest id.
 
-    Rounds of contraction: every node joins the neighbour that is first in a random order of the
-    round (a map-side minimum), twice over, and links between merged nodes are drawn between what they
-    became.  The order is new each round, so chains shrink by a constant factor.
+    Rounds of contraction: every node joins the neighbour that comes first (a map-side minimum), twice
+    over, and links between merged nodes are drawn between what they became.  The first rounds go by
+    id, which settles stars around small ids at once; later ones by a random order that is new each
+    round, so that chains shrink by a constant factor whatever their ids.
     """
-    edges = staged(links.select("a", "b").where("a <> b").distinct(), "links")
-    labels = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct().select("id", F.col("id").alias("root"))
-    labels = staged(labels, "labels")
-    spent = 0
+    edges = first_edges = staged(links.select("a", "b").where("a <> b").distinct(), "links")
+    jumps: list[DataFrame] = []
     while not edges.isEmpty():
-        spent += 1
+        spent = len(jumps)
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
-        first = both.groupBy("u").agg(F.min(F.struct(F.xxhash64("v", F.lit(spent)).alias("h"), F.col("v").alias("v"))).alias("m"))
-        step = staged(first.select(
-            F.col("u").alias("node"),
-            F.when(F.col("m.h") < F.xxhash64("u", F.lit(spent)), F.col("m.v")).otherwise(F.col("u")).alias("to"),
-        ), "step")
+        if spent < ROUNDS_BY_ID:
+            step = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("to"))
+        else:
+            first = both.groupBy("u").agg(F.min(F.struct(F.xxhash64("v", F.lit(spent)).alias("h"), F.col("v").alias("v"))).alias("m"))
+            step = first.select(
+                F.col("u").alias("node"),
+                F.when(F.col("m.h") < F.xxhash64("u", F.lit(spent)), F.col("m.v")).otherwise(F.col("u")).alias("to"),
+            )
         again = step.toDF("to", "further")
-        jump = staged(step.join(again, "to", "left").select("node", F.coalesce("further", "to").alias("to")), "jump")
-        labels = staged(
-            labels.join(jump.toDF("root", "to"), "root", "left").select("id", F.coalesce("to", "root").alias("root")), "labels"
-        )
+        jump = staged(step.join(again, "to").select("node", F.col("further").alias("to")), "jump")
+        jumps.append(jump)
         edges = staged(
             edges.join(jump.toDF("a", "x"), "a").join(jump.toDF("b", "y"), "b").where("x <> y")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links",
         )
+    labels = first_edges.select(F.col("a").alias("id")).union(first_edges.select("b")).distinct().select("id", F.col("id").alias("root"))
+    for jump in jumps:
+        labels = labels.join(jump.toDF("root", "to"), "root", "left").select("id", F.coalesce("to", "root").alias("root"))
+    labels = staged(labels, "labels")
     smallest = labels.groupBy("root").agg(F.min("id").alias("component"))
     return staged(labels.join(smallest, "root").select("id", "component"), "components")
 
 
-def _with_components(members: DataFrame, groups: DataFrame) -> DataFrame:
-    return members.join(groups, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-
-
-def linked_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_components(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], items: Callable[[DataFrame], DataFrame], compare: Callable,
+    traits: DataFrame | None = None, plausible: Callable[[str, str], Column] | None = None,
+) -> DataFrame:
     """Components of the links between members of the same bucket (``bucket, id``, distinct).
 
-    ``verify`` takes candidate pairs ``a, b`` with ``a < b`` and gives those that are links.
+    ``verify`` takes candidate pairs ``a, b`` with ``a < b`` and gives those that are links.  ``traits``
+    (``id`` and small columns) with ``plausible`` (a condition on the columns of two prefixes) rule out
+    pairs before their data is fetched.  ``items`` gives ``id`` and an item for rows of ``id``; it and ``compare``
+    serve block comparisons, see :func:`linked_blocks`.
 
     First every member is compared with the smallest id of its bucket.  Where a bucket then still
     holds several components, its strays (members outside the component of that smallest id) are
-    compared with all members of other components: in small buckets all of them at once, in large
-    ones a few, then more, then all, with components merged in between.  A pair is left out only
-    if both are known to be in one component, so no component is missed that the buckets offer,
-    and the number of pairs follows the number of strays, not the square of a bucket.
+    compared with all members of other components: pair by pair in buckets of at most
+    ``WIDE_BUCKET``; the wide ones are pooled by common members, and the strays of a pool meet its
+    members in blocks.  A pair is left out only if both are known to be in one component.
     """
-    sizes = members.groupBy("bucket").agg(
+    sizes = staged(members.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
-    ).where("n > 1")
-    sizes = staged(sizes, "buckets")
-    wide = sizes.where("n > 2")
-    inside = staged(members.join(wide.select("bucket", "low"), "bucket").select("bucket", "id", "low"), "members")
+    ).where("n > 1"), "buckets")
+    several = sizes.where("n > 2").select("bucket", "low", "n")
+    inside = staged(members.join(several, "bucket").select("bucket", "id", "low", "n"), "members")
     stars = inside.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
     pairs = sizes.where("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).union(stars).distinct()
-    links = [staged(verify(pairs), "verified")]
-    groups = components(links[0])
-    for tried in STRAYS_TRIED:
-        now = inside.join(groups, "id", "left").select("bucket", "low", "id", F.coalesce("component", "id").alias("component"))
-        heads = now.where("id = low").select("bucket", F.col("component").alias("main"))
-        strays = staged(now.join(heads, "bucket").where("component <> main"), "strays")
-        if strays.isEmpty():
-            break
-        stray_counts = strays.groupBy("bucket").agg(F.count(F.lit(1)).alias("strays"))
-        chosen = strays.join(stray_counts, "bucket")
-        if tried is not None:
-            share = F.pmod(F.xxhash64("id", "bucket"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-            chosen = chosen.where((F.col("strays") <= max(tried, SMALL_BUCKET)) | (share * F.col("strays") < tried))
-        one = chosen.select("bucket", F.col("id").alias("x"), F.col("component").alias("cx"), "low")
-        # Comparisons with the smallest id are done.
-        two = now.where("id <> low").select("bucket", F.col("id").alias("y"), F.col("component").alias("cy"))
-        pairs = one.join(two, "bucket").where("cx <> cy").select(
-            F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-        ).distinct()
-        found = staged(verify(pairs), "verified")
-        all_tried = chosen.count() == strays.count()
-        if not found.isEmpty():
-            links.append(found)
-            every = links[0]
-            for more in links[1:]:
-                every = every.union(more)
-            groups = components(every)
-        if all_tried:
-            break
-    return groups
+
+    def likely(found: DataFrame) -> DataFrame:
+        if traits is None:
+            return found
+        names = [c for c in traits.columns if c != "id"]
+        left = traits.select(F.col("id").alias("a"), *[F.col(c).alias(f"x_{c}") for c in names])
+        right = traits.select(F.col("id").alias("b"), *[F.col(c).alias(f"y_{c}") for c in names])
+        return found.join(left, "a").join(right, "b").where(plausible("x_", "y_")).select("a", "b")
+
+    links = staged(verify(likely(pairs)), "verified")
+    groups = components(links)
+    placed = inside.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    heads = inside.select("bucket", F.col("low").alias("id")).distinct().join(groups, "id", "left").select(
+        "bucket", F.coalesce("component", "id").alias("main")
+    )
+    placed = placed.join(heads, "bucket")
+    mixed = placed.where("component <> main").select("bucket").distinct()
+    placed = staged(placed.join(mixed, "bucket").select("bucket", "id", "low", "n", "component", "main"), "mixed")
+    if placed.isEmpty():
+        return groups
+
+    narrow = placed.where(F.col("n") <= WIDE_BUCKET)
+    if traits is not None:
+        narrow = narrow.join(traits, "id")
+    x = narrow.where("component <> main").select(*[F.col(c).alias(f"x_{c}") for c in narrow.columns])
+    y = narrow.where("id <> low").select(*[F.col(c).alias(f"y_{c}") for c in narrow.columns])
+    both = (F.col("x_bucket") == F.col("y_bucket")) & (F.col("x_component") != F.col("y_component"))
+    if plausible is not None:
+        both = both & plausible("x_", "y_")
+    more = x.join(y, both).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
+    links = links.union(staged(verify(more), "verified"))
+
+    wide = placed.where(F.col("n") > WIDE_BUCKET)
+    if not wide.isEmpty():
+        pools = components(wide.select(F.col("low").alias("a"), F.col("id").alias("b")))
+        wide = wide.join(pools.select("id", F.col("component").alias("pool")), "id")
+        strays = wide.where("component <> main").select("pool", "id").distinct()
+        links = links.union(staged(linked_blocks(strays, wide.select("pool", "id").distinct(), items, compare), "verified"))
+    return components(links)
+
+
+def linked_blocks(x: DataFrame, y: DataFrame, items: Callable[[DataFrame], DataFrame], compare: Callable) -> DataFrame:
+    """Links ``a, b`` that connect what all links between ``x`` and ``y`` of one pool connect.
+
+    ``x`` and ``y`` are rows of ``pool, id``.  Both are dealt into blocks of about ``BLOCK`` and
+    every pair of blocks of a pool is one group of bounded size: ``compare`` takes the ``item`` columns
+    of both blocks and gives a boolean matrix.  Of its links a spanning forest is given out, so no
+    more rows leave a group than it has members.
+    """
+    x, y = staged(x, "block-x"), staged(y, "block-y")
+
+    def blocks(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy("pool").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+
+    counts = blocks(x, "nx").join(blocks(y, "ny"), "pool")
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = x.join(counts, "pool").select("pool", own("nx").alias("i"), each("ny").alias("j"), F.lit(True).alias("first"), "id")
+    right = y.join(counts, "pool").select("pool", each("nx").alias("i"), own("ny").alias("j"), F.lit(False).alias("first"), "id")
+    keys = ["pool", "i", "j"]
+    known = staged(items(x.select("id").union(y.select("id")).distinct()).toDF("id", "item"), "block-items")
+    dealt = left.union(right).join(known, "id").select(*keys, "first", "id", "item").repartition(*keys).sortWithinPartitions(*keys)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in consecutive_groups(batches, keys):
+            first, ids = np.asarray(group.column("first")), np.asarray(group.column("id"))
+            item = group.column("item").chunk(0)
+            one, two = np.flatnonzero(first), np.flatnonzero(~first)
+            near = compare(item.take(pa.array(one)), item.take(pa.array(two))) & (ids[one][:, None] != ids[two][None, :])
+            a, b = forest(near)
+            a, b = ids[one[a]], ids[two[b]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return dealt.mapInArrow(link, "a long, b long").distinct()
+
+
+def forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the bipartite graph of a boolean matrix, as row and column numbers."""
+    rows_left, columns_left = near.any(axis=1), near.any(axis=0)
+    out_a, out_b = [], []
+    while rows_left.any():
+        frontier = np.array([np.argmax(rows_left)])
+        rows_left[frontier] = False
+        while len(frontier):
+            reached = near[frontier][:, columns_left].any(axis=0)
+            columns = np.flatnonzero(columns_left)[reached]
+            if not len(columns):
+                break
+            out_a.append(frontier[near[np.ix_(frontier, columns)].argmax(axis=0)])
+            out_b.append(columns)
+            columns_left[columns] = False
+            open_rows = np.flatnonzero(rows_left)
+            met = near[np.ix_(open_rows, columns)]
+            hit = met.any(axis=1)
+            frontier = open_rows[hit]
+            out_a.append(frontier)
+            out_b.append(columns[met[hit].argmax(axis=1)])
+            rows_left[frontier] = False
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *out_a]), np.concatenate([empty, *out_b])
+
+
+def consecutive_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows with equal ``keys`` in a sorted stream, one table each with whole columns."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        marks = np.stack([np.asarray(held.column(k)).astype(np.int64) for k in keys])
+        starts = np.flatnonzero(np.r_[True, (marks[:, 1:] != marks[:, :-1]).any(axis=0)]) if held.num_rows else []
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            yield held.slice(a, b - a).combine_chunks()
+        held = held.slice(starts[-1]) if len(starts) else held
+    if held is not None and held.num_rows:
+        yield held.combine_chunks()

@@ -14,8 +14,10 @@ from railwatch.llm.blocks import Slab, list_column, lowered, mix, slabs, span_ha
 from railwatch.llm.linking import linked_components
 from railwatch.sources.staging import ship_package, staged
 
-PERMUTATIONS = 64
-BANDS = 32  # of two permutations, that is four values, each
+PERMUTATIONS = 128
+BANDS = 42  # of three permutations, that is six values, each
+SKETCH_DIFFERENCE = 50  # of 256 bits
+SLOTS = 1 << 22
 
 _C1, _C2 = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -82,12 +84,18 @@ def bands(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketch(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """One bit of each signature value as four 64-bit words a group."""
+    bits = np.concatenate([mix(low) & np.uint64(1), mix(high) & np.uint64(1)]).astype(np.uint8)
+    return np.ascontiguousarray(np.packbits(bits, axis=0).T).view(np.uint64)
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """``id, n_shingles, print1, print2, bands``: a set's size, its 128-bit sum and its band hashes."""
+    """``id, n_shingles, print1, print2, bands, bits``: a set's size, 128-bit sum, band hashes and sketch."""
     schema = T.StructType([
         T.StructField("id", docs.schema["id"].dataType), T.StructField("n_shingles", T.LongType()),
         T.StructField("print1", T.LongType()), T.StructField("print2", T.LongType()),
-        T.StructField("bands", T.ArrayType(T.LongType())),
+        T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("bits", T.ArrayType(T.LongType())),
     ])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,16 +105,18 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 count = np.bincount(rows, minlength=slab.rows)
                 held = np.flatnonzero(count)
                 prints = np.zeros((2, slab.rows), np.uint64)
-                flat = np.zeros(0, np.uint64)
+                flat = bits = np.zeros(0, np.uint64)
                 if len(held):
                     first = np.r_[0, np.cumsum(count[held])[:-1]]
                     for k, c in enumerate((_C1, _C2)):
                         prints[k, held] = np.add.reduceat(mix(value ^ c), first)
-                    flat = bands(*min_max(value, first)).T.ravel()
+                    low, high = min_max(value, first)
+                    flat, bits = bands(low, high).T.ravel(), sketch(low, high).ravel()
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(slab.first, slab.rows), pa.array(count.astype(np.int64)),
                     pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64)),
                     list_column(flat.view(np.int64), np.where(count > 0, BANDS, 0), pa.int64()),
+                    list_column(bits.view(np.int64), np.where(count > 0, 4, 0), pa.int64()),
                 ], names=schema.names)
 
     return docs.mapInArrow(sign, schema)
@@ -150,6 +160,47 @@ def _similar(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(compare, "a long, b long")
 
 
+def _shared(percent: int):
+    """Comparison of two blocks of sets, for :func:`railwatch.llm.linking.linked_blocks`."""
+
+    def compare(one: pa.Array, two: pa.Array) -> np.ndarray:
+        sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in side] for side in (one, two)]
+        sizes = [np.array([len(x) for x in side], np.float64) for side in sets]
+        values = [np.concatenate([np.zeros(0, np.uint64), *side]) for side in sets]
+        common = np.intersect1d(np.unique(values[0]), np.unique(values[1]))
+        shared = np.zeros((len(sets[0]), len(sets[1])), np.float32)
+        rows = [np.repeat(np.arange(len(side)), [len(x) for x in side]) for side in sets]
+        places = [np.searchsorted(common, v) for v in values]
+        known = [(p < len(common)) & (common[np.minimum(p, max(len(common) - 1, 0))] == v if len(common) else False) for p, v in zip(places, values, strict=True)]
+        # In slices of the common shingles, so that the matrices stay small.
+        for at in range(0, len(common), 4096):
+            parts = []
+            for k in (0, 1):
+                on = known[k] & (places[k] >= at) & (places[k] < at + 4096)
+                matrix = np.zeros((len(sets[k]), 4096), np.float32)
+                matrix[rows[k][on], places[k][on] - at] = 1
+                parts.append(matrix)
+            shared += parts[0] @ parts[1].T
+        union = sizes[0][:, None] + sizes[1][None, :] - shared
+        return (union > 0) & (100 * shared >= percent * union)
+
+    return compare
+
+
+def likely_among(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose id is in ``ids``, and few others, without a shuffle of texts.
+
+    A bitmap of hashed ids has ``SLOTS`` bits, kept as at most ``SLOTS / 64`` rows of two numbers,
+    so it can be broadcast whatever the number of ids.
+    """
+    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {SLOTS}) % 64 AS int))")
+    words = ids.select(F.floor(slot / 64).alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    marked = texts.withColumn("_at", F.floor(slot / 64)).withColumn("_own", bit)
+    likely = marked.join(F.broadcast(words), F.col("_at") == F.col("_word")).where(F.col("_own").bitwiseAND(F.col("_bits")) != 0)
+    return likely.select(*texts.columns)
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -159,10 +210,12 @@ def near_duplicates(
     shorter text is one shingle).  Documents link where their sets share ``percent`` hundredths of
     their union; the component is the smallest id reachable.
 
-    64 permutations give 128 signature values, a minimum and a maximum each, in 32 bands of four: a
-    pair at the threshold meets in some band with probability 1 - (1 - 0.8**4)**32 > 0.9999999.
-    Equal sets are joined before by a 128-bit sum and enter as one.  Candidates from the bands are
-    compared on their full sets.
+    128 permutations give 256 signature values, a minimum and a maximum each, in 42 bands of six: a
+    pair at 0.8 meets in some band with probability 1 - (1 - 0.8**6)**42 > 0.999997.  Candidates whose
+    one-bit sketches differ in over 50 of 256 places are left out (a pair at 0.8 differs in 26 on
+    average, with a deviation of 5, so one in some millions is missed).  Equal sets are joined before
+    by a 128-bit sum and enter as one.  All other candidates are compared on their full sets.  Both
+    figures are for ``percent`` = 80; a lower one needs other bands.
 
     Null and empty texts, and texts of white space, have no shingle and link with nothing.  Rows
     with a null id are returned with a null component and are not kept.  Rows that repeat an id
@@ -176,29 +229,31 @@ def near_duplicates(
     sets = staged(
         signed.where("n_shingles > 0 AND id IS NOT NULL").groupBy(*prints).agg(F.min("id").alias("rep")), "sets"
     )
-    leading = signed.where("n_shingles > 0").join(
+    leading = staged(signed.where("n_shingles > 0").join(
         sets.withColumnRenamed("rep", "id"), [*prints, "id"], "left_semi"
-    )
+    ).select("id", "n_shingles", "bands", *[F.get("bits", F.lit(k)).alias(f"w{k}") for k in range(4)]), "leading")
     members = leading.select("id", F.posexplode("bands").alias("band", "hash")).select(
         F.xxhash64("band", "hash").alias("bucket"), "id"
     ).distinct()
-    wanted: list[DataFrame] = []
+    traits = leading.select("id", "n_shingles", "w0", "w1", "w2", "w3").dropDuplicates(["id"])
+
+    def plausible(x: str, y: str):
+        apart = sum((F.bit_count(F.col(f"{x}w{k}").bitwiseXOR(F.col(f"{y}w{k}"))) for k in range(4)), F.lit(0))
+        small, large = F.least(f"{x}n_shingles", f"{y}n_shingles"), F.greatest(f"{x}n_shingles", f"{y}n_shingles")
+        return (100 * small >= percent * large) & (apart <= SKETCH_DIFFERENCE)
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        # The exact join stands behind the sets: before them it would shuffle every text.
+        return shingle_sets(likely_among(texts, ids), width).join(ids, "id", "left_semi")
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs, "pairs")
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        if not wanted:
-            # Later rounds compare members of the same buckets; most of their sets are here already.
-            wanted.append(staged(shingle_sets(texts.join(ids, "id", "left_semi"), width), "shingles"))
-            known = wanted[0]
-        else:
-            missing = ids.join(wanted[0].select("id"), "id", "left_anti")
-            known = wanted[0].union(shingle_sets(texts.join(missing, "id", "left_semi"), width))
+        known = staged(sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), "shingles")
         one = pairs.join(known.select(F.col("id").alias("a"), F.col("items").alias("one")), "a")
         both = one.join(known.select(F.col("id").alias("b"), F.col("items").alias("two")), "b")
         return _similar(both.select("a", "b", "one", "two"), percent).distinct()
 
-    groups = linked_components(members, verify)
+    groups = linked_components(members, verify, sets_of, _shared(percent), traits, plausible)
     placed = sets.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select(
         *[F.col(c).alias(f"_{c}") for c in prints], F.coalesce("component", "rep").alias("_component")
     )

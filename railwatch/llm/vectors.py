@@ -181,7 +181,12 @@ def near_vectors(
             both = one.join(vectors.select(F.col("id").alias("b"), F.col("vector").alias("y")), "b")
             return _close(both.select("a", "b", "x", "y"), cosine, dimension).distinct()
 
-        groups = linked_components(members, verify)
+        def compare(one: pa.Array, two: pa.Array) -> np.ndarray:
+            x, y = (matrix(side, dimension) for side in (one, two))
+            return (x / np.linalg.norm(x, axis=1)[:, None]) @ (y / np.linalg.norm(y, axis=1)[:, None]).T >= cosine
+
+        items = lambda ids: vectors.join(ids, "id", "left_semi").select("id", "vector")
+        groups = linked_components(members, verify, items, compare)
         links = _link_counts(vectors, groups, cosine, dimension)
     else:
         groups = data.sparkSession.createDataFrame([], "id long, component long")
