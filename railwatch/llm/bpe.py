@@ -355,23 +355,24 @@ class Encoder:
     """Counts or ids of whole texts, with a table of the pieces seen so far.
 
     The table holds at most half of ``2 ** TABLE_BITS`` pieces and is emptied when full, so its
-    memory does not grow with the data.
+    memory does not grow with the data; a single text with more pieces than that gets a larger one.
     """
 
     def __init__(self, path: str, keep_ids: bool) -> None:
         self.vocabulary, self.keep_ids = Vocabulary(path), keep_ids
         self._clear()
 
-    def _clear(self) -> None:
-        self.keys = np.zeros(1 << TABLE_BITS, np.uint64)
-        self.counts = np.zeros(1 << TABLE_BITS, np.int32)
-        self.places = np.zeros(1 << TABLE_BITS, np.int64)
+    def _clear(self, pieces: int = 0) -> None:
+        self.bits = max(TABLE_BITS, (2 * pieces).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.counts = np.zeros(1 << self.bits, np.int32)
+        self.places = np.zeros(1 << self.bits, np.int64)
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = self.flat_used = 0
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Slot of each key, or -1."""
-        mask = np.uint64((1 << TABLE_BITS) - 1)
+        mask = np.uint64((1 << self.bits) - 1)
         out = np.full(len(keys), -1, np.int64)
         rows, slot = np.arange(len(keys)), (keys & mask).astype(np.int64)
         while len(rows):
@@ -384,7 +385,7 @@ class Encoder:
 
     def _insert(self, keys: np.ndarray) -> np.ndarray:
         """New distinct keys; gives their slots."""
-        mask = (1 << TABLE_BITS) - 1
+        mask = (1 << self.bits) - 1
         out = np.zeros(len(keys), np.int64)
         rows, slot = np.arange(len(keys)), (keys & np.uint64(mask)).astype(np.int64)
         while len(rows):
@@ -397,8 +398,6 @@ class Encoder:
         return out
 
     def _learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, keys: np.ndarray) -> None:
-        if self.used + len(keys) > 1 << (TABLE_BITS - 1):
-            self._clear()
         slots = self._insert(keys)
         long = end - start > LONG_PIECE
         groups = [(slots[~long], *self.vocabulary.encode(data, start[~long], end[~long]))]
@@ -467,14 +466,12 @@ class Encoder:
         new = np.flatnonzero((slot < 0) & (special < 0))
         if len(new):
             distinct, first = np.unique(keys[new], return_index=True)
-            room = (1 << (TABLE_BITS - 1)) // 2
-            if self.used + len(distinct) > 1 << (TABLE_BITS - 1):
-                self._clear()
-                distinct, first = np.unique(keys[special < 0], return_index=True)
+            if self.used + len(distinct) > 1 << (self.bits - 1):
                 new = np.flatnonzero(special < 0)
-            for i in range(0, len(distinct), room):
-                chosen = new[first[i:i + room]]
-                self._learn(slab.data, start[chosen], end[chosen], distinct[i:i + room])
+                distinct, first = np.unique(keys[new], return_index=True)
+                self._clear(len(distinct))
+            chosen = new[first]
+            self._learn(slab.data, start[chosen], end[chosen], distinct)
             slot = self._find(keys)
         return slot, row, special
 

@@ -16,6 +16,7 @@ from railwatch.sources.staging import ship_package, staged
 
 BLOCK_ROWS = 16_384
 PATIENCE = 48
+PASSES = 6
 
 
 def best_fit(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, int]:
@@ -46,33 +47,39 @@ def empty_bins(lengths: np.ndarray, at: np.ndarray, bins: int, limit: int, patie
 
     A piece leaves by a move into free room, by an exchange with one shorter piece of a fuller bin,
     or by an exchange with two.  Each of the three raises the sum of squared fills, as room passes
-    from a fuller to an emptier bin.  The search ends after ``patience`` bins in a row that could not
-    be emptied.
+    from a fuller to an emptier bin.  A pass ends after ``patience`` bins in a row that could not be
+    emptied; what it moved between them may let the next pass empty one, so passes go on while
+    something moves, ``PASSES`` times at most.
     """
     at = at.copy()
     fill = np.bincount(at, weights=lengths, minlength=bins).astype(np.int64)
-    tried = np.zeros(bins, bool)
-    failed = 0
-    while failed < patience:
-        candidates = np.flatnonzero((fill > 0) & (fill < limit) & ~tried)
-        if not len(candidates):
+    for _ in range(PASSES):
+        tried, failed, moved = np.zeros(bins, bool), 0, False
+        while failed < patience:
+            candidates = np.flatnonzero((fill > 0) & (fill < limit) & ~tried)
+            if not len(candidates):
+                break
+            donor = int(candidates[np.argmin(fill[candidates])])
+            tried[donor] = True
+            if not failed and limit * int((fill > 0).sum()) - int(lengths.sum()) < limit:
+                return at  # the free room of all bins together is less than one bin
+            moved |= _press(donor, lengths, at, fill, limit)
+            failed = 0 if fill[donor] == 0 else failed + 1
+        if not moved:
             break
-        donor = int(candidates[np.argmin(fill[candidates])])
-        tried[donor] = True
-        if (limit - fill[(fill > 0)]).sum() - (limit - fill[donor]) < fill[donor]:
-            break  # all other bins together lack the room
-        _press(donor, lengths, at, fill, limit)
-        failed = 0 if fill[donor] == 0 else failed + 1
     return at
 
 
-def _press(donor: int, lengths: np.ndarray, at: np.ndarray, fill: np.ndarray, limit: int) -> None:
+def _press(donor: int, lengths: np.ndarray, at: np.ndarray, fill: np.ndarray, limit: int) -> bool:
+    """Move what can be moved out of a bin; whether anything was."""
+    moved = False
     while fill[donor]:
         changed = False
         pieces = np.flatnonzero(at == donor)
         for i in pieces[np.argsort(-lengths[pieces], kind="stable")].tolist():
             size = int(lengths[i])
-            room = limit - fill
+            # Only fuller bins take: that raises the sum of squares.
+            room = np.where(fill >= fill[donor], limit - fill, -1)
             room[donor] = -1
             fits = np.where((room >= size) & (fill > 0), room, limit + 1)
             best = int(np.argmin(fits))
@@ -108,7 +115,9 @@ def _press(donor: int, lengths: np.ndarray, at: np.ndarray, fill: np.ndarray, li
                 fill[other] += size - both[k]
                 fill[donor] -= size - both[k]
         if not changed:
-            return
+            break
+        moved = True
+    return moved
 
 
 def pack_block(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, int]:
