@@ -134,6 +134,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     ), "mix-sizes")
     targets = source_targets(sizes, options.get("weights", (5, 2, 1)), options.get("share", 1.5), options.get("most", 2))
     found = thresholds(sizes, targets).select(F.col("source").alias("_source"), F.col("whole").alias("_whole"), F.col("upto").alias("_upto"))
-    copies = F.col("_whole") + (place(F.col(id_col)) <= F.col("_upto")).cast("long")
-    taken = docs.join(found, F.col(source_col).eqNullSafe(F.col("_source"))).withColumn("_copies", copies).where("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    # Rows travel as one struct, so that no column of theirs can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(source_col).alias("key"), place(F.col(id_col)).alias("point"))
+    copies = F.col("_whole") + (F.col("point") <= F.col("_upto")).cast("long")
+    taken = rows.join(found, F.col("key").eqNullSafe(F.col("_source"))).withColumn("copies", copies).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
