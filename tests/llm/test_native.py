@@ -161,4 +161,5 @@ def test_templates_separate_bad_branches(spark):
     got = {r.path: r for r in urls.judge(pages, label=F.col("bad")).collect()}
     assert got["/shop/777/view"].verdict == "block" and got["/shop/777/view"].template == "/shop/#/view"
     assert got["/blog/777/view"].verdict == "allow"
-    assert got["/u/abx"].template == "/u/*" if "/u/abx" in got else True
+    # Many different segments become a wildcard; a branch as bad as its siblings together joins them.
+    assert got["/u/zz9"].template in ("/u/*", "/*/*") and got["/u/aax"].template == got["/u/zz9"].template
