@@ -42,6 +42,25 @@ def findings_around_requests(events: DataFrame, before_ms: int = 2_000, after_ms
     )
 
 
+def request_findings(events: DataFrame, before_ms: int = 2_000, after_ms: int = 30_000) -> DataFrame:
+    """Pairs of a request and a finding of its session in ``[request - before, request + after]``.
+
+    Joined by slices of time as wide as the interval: a request looks into the two that it touches, so
+    a long session is spread over its slices.
+    """
+    width = before_ms + after_ms
+    t = F.col("eventTimeMillis")
+    asked = events.where(F.col("eventType") == REQUEST).select(
+        *SESSION, "requestId", F.col("seq").alias("requestSeq"), t.alias("requestMillis"),
+        F.explode(F.array_distinct(F.array(F.floor((t - before_ms) / width), F.floor((t + after_ms) / width)))).alias("slice"),
+    )
+    found = events.where(F.col("eventType") == FINDING).select(
+        *SESSION, F.col("seq").alias("findingSeq"), t.alias("findingMillis"), "guardrailName", "triggered", F.floor(t / width).alias("slice")
+    )
+    near = F.col("findingMillis").between(F.col("requestMillis") - before_ms, F.col("requestMillis") + after_ms)
+    return asked.join(found, [*SESSION, "slice"]).where(near).drop("slice")
+
+
 def requests(events: DataFrame, key: str = "requestId") -> DataFrame:
     """The events of one request side by side; ``multiSignal`` when two guardrails fired."""
     kind, fired = F.col("eventType"), F.coalesce(F.col("triggered"), F.lit(False))

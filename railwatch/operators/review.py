@@ -53,6 +53,20 @@ def slices(events: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     )
 
 
+def window_slices(events: DataFrame, dimensions: Sequence[str], size_ms: int) -> DataFrame:
+    """Finding counts per window and value of each dimension, one row per (dimension, value)."""
+    slices_of = F.explode(F.array(*[
+        F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value")) for d in dimensions
+    ]))
+    start = window_start(F.col("eventTimeMillis"), size_ms).alias("windowStartMillis")
+    return findings(events).select("triggered", "outputTokens", start, slices_of.alias("s")).groupBy(
+        "windowStartMillis", "s.dimension", "s.value"
+    ).agg(
+        F.count(F.lit(1)).alias("findings"), F.count_if(F.col("triggered")).alias("triggered"),
+        F.sum(F.col("outputTokens").cast("long")).alias("outputTokens"),
+    )
+
+
 def latency_by_version(events: DataFrame, percent: int = 95) -> DataFrame:
     """Nearest-rank detector latency per guardrail version.
 

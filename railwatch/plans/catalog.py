@@ -364,11 +364,14 @@ def _(p: Pipeline) -> DataFrame:
     return correlation.findings_around_requests(p.events)
 
 
+@query("request_findings")
+def _(p: Pipeline) -> DataFrame:
+    return correlation.request_findings(p.events)
+
+
 @query("request_correlation")
 def _(p: Pipeline) -> DataFrame:
-    """Events of one session minute stand for one request."""
-    minute = F.concat(F.lit("minute-"), F.floor(F.col("eventTimeMillis") / MINUTE_MS).cast("string"))
-    return correlation.requests(p.events.withColumn("requestId", minute))
+    return correlation.requests(p.events)
 
 
 @query("enriched_findings")
@@ -405,6 +408,11 @@ def _(p: Pipeline) -> DataFrame:
     return review.slices(p.events, ("tenantId", "agentId", "modelName", "sessionId"))
 
 
+@query("slice_windows")
+def _(p: Pipeline) -> DataFrame:
+    return review.window_slices(p.events, ("sessionId", "modelName", "channel", "tenantId"), 5 * MINUTE_MS)
+
+
 @query("latency_by_version")
 def _(p: Pipeline) -> DataFrame:
     return review.latency_by_version(p.events)

@@ -549,8 +549,14 @@ FROM ev r LEFT JOIN ev f ON f."eventType" = 'GUARDRAIL_FINDING' AND f."agentId"
   AND f."sessionId" = r."sessionId"
   AND f."eventTimeMillis" BETWEEN r."eventTimeMillis" - 2000 AND r."eventTimeMillis" + 30000
 WHERE r."eventType" = 'AGENT_REQUEST' GROUP BY 1, 2, 3, 4"""
+ORACLES["request_findings"] = f"""WITH {ROUTED}
+SELECT r."agentId", r."sessionId", r."requestId", r.seq AS "requestSeq", r."eventTimeMillis" AS "requestMillis",
+  f.seq AS "findingSeq", f."eventTimeMillis" AS "findingMillis", f."guardrailName", f.triggered
+FROM ev r JOIN ev f ON f."eventType" = 'GUARDRAIL_FINDING' AND f."agentId" = r."agentId" AND f."sessionId" = r."sessionId"
+  AND f."eventTimeMillis" BETWEEN r."eventTimeMillis" - 2000 AND r."eventTimeMillis" + 30000
+WHERE r."eventType" = 'AGENT_REQUEST'"""
 ORACLES["request_correlation"] = f"""WITH {ROUTED}, grouped AS (
-  SELECT "agentId", "sessionId", 'minute-' || ("eventTimeMillis" // 60000) AS "requestId",
+  SELECT "agentId", "sessionId", "requestId",
     count(*) FILTER (WHERE "eventType" = 'AGENT_REQUEST') AS requests,
     count(*) FILTER (WHERE "eventType" = 'AGENT_RESPONSE') AS responses,
     count(*) FILTER (WHERE "eventType" = 'GUARDRAIL_FINDING') AS findings,
@@ -601,6 +607,14 @@ ORACLES["slice_rollup"] = f"""WITH {ROUTED}
 SELECT "tenantId", "agentId", "modelName", "sessionId", count(*) AS findings,
   count(*) FILTER (WHERE triggered) AS triggered, CAST(sum("outputTokens") AS BIGINT) AS "outputTokens"
 FROM ev WHERE "eventType" = 'GUARDRAIL_FINDING' GROUP BY ROLLUP ("tenantId", "agentId", "modelName", "sessionId")"""
+ORACLES["slice_windows"] = f"""WITH {ROUTED}, sliced AS (
+  SELECT "eventTimeMillis" // 300000 * 300000 AS "windowStartMillis", triggered, "outputTokens", unnest([
+    {{'dimension': 'sessionId', 'value': "sessionId"}}, {{'dimension': 'modelName', 'value': "modelName"}},
+    {{'dimension': 'channel', 'value': channel}}, {{'dimension': 'tenantId', 'value': "tenantId"}}]) AS s
+  FROM ev WHERE "eventType" = 'GUARDRAIL_FINDING')
+SELECT "windowStartMillis", s.dimension AS dimension, s.value AS value, count(*) AS findings,
+  count(*) FILTER (WHERE triggered) AS triggered, CAST(sum("outputTokens") AS BIGINT) AS "outputTokens"
+FROM sliced GROUP BY 1, 2, 3"""
 ORACLES["latency_by_version"] = f"""WITH {ROUTED}
 SELECT "guardrailName", "guardrailVersion", count(*) AS findings,
   quantile_disc("detectorLatencyMs", 0.95) AS "latencyMs", max("detectorLatencyMs") AS "maxLatencyMs"
