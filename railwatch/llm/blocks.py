@@ -7,13 +7,20 @@ size of a batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-SLAB_BYTES = 2 << 20
+SLAB_BYTES = 1 << 20
+
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim
+except (OSError, AttributeError):  # another C library keeps its own rules
+    _libc = None
 
 # Odd multiplier of the positional hash and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
@@ -71,10 +78,14 @@ def slabs(column: pa.Array, limit: int = SLAB_BYTES) -> Iterator[Slab]:
     """Cut a string column into slabs; null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
     if not len(column):
         return
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    # Read in place: a null takes no bytes of its own.
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], kind)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    if column.null_count and (np.diff(offsets)[np.asarray(column.is_null())] > 0).any():
+        column = column.fill_null("")
+        offsets = np.frombuffer(column.buffers()[1], kind)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     raw = column.buffers()[2]
     data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
     first = 0
@@ -83,6 +94,14 @@ def slabs(column: pa.Array, limit: int = SLAB_BYTES) -> Iterator[Slab]:
         last = min(max(last, first + 1), len(column))
         yield Slab(first, last, data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
         first = last
+    release()
+
+
+def release() -> None:
+    """Give memory that batches have freed back to the system; workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
 
 
 _IS_SPACE = np.zeros(256, bool)

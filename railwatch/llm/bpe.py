@@ -33,7 +33,7 @@ SPACE_WORD, SPACE_RUN, WHITE_WORD, WHITE_RUN, LETTER, NUMBER, OTHER, SHORT_FORM,
 START, IN_LETTERS, IN_NUMBER, IN_OTHER, AFTER_SPACE, IN_WHITE, TWO_LEFT, ONE_LEFT = range(8)
 CHUNK = 128
 LONG_PIECE = 96
-TABLE_BITS = 21
+TABLE_BITS = 20
 
 
 def _splitter() -> tuple[np.ndarray, np.ndarray]:
@@ -366,7 +366,7 @@ class Encoder:
         self.bits = max(TABLE_BITS, (2 * pieces).bit_length())
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.counts = np.zeros(1 << self.bits, np.int32)
-        self.places = np.zeros(1 << self.bits, np.int64)
+        self.places = np.zeros(1 << self.bits, np.int32)
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = self.flat_used = 0
 
@@ -488,7 +488,7 @@ class Encoder:
         each = np.where(plain, self.counts[slot], 1).astype(np.int64)
         offsets = np.zeros(len(each) + 1, np.int64)
         np.cumsum(each, out=offsets[1:])
-        source = np.repeat(np.where(plain, self.places[slot], 0) - offsets[:-1], each) + np.arange(offsets[-1])
+        source = np.repeat(np.where(plain, self.places[slot].astype(np.int64), 0) - offsets[:-1], each) + np.arange(offsets[-1])
         flat = self.flat[source]
         for i in np.flatnonzero(~plain):
             flat[offsets[i]] = self.vocabulary.special_ids[special[i]]
