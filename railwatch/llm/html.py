@@ -7,21 +7,21 @@ other has once becomes a repeated group, and items that only one side has become
 result has no alternatives, only slots, optional items and repeated groups, and so can be merged
 with another wrapper in the same way; wrappers of partitions merge into one of the host.
 
-The wrapper tells template text (slots that say the same on every page) from content.  What is
-content is then read from the page with the elements that are never part of an article left out.
+Template text is what an item says on nearly all pages of a host, outside of their main regions.
+Every item of every page is counted for that, over distinct contents, as rows that Spark groups.  What
+is content is then read from the page with the elements that are never part of an article left out.
 """
 
 from __future__ import annotations
 
 import html as references
-import json
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from hashlib import blake2b
 from zlib import crc32
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +33,7 @@ from railwatch.sources.staging import ship_package, staged
 LONGEST_GROUP = 12
 MOST_ITEMS = 300  # of a wrapper; beyond it the rarest optional items are forgotten
 PAGES_FOR_TEMPLATE = 4
-HOSTS_HELD = 1_000
-MERGE_WAYS = 32
+NEARLY_ALL = 90  # per cent of a host's distinct contents that a template slot is on
 
 # Names of elements and of their roles.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -313,27 +312,32 @@ def merge(one: list[list], two: list[list]) -> list[list]:
     return out
 
 
-def template_slots(wrapper: list[list], pages: int) -> list[list]:
-    """``[block, checksum]`` of the slots that say the same on all of at least four pages.
+def _digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
-    If most text of the host would go that way, its pages are copies, not a template, and none does.
+
+def slots(page: Page) -> list[tuple[int, int, int]]:
+    """``(digest of block and text, start, end)`` of the items with text that may be template text.
+
+    Items with text in a main region are content and items that are never shown need no template.
     """
-    fixed = [i for i in wrapper if i[1] >= PAGES_FOR_TEMPLATE and i[2] and i[3] and "#" in i[0]]
-    total = sum(i[3] for i in wrapper)
-    if pages < PAGES_FOR_TEMPLATE or 2 * sum(i[3] for i in fixed) > total:
+    blocks = {b.at: b for b in page.blocks}
+    if all(b.never or b.region >= 0 for b in page.blocks):
         return []
-    return [[i[0], i[2]] for i in fixed]
+    out = []
+    for block, start, end in fold(page.stream):
+        said = [blocks[i] for i in range(start, end) if i in blocks]
+        if said and all(b.region < 0 for b in said) and not all(b.never for b in said):
+            out.append((_digest("\n".join(["\t".join(block), *(b.text for b in said)])), start, end))
+    return out
 
 
-def main_text(page: Page, template: list[list]) -> str:
+def main_text(page: Page, template: Collection[int]) -> str:
     """The blocks of a page that are content, joined by line breaks."""
     dropped: set[int] = set()
     if template:
-        known = {(tuple(block), mark) for block, mark in template}
-        texts = {b.at: b.text for b in page.blocks}
-        for block, start, end in fold(page.stream):
-            said = [texts[i] for i in range(start, end) if i in texts]
-            if said and (block, crc32("\n".join(said).encode("utf-8", "replace"))) in known:
+        for slot, start, end in slots(page):
+            if slot in template:
                 dropped.update(range(start, end))
     shown = [b for b in page.blocks if not b.never and b.at not in dropped]
     sizes: dict[int, int] = {}
@@ -348,86 +352,58 @@ def main_text(page: Page, template: list[list]) -> str:
     return "\n".join(b.text for b in shown)
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """``host, pages, wrapper`` from rows of ``host, html``; every page enters.
+def templates(pages: DataFrame) -> DataFrame:
+    """``host, template`` from rows of ``host, html``: the slots of hosts that have any; every page enters.
 
-    A task keeps one wrapper for each host it meets and gives it out when it holds many hosts; these
-    partial wrappers are merged in two steps, so a host with very many pages is spread.
+    A slot is template text if nearly all distinct contents of the host have it, and at least four.
+    Pages whose shown text is the same are one content.  Only digests are grouped, first by
+    (host, slot, content), then map side by (host, slot), so neither a host nor a page is too big; a
+    host's template has hardly more slots than a page.
     """
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
-
-        def give() -> pa.RecordBatch:
-            rows = list(held.items())
-            out = pa.RecordBatch.from_arrays([
-                pa.array([h for h, _ in rows], pa.string()), pa.array([w[0] for _, w in rows], pa.int64()),
-                pa.array([json.dumps(w[1]) for _, w in rows], pa.string()),
-            ], names=["host", "pages", "wrapper"])
-            held.clear()
-            return out
-
+    def read_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for host, markup in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = wrapper_of(read(markup.as_py() or ""))
-                if host in held:
-                    held[host] = [held[host][0] + 1, merge(held[host][1], found)]
-                else:
-                    held[host] = [1, found]
-                if len(held) > HOSTS_HELD:
-                    yield give()
-        if held:
-            yield give()
-
-    def unite(rows: pd.DataFrame) -> pd.DataFrame:
-        # In a fixed order, as the alignment of several wrappers can depend on it.
-        rows = rows.sort_values(["pages", "wrapper"], ascending=[False, True])
-        found = json.loads(rows["wrapper"].iloc[0])
-        for other in rows["wrapper"].iloc[1:]:
-            found = merge(found, json.loads(other))
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "pages": [int(rows["pages"].sum())], "wrapper": [json.dumps(found)]})
-
-    schema = "host string, pages long, wrapper string"
-    partial = pages.mapInArrow(build, schema).withColumn("_way", F.pmod(F.xxhash64("wrapper", F.spark_partition_id()), F.lit(MERGE_WAYS)))
-    some = partial.groupBy("host", "_way").applyInPandas(unite, schema)
-    return some.groupBy("host").applyInPandas(unite, schema)
+            contents, found = [], []
+            for markup in batch.column(1):
+                page = read(markup.as_py() or "")
+                shown = [b.text for b in page.blocks if not b.never]
+                contents.append(_digest("\n".join(shown)) if shown else None)
+                found.append(sorted({s[0] for s in slots(page)}))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(contents, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["host", "content", "slots"]
+            )
+
+    told = staged(pages.mapInArrow(read_slots, "host string, content long, slots array<long>").where("content IS NOT NULL"), "slots")
+    contents = told.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_contents"))
+    counts = told.select("host", "content", F.explode("slots").alias("slot")).distinct().groupBy("host", "slot").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") >= PAGES_FOR_TEMPLATE).join(contents, "host").where(
+        F.col("_n") * 100 >= F.col("_contents") * NEARLY_ALL
+    ).groupBy("host").agg(F.sort_array(F.collect_list("slot")).alias("template"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id, url, text`` for every page.
 
-    Wrappers are inferred from all pages of each host; hosts whose wrapper has template slots send
-    the list of these to their pages, the others nothing.  A page's text is that of its longest main
+    Template slots are counted over all pages of each host; hosts that have any send the list of
+    these to their pages, the others nothing.  A page's text is that of its longest main
     region (article, main), else of all its blocks but links and headers; menus, footers, asides,
     notices, adverts, forms, comments and hidden parts are left out.
 
     Null and empty markup gives an empty text; a null url has the empty host.  Null ids and repeated
-    rows are extracted each (repeats make a host's text look alike: a host of copies keeps its
-    text).  Other columns are not carried.  An empty table gives an empty result.
+    rows are extracted each (repeats are one content: a host of copies keeps its text).  Other columns are not carried.  An empty table gives an empty result.
     """
     ship_package(pages.sparkSession)
     data = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     hosted = data.withColumn("host", host_of(F.col("url")))
-    inferred = staged(wrappers(hosted.select("host", "html")), "wrappers")
-
-    @F.pandas_udf(T.StringType())
-    def slots(count: pd.Series, wrapper: pd.Series) -> pd.Series:
-        found = [template_slots(json.loads(w), n) for n, w in zip(count, wrapper, strict=True)]
-        return pd.Series([json.dumps(f) if f else None for f in found], dtype=object)
-
-    told = staged(inferred.select(F.col("host").alias("_host"), slots("pages", "wrapper").alias("template")).where("template IS NOT NULL"), "templates")
+    told = staged(templates(hosted.select("host", "html")).withColumnRenamed("host", "_host"), "templates")
     joined = hosted.join(told, F.col("host") == F.col("_host"), "left").select("id", "url", "html", "template")
     kind = pages.schema[id_col].dataType
 
     def text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parsed: dict[str, list] = {}
         for batch in batches:
-            out = []
-            for markup, template in zip(batch.column(2), batch.column(3).to_pylist(), strict=True):
-                if template and template not in parsed:
-                    if len(parsed) > HOSTS_HELD:
-                        parsed.clear()
-                    parsed[template] = json.loads(template)
-                out.append(main_text(read(markup.as_py() or ""), parsed[template] if template else []))
+            out = [
+                main_text(read(markup.as_py() or ""), frozenset(template or ()))
+                for markup, template in zip(batch.column(2), batch.column(3).to_pylist(), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["id", "url", "text"])
 
     schema = T.StructType([T.StructField("id", kind), T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])

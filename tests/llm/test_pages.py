@@ -78,6 +78,28 @@ def test_template_slots_go_and_copies_stay(spark):
     assert pages.extract(df.where("false")).collect() == []
 
 
+def texts_of(spark, rows):
+    df = spark.createDataFrame([(i, f"http://{host}/{i}", markup) for i, (host, markup) in enumerate(rows)], "page_id long, url string, html string")
+    return [r.text for r in sorted(pages.extract(df).collect(), key=lambda r: r.page_id)]
+
+
+def test_template_is_on_nearly_all_distinct_contents(spark):
+    story = "<body><section>Join us</section><h2>{}</h2><section><p>{}</p></section></body>"
+    # Some copies of one story with an element of its own, and a heading that some pages share.
+    copied = story.replace("<p>", "<blockquote>Quoted words</blockquote><p>").format("Alone", "one copied story " * 9)
+    rows = [("a.net", story.format("Summary" if i < 6 else f"Head {i}", f"story {i} " * 9)) for i in range(20)] + [("a.net", copied)] * 5
+    # Template text that is longer than the rest, and is missing on one page of twelve.
+    rows += [("b.net", story.replace("Join us", "Join us today " * 40).format(f"Head {i}", f"news {i}")) for i in range(11)]
+    rows += [("b.net", story.replace("Join us", "Closed").format("Head 11", "news 11"))]
+    # What every main region says stays.
+    rows += [("c.net", f"<div>Join us</div><main><h2>Summary</h2><p>item {i}</p></main>") for i in range(5)]
+    got = texts_of(spark, rows)
+    assert got[0] == "Summary\n" + " ".join(["story 0"] * 9) and got[7].startswith("Head 7\nstory 7")
+    assert got[20:25] == ["Alone\nQuoted words\n" + " ".join(["one copied story"] * 9)] * 5
+    assert got[25] == "Head 0\nnews 0" and got[36] == "Closed\nHead 11\nnews 11"
+    assert got[37:] == [f"Summary\nitem {i}" for i in range(5)]
+
+
 def plain_marginals(evidence, step):
     """All label sequences, summed."""
     n = len(evidence)
