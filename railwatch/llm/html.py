@@ -31,7 +31,6 @@ from railwatch.llm.urls import host_of
 from railwatch.sources.staging import ship_package, staged
 
 LONGEST_GROUP = 12
-MOST_ITEMS = 300  # of a wrapper; beyond it the rarest optional items are forgotten
 PAGES_FOR_TEMPLATE = 4
 NEARLY_ALL = 90  # per cent of a host's distinct contents that a template slot is on
 
@@ -306,9 +305,6 @@ def merge(one: list[list], two: list[list]) -> list[list]:
             x, y = one[a], two[b]
             out.append([x[0], x[1] + y[1], x[2] if x[2] == y[2] else None, x[3] + y[3]])
         i, j = a + 1, b + 1
-    if len(out) > MOST_ITEMS:
-        rare = sorted(range(len(out)), key=lambda k: (-out[k][1], k))[:MOST_ITEMS]
-        out = [out[k] for k in sorted(rare)]
     return out
 
 

@@ -100,6 +100,15 @@ def test_template_is_on_nearly_all_distinct_contents(spark):
     assert got[37:] == [f"Summary\nitem {i}" for i in range(5)]
 
 
+def test_pages_of_very_many_items(spark):
+    names = [a + b for a in "abcdefghijklmnopqr" for b in "abcdefghijklmnopqr"]
+    shared = "".join(f"<div class='k{n}'>Shared {n}</div>" for n in names)
+    rows = [("a.net", f"<body>{shared}<section><p>{f'story {i} ' * 900}</p></section><div class=last>Our office</div></body>") for i in range(5)]
+    assert texts_of(spark, rows) == [" ".join([f"story {i}"] * 900) for i in range(5)]
+    one, two = (pages.wrapper_of(pages.read(f"<body>{shared}<p>{i}</p></body>")) for i in range(2))
+    assert len(pages.merge(one, two)) == len(one) > 900
+
+
 def plain_marginals(evidence, step):
     """All label sequences, summed."""
     n = len(evidence)
