@@ -31,6 +31,7 @@ from railwatch.llm.urls import host_of
 from railwatch.sources.staging import ship_package, staged
 
 LONGEST_GROUP = 12
+REMEMBERED = 1_000  # characters of attributes; longer ones are read each time
 PAGES_FOR_TEMPLATE = 4
 NEARLY_ALL = 90  # per cent of a host's distinct contents that a template slot is on
 
@@ -64,19 +65,24 @@ NEVER_WORDS = frozenset(
 COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond".split())
 HEADER_WORDS = frozenset("header pageheader siteheader".split())
 
+# A quote opens a value after "=" only, and the value ends at its closing quote; without one the quote is a stray.
+_INSIDE_TAG = r"(?>[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?|[\"'])*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|textarea|title|xmp|noembed|noframes|iframe)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,8192}\"|'[^']{0,8192}'|[\"'])*?)(?:>|\Z)",
+    rf"|<(script|style|textarea|title|xmp|noembed|noframes|iframe)(?=[\s/>]){_INSIDE_TAG}>.*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({_INSIDE_TAG})(?:>|\Z)",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
-@lru_cache(4096)
 def _looks(tag: str, attributes: str) -> tuple[bool, bool, bool, str]:
     """Whether an element is never content, is a comment, is a main region, and its mark in the stream."""
+    return (_looks_held if len(attributes) <= REMEMBERED else _looks_of)(tag, attributes)
+
+
+def _looks_of(tag: str, attributes: str) -> tuple[bool, bool, bool, str]:
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     names = f"{values.get('class', '')} {values.get('id', '')}"
     parts = frozenset(p.lower() for p in _NAME_PART.findall(names)) | frozenset(names.lower().split())
@@ -94,6 +100,9 @@ def _looks(tag: str, attributes: str) -> tuple[bool, bool, bool, str]:
     return (never and not root, comment, main and not comment and not root, ("^" if header and not root else "") + name)
 
 
+_looks_held = lru_cache(4096)(_looks_of)
+
+
 @dataclass
 class Block:
     """A run of text between structural tags."""

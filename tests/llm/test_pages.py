@@ -78,6 +78,18 @@ def test_template_slots_go_and_copies_stay(spark):
     assert pages.extract(df.where("false")).collect() == []
 
 
+@pytest.mark.parametrize("size", [10, 9_000, 300_000])
+def test_quoted_values_of_any_length(size):
+    value = "<p>not &gt; text</p>" * (size // 20 + 1)
+    for quote in "\"'":
+        for tag in ("div data-json", "a href", "iframe srcdoc"):
+            markup = f"<article><p>one</p><{tag}={quote}{value}</iframe>{quote} class=x>{'</iframe>' if 'iframe' in tag else ''}<p>two</p></article>"
+            assert pages.main_text(pages.read(markup), []) == "one\ntwo"
+    # Stray quotes open nothing, nor does one that is not closed.
+    strays = f"<p class='a''>it's</p><p don't>{'two ' * (size // 4)}</p><p title=\"x>three</p>"
+    assert pages.main_text(pages.read(strays), []).split() == ["it's", *["two"] * (size // 4), "three"]
+
+
 def texts_of(spark, rows):
     df = spark.createDataFrame([(i, f"http://{host}/{i}", markup) for i, (host, markup) in enumerate(rows)], "page_id long, url string, html string")
     return [r.text for r in sorted(pages.extract(df).collect(), key=lambda r: r.page_id)]
