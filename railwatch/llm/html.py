@@ -349,11 +349,12 @@ def main_text(page: Page, template: Collection[int]) -> str:
     for block in shown:
         if block.region >= 0:
             sizes[block.region] = sizes.get(block.region, 0) + len(block.text)
-    if sizes:
+    plain = [b for b in shown if b.region >= 0 or not b.header and not (b.linked > 0.8 * len(b.text) and len(b.text) < 200)]
+    if 2 * sum(sizes.values()) > sum(len(b.text) for b in plain):
         best = max(sizes, key=lambda r: (sizes[r], -r))
         shown = [b for b in shown if b.region == best]
     else:
-        shown = [b for b in shown if not b.header and not (b.linked > 0.8 * len(b.text) and len(b.text) < 200)]
+        shown = plain
     return "\n".join(b.text for b in shown)
 
 
@@ -389,12 +390,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """``id, url, text`` for every page.
 
     Template slots are counted over all pages of each host; hosts that have any send the list of
-    these to their pages, the others nothing.  A page's text is that of its longest main
-    region (article, main), else of all its blocks but links and headers; menus, footers, asides,
-    notices, adverts, forms, comments and hidden parts are left out.
+    these to their pages, the others nothing.  A page's text is that of its longest main region
+    (article, main) if its main regions hold most of it, else of all its blocks but links and headers;
+    menus, footers, asides, notices, adverts, forms, comments and hidden parts are left out.
 
     Null and empty markup gives an empty text; a null url has the empty host.  Null ids and repeated
-    rows are extracted each (repeats are one content: a host of copies keeps its text).  Other columns are not carried.  An empty table gives an empty result.
+    rows are extracted each (repeats are one content: a host of copies keeps its text).  Other columns are not carried.
+    An empty table gives an empty result.
     """
     ship_package(pages.sparkSession)
     data = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))

@@ -90,6 +90,13 @@ def test_quoted_values_of_any_length(size):
     assert pages.main_text(pages.read(strays), []).split() == ["it's", *["two"] * (size // 4), "three"]
 
 
+def test_body_beside_a_small_article():
+    markup = "<body><nav>{0}</nav><div id=content><p>{1}</p></div><article>teaser</article><footer>{0}</footer></body>"
+    body = " ".join(["the long body"] * 9)
+    assert pages.main_text(pages.read(markup.format("Home " * 50, body)), []) == body + "\nteaser"
+    assert pages.main_text(pages.read(markup.format("Home " * 50, "by us")), []) == "teaser"
+
+
 def texts_of(spark, rows):
     df = spark.createDataFrame([(i, f"http://{host}/{i}", markup) for i, (host, markup) in enumerate(rows)], "page_id long, url string, html string")
     return [r.text for r in sorted(pages.extract(df).collect(), key=lambda r: r.page_id)]
