@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from railwatch.sources.staging import staged
 
-DEPTH = 4
-MANY_CHILDREN = 12
 PRIOR_WEIGHT = 4.0
 DISTANCE = 1.96
 REJECT_FROM = 0.5
@@ -48,21 +46,25 @@ def shape(segment: Column) -> Column:
 def templates(paths: DataFrame) -> DataFrame:
     """Add ``template``, an array of segments, to rows of ``host, path, n, labelled, bad``.
 
-    Level by level from the root of a host's tree: segments become shapes; a node with more than
-    ``MANY_CHILDREN`` different shapes has a variable segment there and all become ``*``; siblings
-    whose labelled share of bad pages does not differ from that of all siblings together (a test of
-    two proportions at ``DISTANCE`` deviations) are merged into ``*`` also.  Segments below ``DEPTH``
-    levels form one last ``**``.  Only counts per (host, node, shape) are grouped, map side first, so a
-    host of any size is spread.
+    Level by level from the root of a host's tree, until no path has a further segment: segments become
+    shapes; siblings whose labelled share of bad pages does not differ from that of all their siblings
+    together (a test of two proportions at ``DISTANCE`` deviations, however many they are), and those
+    without labels, are merged into ``*``.  An only child keeps its shape.  Below a node where all paths
+    have the same shapes each node has one child, so these are taken at once.  Only counts per (host,
+    node, shape) are grouped, map side first, so a host of any size is spread.
     """
     parts = F.filter(F.split("path", "/"), lambda s: s != "")
-    tree = paths.withColumn("_parts", F.transform(F.slice(parts, 1, DEPTH), shape)).withColumn(
-        "_deep", F.size(parts) > DEPTH
-    ).withColumn("template", F.array().cast("array<string>"))
-    for level in range(DEPTH):
-        tree = staged(tree.withColumn("_child", F.get("_parts", F.lit(level))), "url-tree")
-        children = tree.where("_child IS NOT NULL").groupBy("host", "template", "_child").agg(
-            F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")
+    going = staged(
+        paths.withColumn("_rest", F.transform(parts, shape)).withColumn("template", F.array().cast("array<string>")), "url-tree"
+    )
+    ended = going.where(F.size("_rest") == 0)
+    while True:
+        going = going.where(F.size("_rest") > 0)
+        if going.isEmpty():
+            return ended.drop("_rest")
+        tree = going.withColumn("_child", F.get("_rest", F.lit(0))).withColumn("_below", F.xxhash64("_rest"))
+        children = tree.groupBy("host", "template", "_child").agg(
+            F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"), (F.min("_below") == F.max("_below")).alias("_alike")
         )
         nodes = children.groupBy("host", "template").agg(
             F.count(F.lit(1)).alias("_kinds"), F.sum("labelled").alias("_all"), F.sum("bad").alias("_all_bad")
@@ -77,18 +79,19 @@ def templates(paths: DataFrame) -> DataFrame:
                 F.abs(F.col("bad") / F.col("labelled") - rest_bad / rest) > DISTANCE * error,
             ), F.lit(False),
         )
-        own = (F.col("_kinds") == 1) | ((F.col("_kinds") <= MANY_CHILDREN) & apart)
-        names = joined.select(
-            F.col("host").alias("_h"), F.col("template").alias("_t"), F.col("_child").alias("_c"),
-            F.when(own, F.col("_child")).otherwise(F.lit("*")).alias("_name"),
+        own = joined.where((F.col("_kinds") == 1) | apart).select(
+            F.col("host").alias("_h"), F.col("template").alias("_t"), F.col("_child").alias("_c"), "_alike"
+        )
+        named = tree.join(
+            own, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (F.col("_child") == F.col("_c")), "left"
+        )
+        name = F.when(F.col("_c").isNotNull(), F.col("_child")).otherwise(F.lit("*"))
+        going = staged(
+            named.withColumn("template", F.concat("template", F.when(F.col("_alike"), F.col("_rest")).otherwise(F.array(name)))).withColumn(
+                "_rest", F.when(F.col("_alike"), F.array().cast("array<string>")).otherwise(F.slice("_rest", F.lit(2), F.size("_rest")))
+            ).drop("_h", "_t", "_c", "_alike", "_child", "_below"), "url-tree",
         )
-        tree = tree.join(
-            names, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (F.col("_child") == F.col("_c")), "left"
-        ).withColumn(
-            "template", F.when(F.col("_name").isNotNull(), F.concat("template", F.array("_name"))).otherwise(F.col("template"))
-        ).drop("_h", "_t", "_c", "_name", "_child")
-    tail = F.when(F.col("_deep"), F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    return staged(tree.withColumn("template", F.concat("template", tail)).drop("_parts", "_deep"), "url-tree")
+        ended = ended.unionByName(going.where(F.size("_rest") == 0))
 
 
 def purity(tree: DataFrame) -> DataFrame:

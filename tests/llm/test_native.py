@@ -163,3 +163,19 @@ def test_templates_separate_bad_branches(spark):
     assert got["/blog/777/view"].verdict == "allow"
     # Many different segments become a wildcard; a branch as bad as its siblings together joins them.
     assert got["/u/zz9"].template in ("/u/*", "/*/*") and got["/u/aax"].template == got["/u/zz9"].template
+
+
+def test_templates_have_no_limit_of_children_or_depth(spark):
+    words = [a + b for a in "abcde" for b in "vwxyz"]
+    rows = [(f"http://h.net/{w}/{i}", int(w == "cx")) for w in words for i in range(30)] + [("http://h.net/cx/77", None), ("http://h.net/new/1", None)]
+    deep = "http://d.net/2024/05/12/news"
+    rows += [(f"{deep}/{w}/{i}/x/y", int(w == "bad")) for w in ("good", "bad") for i in range(30)]
+    rows += [(f"{deep}/bad/90/x/y", None), (f"{deep}/good/90/x/y", None), ("http://t.net/" + "a/b/" * 400 + "7", 0), (deep, 0)]
+    pages = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
+    got = {r.path: r for r in urls.judge(pages, label=F.col("bad")).collect()}
+    assert (got["/cx/77"].template, got["/cx/77"].verdict) == ("/cx/#", "block")
+    assert got["/av/1"].template == got["/new/1"].template == "/*/#" and got["/av/1"].verdict == "allow"
+    bad, good = (got[f"/2024/05/12/news/{w}/90/x/y"] for w in ("bad", "good"))
+    assert bad.template == "/#/#/#/news/bad/#/x/y" and bad.verdict == "block"
+    assert good.template == "/#/#/#/news/good/#/x/y" and good.verdict == "allow"
+    assert len(got["/" + "a/b/" * 400 + "7"].template.split("/")) == 802
