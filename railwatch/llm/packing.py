@@ -15,8 +15,6 @@ from railwatch.llm.blocks import list_column, slabs
 from railwatch.sources.staging import ship_package, staged
 
 BLOCK_ROWS = 16_384
-PATIENCE = 48
-PASSES = 6
 
 
 def best_fit(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, int]:
@@ -42,20 +40,20 @@ def best_fit(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, int]:
     return out, bins
 
 
-def empty_bins(lengths: np.ndarray, at: np.ndarray, bins: int, limit: int, patience: int = PATIENCE) -> np.ndarray:
+def empty_bins(lengths: np.ndarray, at: np.ndarray, bins: int, limit: int) -> np.ndarray:
     """Improve a packing: take the emptiest bin and press its pieces into fuller ones.
 
     A piece leaves by a move into free room, by an exchange with one shorter piece of a fuller bin,
-    or by an exchange with two.  Each of the three raises the sum of squared fills, as room passes
-    from a fuller to an emptier bin.  A pass ends after ``patience`` bins in a row that could not be
-    emptied; what it moved between them may let the next pass empty one, so passes go on while
-    something moves, ``PASSES`` times at most.
+    or by an exchange with any two.  Each of the three raises the sum of squared fills, as room passes
+    from a fuller to an emptier bin, so passes end: after one over all bins that moves nothing, or when
+    the free room of all bins together is less than one bin.
     """
     at = at.copy()
     fill = np.bincount(at, weights=lengths, minlength=bins).astype(np.int64)
-    for _ in range(PASSES):
-        tried, failed, moved = np.zeros(bins, bool), 0, False
-        while failed < patience:
+    moved = True
+    while moved:
+        tried, failed, moved = np.zeros(bins, bool), False, False
+        while True:
             candidates = np.flatnonzero((fill > 0) & (fill < limit) & ~tried)
             if not len(candidates):
                 break
@@ -64,9 +62,7 @@ def empty_bins(lengths: np.ndarray, at: np.ndarray, bins: int, limit: int, patie
             if not failed and limit * int((fill > 0).sum()) - int(lengths.sum()) < limit:
                 return at  # the free room of all bins together is less than one bin
             moved |= _press(donor, lengths, at, fill, limit)
-            failed = 0 if fill[donor] == 0 else failed + 1
-        if not moved:
-            break
+            failed = fill[donor] > 0
     return at
 
 
@@ -101,14 +97,19 @@ def _press(donor: int, lengths: np.ndarray, at: np.ndarray, fill: np.ndarray, li
                 fill[other] += size - lengths[j]
                 fill[donor] -= size - lengths[j]
                 continue
-            # Two for one, over neighbouring pieces of each bin.
-            order = np.lexsort((lengths, at))
-            a, b = order[:-1], order[1:]
+            # Two for one: each piece of a bin with the shortest other one of it that makes enough room.
+            a = np.flatnonzero((own >= 0) & (lengths < size))
+            keys = at[a] * (limit + 1) + lengths[a]
+            order = np.argsort(keys, kind="stable")
+            a, keys = a[order], keys[order]
+            need = np.maximum(size - room[at[a]] - lengths[a], 0)
+            to = np.searchsorted(keys, at[a] * (limit + 1) + need)
+            to += to == np.arange(len(a))
+            b = a[np.minimum(to, len(a) - 1)]
             both = lengths[a] + lengths[b]
-            own = room[at[a]]
-            good = (at[a] == at[b]) & (own >= 0) & (both < size) & (both + own >= size)
+            good = (to < len(a)) & (at[a] == at[b]) & (both < size)
             if good.any():
-                k = int(np.argmin(np.where(good, own + both - size, limit + 1)))
+                k = int(np.argmin(np.where(good, room[at[a]] + both - size, limit + 1)))
                 other = int(at[a[k]])
                 at[i], changed = other, True
                 at[a[k]] = at[b[k]] = donor

@@ -147,6 +147,13 @@ def test_search_empties_a_bin_that_best_fit_leaves():
     assert fill.max() <= 10 and len(np.unique(better)) == 2
 
 
+def test_search_exchanges_any_two_pieces():
+    lengths = np.array([33, 6, 27, 6, 5, 15, 14, 2, 20], np.int64)
+    at, bins = packing.best_fit(lengths, 64)
+    assert bins == 3 and lengths.sum() == 2 * 64
+    assert len(np.unique(packing.empty_bins(lengths, at, bins, 64))) == 2
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=120))
 def test_blocks_are_packed_within_their_limit(lengths):
