@@ -22,26 +22,6 @@ try:
 except (OSError, AttributeError):  # another C library keeps its own rules
     _libc = None
 
-# Odd multiplier of the positional hash and its inverse modulo 2**64.
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTE_VALUE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers = {"base": np.ones(1, np.uint64), "inverse": np.ones(1, np.uint64)}
-
-
-def _power(which: str, n: int) -> np.ndarray:
-    """The first ``n`` powers of the multiplier or of its inverse."""
-    held = _powers[which]
-    if len(held) < n:
-        step = np.uint64(_BASE if which == "base" else _INVERSE)
-        values = np.full(max(n, SLAB_BYTES + 1), step, np.uint64)
-        values[0] = 1
-        held = np.cumprod(values)
-        if n <= SLAB_BYTES + 1:
-            _powers[which] = held
-    return held[:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every input bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -49,12 +29,85 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_TAIL = np.array([(1 << 64) - 1] + [(1 << 8 * k) - 1 for k in range(1, 8)], np.uint64)
+
+
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place of ``data`` on as one number, zeros behind the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded.data, 0, (1,))
+
+
+def _steps(length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of lanes of every span, and span and place of every lane behind a span's first."""
+    each = np.maximum((length + 7) >> 3, 1)
+    long = np.flatnonzero(each > 1)
+    more = each[long] - 1
+    span = np.repeat(long, more)
+    return each, span, np.arange(len(span)) - np.repeat(np.cumsum(more) - more, more) + 1
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of ``data[start:end]`` for every span, from one running sum."""
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUE[data] * _power("base", len(data)), out=total[1:])
-    raw = (total[end] - total[start]) * _power("inverse", len(data) + 1)[start]
-    return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """A 64-bit hash of ``data[start:end]`` for every span.
+
+    Eight bytes at a time go through a mixer that also takes their place, so no family of strings
+    collides by its form.  Where identity must be exact, :func:`same_spans` compares the bytes.
+    """
+    length = end - start
+    lanes = _lanes(data)
+    each, span, place = _steps(length)
+    tail = _TAIL[length & 7]
+    first = lanes[start]
+    short = each == 1
+    first[short] &= tail[short]
+    first[length == 0] = 0
+    total = mix(first ^ np.uint64(0xC2B2AE3D27D4EB4F))
+    if len(span):
+        value = lanes[start[span] + 8 * place]
+        at_end = place == each[span] - 1
+        value[at_end] &= tail[span[at_end]]
+        value = mix(value ^ mix(place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        fresh = np.flatnonzero(place == 1)
+        total[span[fresh]] += np.add.reduceat(value, fresh)
+    return mix(total + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def same_spans(one: np.ndarray, at_one: np.ndarray, two: np.ndarray, at_two: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether ``length`` bytes of ``one`` and of ``two`` agree, for every pair of places."""
+    x, y = _lanes(one), _lanes(two)
+    each, span, place = _steps(length)
+    tail = _TAIL[length & 7]
+    apart = x[at_one] ^ y[at_two]
+    short = each == 1
+    apart[short] &= tail[short]
+    same = (apart == 0) | (length == 0)
+    if len(span):
+        apart = x[at_one[span] + 8 * place] ^ y[at_two[span] + 8 * place]
+        at_end = place == each[span] - 1
+        apart[at_end] &= tail[span[at_end]]
+        same[span[apart != 0]] = False
+    return same
+
+
+def exact_numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for every span, equal where and only where the bytes are equal.
+
+    Spans are put together by their hashes and compared byte by byte with the first of their hash;
+    those that differ from it are told apart by a table of their bytes.
+    """
+    if not len(start):
+        return np.zeros(0, np.int64)
+    length = end - start
+    _, first, number = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
+    lead = first[number]
+    same = length == length[lead]
+    check = np.flatnonzero(same & (lead != np.arange(len(start))))
+    same[check] = same_spans(data, start[check], data, start[lead[check]], length[check])
+    known: dict[bytes, int] = {}
+    for k in np.flatnonzero(~same):
+        number[k] = known.setdefault(data[start[k]:end[k]].tobytes(), len(first) + len(known))
+    return number.astype(np.int64)
 
 
 @dataclass
@@ -138,3 +191,19 @@ def list_column(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> p
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
+
+
+def joined(data: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray, rows: int, mark: int) -> pa.Array:
+    """The spans of every row, in order, with the byte ``mark`` between two; ``row`` ascends."""
+    length = end - start + 1
+    last = np.append(row[1:] != row[:-1], True) if len(row) else np.zeros(0, bool)
+    out_end = np.cumsum(length)
+    total = int(out_end[-1]) if len(length) else 0
+    at = np.repeat(start - (out_end - length), length) + np.arange(total)
+    text = data[np.minimum(at, len(data) - 1)] if len(data) else np.zeros(total, np.uint8)
+    text[out_end - 1] = mark
+    whole = np.ones(total, bool)
+    whole[out_end[last] - 1] = False
+    offsets = np.zeros(rows + 1, np.int32)
+    np.cumsum(np.bincount(row, weights=length - last, minlength=rows).astype(np.int64), out=offsets[1:])
+    return pa.StringArray.from_buffers(rows, pa.py_buffer(offsets), pa.py_buffer(text[whole]))

@@ -91,10 +91,40 @@ def op10_pstable_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_branching_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from railwatch.llm.runs import periodic_runs, with_periods
+
+    found = periodic_runs(with_periods(table(spark, sf_dir, "documents").select("doc_id", "text")), least_length=6, times=4)
+    best = F.reduce(
+        "runs", F.get("runs", F.lit(0)),
+        lambda a, r: F.when(r.length * a.period > a.length * r.period, r).otherwise(a),
+    )
+    rows = F.array_join(F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n"))), "")
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[F.col(f"_best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
+        F.sha2(rows.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from railwatch.llm.lines import LineState, without_frequent_lines
+
+    docs = table(spark, sf_dir, "documents")
+    kept = without_frequent_lines(LineState(least_documents=10, least_points=1).insert(docs), docs)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from railwatch.llm.repair import damaged, repair_summary
+
+    return repair_summary(damaged(table(spark, sf_dir, "conversations")), F.col("present"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_wrapper_main_text, op2_minmax_near_dedup, op3_ball_tree_top_k, op4_token_counts, op5_feistel_shards, op6_line_crf_quality, op7_path_templates,
         op8_pack_sequences, op9_mix_sources,
-        op10_pstable_near_dedup,
+        op10_pstable_near_dedup, op11_branching_runs, op12_cuckoo_line_dedup, op13_conversation_repair,
     )
 }
