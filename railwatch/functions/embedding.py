@@ -11,6 +11,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -46,19 +47,24 @@ def string_hash(word: str) -> int:
     return value - (1 << 32) if value >= 1 << 31 else value
 
 
+@lru_cache(1 << 16)
+def _places(word: str, dimension: int) -> tuple[int, int]:
+    """The two hashed places of a word; words repeat, so most are looked up."""
+    word = _CONCEPT_OF.get(word, word)
+    first = string_hash(word)
+    second = (first * 31 + len(_utf16(word)) + (1 << 31)) % (1 << 32) - (1 << 31)
+    return first % dimension, second % dimension
+
+
 def hash_vector(text: str, prefix: str = "query: ", dimension: int = 384) -> np.ndarray:
     """Bag of concepts: each word adds 1 and 0.5 at two hashed places; length one."""
     plain = unicodedata.normalize("NFKC", prefix + text).lower()
-    vector = np.zeros(dimension, dtype=np.float32)
-    for word in _BLANKS.sub(" ", plain).strip(" ").split(" "):
-        if not word.strip():
-            continue
-        word = _CONCEPT_OF.get(word, word)
-        first = string_hash(word)
-        second = (first * 31 + len(_utf16(word)) + (1 << 31)) % (1 << 32) - (1 << 31)
-        vector[first % dimension] += np.float32(1.0)
-        vector[second % dimension] += np.float32(0.5)
-    # Squares are multiples of a quarter, so this sum is exact in any order.
+    words = [w for w in _BLANKS.sub(" ", plain).strip(" ").split(" ") if w.strip()]
+    places = np.array([_places(w, dimension) for w in words], np.int64).reshape(-1, 2)
+    # Counts and their squares are multiples of a quarter, so these sums are exact in any order.
+    vector = (
+        np.bincount(places[:, 0], minlength=dimension) + 0.5 * np.bincount(places[:, 1], minlength=dimension)
+    ).astype(np.float32)
     norm = np.float32(np.sqrt(np.sum(vector * vector, dtype=np.float32)))
     if norm == 0:
         raise ValueError("evidence gave a zero vector")

@@ -7,7 +7,7 @@ or YAML text, so that a fault in a reader shows.  Lists compare as text.
 from __future__ import annotations
 
 from railwatch.plans.catalog import EMITTED_AT_MS
-from railwatch.sources.tables import CONVERSATIONS, POLICY_T0_SECONDS, REQUESTS_PER_USER, T0_MILLIS, TURNS
+from railwatch.sources.tables import EVIDENCE_BURST, POLICY_T0_SECONDS, REQUESTS_PER_USER, T0_MILLIS
 
 ORACLES: dict[str, str] = {}
 
@@ -15,12 +15,19 @@ BOOTSTRAP_SECONDS = POLICY_T0_SECONDS - 6 * 86_400
 
 # One row per table event, with the fields that survive the injected faults.
 NORM = f"""
-base AS (
-  SELECT event_id AS seq, user_id, event_type AS kind, value,
+bursts AS (
+  SELECT e.*, CASE WHEN event_type = 'error' THEN (event_id // {EVIDENCE_BURST}) % (SELECT max(conv_id) + 1 FROM conversations) END AS burst
+  FROM events e
+), spoken AS (
+  SELECT b.*, c.text AS evidence FROM bursts b
+  LEFT JOIN (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY conv_id) n ON n.conv_id = b.burst
+  LEFT JOIN conversations c ON c.conv_id = b.burst AND c.turn = b.event_id % n.turns
+), base AS (
+  SELECT event_id AS seq, user_id, event_type AS kind, value, evidence,
     CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k,
     CAST({T0_MILLIS} + (epoch_us(ts) - {T0_MILLIS}000) // 240000 AS BIGINT) AS ms0,
     (CAST(round(value * 100) AS BIGINT) % 10000) / 10000.0::DOUBLE AS score
-  FROM events
+  FROM spoken
 ), norm AS (
   SELECT seq,
     CASE WHEN kind <> 'click' THEN 'guardrail-findings' WHEN seq % 2 = 0 THEN 'agent-requests'
@@ -46,9 +53,7 @@ base AS (
     CASE WHEN k <> 13 AND kind <> 'click' THEN score >= 0.40 END AS triggered,
     CAST(5 + k AS BIGINT) AS "detectorLatencyMs",
     CASE WHEN k % 12 = 0 THEN 'ERROR' ELSE 'OK' END AS "detectorStatus",
-    CASE WHEN kind = 'error' THEN (
-      SELECT any_value(c.text) FROM conversations c
-      WHERE c.conv_id = seq % {CONVERSATIONS} AND c.turn = (seq // {CONVERSATIONS}) % {TURNS}) END AS "evidenceSnippet",
+    evidence AS "evidenceSnippet",
     CASE
       WHEN k = 15 THEN 'PARSE_ERROR'
       WHEN k = 14 THEN 'UNSUPPORTED_EVENT_TYPE'
@@ -424,7 +429,9 @@ ORACLES["hash_embedding"] = f"""WITH {FIRED}, texts AS (
 ), summed AS (
   SELECT seq, ((v % 384) + 384) % 384 AS pos, CAST(sum(w) AS DOUBLE) AS x FROM places GROUP BY 1, 2
 )
-SELECT seq, CAST(pos AS BIGINT) AS pos, round(x / sqrt(sum(x * x) OVER (PARTITION BY seq)), 5) AS x FROM summed"""
+SELECT seq, CAST(pos AS BIGINT) AS pos, round(CAST(CAST(x / n AS FLOAT) AS DOUBLE), 5) AS x FROM (
+  -- Length and parts are single precision; a quotient of such numbers in double rounds to the same.
+  SELECT *, CAST(CAST(sqrt(sum(x * x) OVER (PARTITION BY seq)) AS FLOAT) AS DOUBLE) AS n FROM summed)"""
 
 _CENTROIDS = """parts AS (
   SELECT label, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings

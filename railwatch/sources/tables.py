@@ -19,8 +19,8 @@ T0_MILLIS = 1_704_067_200_000  # 2024-01-01T00:00:00Z
 COMPRESSION_MICROS = 240_000  # one month of table time becomes three hours
 POLICY_T0_SECONDS = 1_787_702_400  # 2026-08-26T00:00:00Z
 
-# A finding's evidence is the text of one of the first conversations, by its number.
-CONVERSATIONS, TURNS = 10, 1
+# So many events in a row take their evidence from the turns of one conversation.
+EVIDENCE_BURST = 128
 REQUESTS_PER_USER = 16
 
 
@@ -38,14 +38,17 @@ def _pick(index: Column, options: tuple[str, ...]) -> Column:
 
 
 def raw_events(events: DataFrame, conversations: DataFrame) -> DataFrame:
-    """``value, source, partition, seq`` from the ``events`` table (batch or stream)."""
-    evidence = conversations.where((F.col("conv_id") < CONVERSATIONS) & (F.col("turn") < TURNS)).select(
-        "conv_id", F.col("turn").cast("long").alias("turn"), F.col("text").alias("evidence")
-    )
-    events = events.withColumns({
-        "conv_id": F.when(F.col("event_type") == "error", F.col("event_id") % CONVERSATIONS),
-        "turn": F.floor(F.col("event_id") / CONVERSATIONS) % TURNS,
-    }).join(evidence, ["conv_id", "turn"], "left")
+    """``value, source, partition, seq`` from the ``events`` table (batch or stream).
+
+    Evidence comes from all conversations in turn: ``EVIDENCE_BURST`` events in a row share one, by its
+    number, and each takes a turn of it by its own number.
+    """
+    turns = conversations.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
+    texts = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("text").alias("evidence"))
+    conversation = F.floor(F.col("event_id") / EVIDENCE_BURST) % conversations.agg(F.max("conv_id") + 1).scalar()
+    events = events.withColumn("conv_id", F.when(F.col("event_type") == "error", conversation)).join(
+        turns, "conv_id", "left"
+    ).withColumn("turn", F.col("event_id") % F.col("turns")).join(texts, ["conv_id", "turn"], "left")
     kind, k = F.col("event_type"), F.col("k")
     base = events.select(
         "event_id", "user_id", "event_type", "value", "evidence",
