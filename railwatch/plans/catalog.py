@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railwatch.operators import (
-    aggregates, campaigns, correlation, incidents, intake, policies, reports, review,
+    aggregates, campaign_windows, campaigns, correlation, incidents, intake, policies, reports, review,
 )
 from railwatch.plans.pipeline import Pipeline, flat
 from railwatch.schemas import (
@@ -261,6 +261,19 @@ def _(p: Pipeline) -> DataFrame:
     return flat(p.all_incidents())
 
 
+for _mode, _name in (("GLOBAL", "campaign_windows_global"), ("PER_AGENT", "campaign_windows_per_agent")):
+    @query(_name, campaign_windows=replace(DEFAULTS.campaign_windows, mode=_mode))
+    def _(p: Pipeline) -> DataFrame:
+        groups, _members = campaign_windows.campaign_groups(p.events, p.settings)
+        return campaign_windows.campaign_windows(groups, p.settings)
+
+
+@query("campaign_members")
+def _(p: Pipeline) -> DataFrame:
+    groups, members = campaign_windows.campaign_groups(p.events, p.settings)
+    return campaign_windows.campaign_members(campaign_windows.campaign_windows(groups, p.settings), members, p.settings)
+
+
 @query("cosine_similarity")
 def _(p: Pipeline) -> DataFrame:
     vectors = p.table("embeddings")

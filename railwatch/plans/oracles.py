@@ -404,34 +404,87 @@ for _entry, _rule in (
 # --- campaigns ----------------------------------------------------------------------------
 
 # The hash embedding from its definition: polynomial string hash, two places per word.
-ORACLES["hash_embedding"] = f"""WITH {FIRED}, texts AS (
-  SELECT seq, lower('query: ' || "evidenceSnippet") AS text FROM fired
-  WHERE "guardrailName" = 'PROMPT_INJECTION'
-), words AS (
-  SELECT seq, unnest(regexp_split_to_array(trim(text, ' \t\n\x0b\f\r'), '[ \t\n\x0b\f\r]+')) AS raw FROM texts
+# Length and parts are single precision; a quotient of such numbers in double rounds to the same.
+def _vectors(key: str, texts: str) -> str:
+    return f"""words AS (
+  SELECT {key}, unnest(regexp_split_to_array(trim(text, ' \t\n\x0b\f\r'), '[ \t\n\x0b\f\r]+')) AS raw FROM (
+    SELECT {key}, lower('query: ' || text) AS text FROM {texts})
 ), concepts AS (
-  SELECT seq, CASE
+  SELECT {key}, CASE
     WHEN raw IN ('ignore', 'disregard', 'bypass') THEN 'override'
     WHEN raw IN ('earlier', 'prior', 'previous') THEN 'previous'
     WHEN raw IN ('reveal', 'show', 'disclose') THEN 'reveal'
     WHEN raw IN ('prompt', 'message') THEN 'prompt'
     WHEN raw IN ('instructions', 'rules') THEN 'instructions' ELSE raw END AS word FROM words
 ), hashed AS (
-  SELECT seq, length(word) AS len,
+  SELECT {key}, length(word) AS len,
     list_reduce(list_prepend(CAST(0 AS BIGINT), [CAST(ord(ch) AS BIGINT) for ch in string_split(word, '')]),
       lambda a, b: (a * 31 + b) % 4294967296) AS h
   FROM concepts
 ), places AS (
-  SELECT seq, CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS v, 1.0 AS w FROM hashed
+  SELECT {key}, CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS v, 1.0 AS w FROM hashed
   UNION ALL
-  SELECT seq, CASE WHEN (h * 31 + len) % 4294967296 >= 2147483648
+  SELECT {key}, CASE WHEN (h * 31 + len) % 4294967296 >= 2147483648
     THEN (h * 31 + len) % 4294967296 - 4294967296 ELSE (h * 31 + len) % 4294967296 END, 0.5 FROM hashed
 ), summed AS (
-  SELECT seq, ((v % 384) + 384) % 384 AS pos, CAST(sum(w) AS DOUBLE) AS x FROM places GROUP BY 1, 2
-)
-SELECT seq, CAST(pos AS BIGINT) AS pos, round(CAST(CAST(x / n AS FLOAT) AS DOUBLE), 5) AS x FROM (
-  -- Length and parts are single precision; a quotient of such numbers in double rounds to the same.
-  SELECT *, CAST(CAST(sqrt(sum(x * x) OVER (PARTITION BY seq)) AS FLOAT) AS DOUBLE) AS n FROM summed)"""
+  SELECT {key}, ((v % 384) + 384) % 384 AS pos, CAST(sum(w) AS DOUBLE) AS x FROM places GROUP BY 1, 2
+), vectors AS (
+  SELECT {key}, CAST(pos AS BIGINT) AS pos, CAST(CAST(x / n AS FLOAT) AS DOUBLE) AS x FROM (
+    SELECT *, CAST(CAST(sqrt(sum(x * x) OVER (PARTITION BY {key})) AS FLOAT) AS DOUBLE) AS n FROM summed))"""
+
+
+ORACLES["hash_embedding"] = f"""WITH {FIRED}, texts AS (
+  SELECT seq, "evidenceSnippet" AS text FROM fired WHERE "guardrailName" = 'PROMPT_INJECTION'
+), {_vectors("seq", "texts")}
+SELECT seq, pos, round(x, 5) AS x FROM vectors"""
+
+
+def _campaign_windows(mode: str) -> str:
+    scope = '"windowStartMillis"' + (', "agentId"' if mode == "PER_AGENT" else "")
+    return f"""WITH {FIRED}, found AS (
+  SELECT "eventTimeMillis" // 300000 * 300000 AS "windowStartMillis", "agentId", "sessionId", "requestId", "userId", "eventTimeMillis", seq, confidence,
+    trim("evidenceSnippet", ' \t\n\r') AS said FROM fired
+  WHERE "guardrailName" = 'PROMPT_INJECTION' AND trim("evidenceSnippet") <> ''
+), told AS (SELECT DISTINCT said, said AS text FROM found
+), {_vectors("said", "told")}, projected AS (
+  SELECT said, b, round(sum(x * ((s * s % 2147483647) % 2001 - 1000)), 4) >= 0 AS up FROM (
+    SELECT said, b, x, (b * 384 + pos + 1) * 48271 % 2147483647 AS s FROM vectors, range(48) r(b)) GROUP BY said, b
+), cells AS (SELECT said, b // 8 AS tab, sum(CASE WHEN up THEN 1 << (b % 8) ELSE 0 END) AS cell FROM projected GROUP BY 1, 2
+), texts AS (
+  SELECT {scope}, said, count(DISTINCT "sessionId") AS sessions, min("eventTimeMillis") AS born, arg_min(seq, ("eventTimeMillis", seq)) AS seq,
+    arg_min("requestId", ("eventTimeMillis", seq)) AS request FROM found GROUP BY ALL
+), weighed AS (
+  SELECT {scope}, tab, cell, sum(sessions) AS weight, arg_min(seq, (-sessions, born, seq)) AS seed_seq, arg_min(born, (-sessions, born, seq)) AS born
+  FROM texts JOIN cells USING (said) GROUP BY ALL
+), named AS (SELECT {scope}, seed_seq, max(weight) AS weight, min(born) AS born FROM weighed GROUP BY {scope}, seed_seq
+), seeds AS (
+  SELECT n.*, t.said AS seed_text, t.request AS seed_request FROM (
+    SELECT *, row_number() OVER (PARTITION BY {scope} ORDER BY weight DESC, born, seed_seq) - 1 AS seed FROM named) n
+  JOIN (SELECT *, seq AS seed_seq FROM texts) t USING ({scope}, seed_seq) WHERE seed < 3
+), near AS (
+  SELECT {scope}, seed, said, round(sum(v.x * u.x), 6) AS similarity FROM texts JOIN seeds s USING ({scope})
+  JOIN vectors v USING (said) JOIN vectors u ON u.said = s.seed_text AND u.pos = v.pos GROUP BY {scope}, seed, said HAVING round(sum(v.x * u.x), 6) >= 0.88
+), members AS (SELECT f.*, n.seed, n.similarity FROM found f JOIN near n USING ({scope}, said)
+), sizes AS (
+  SELECT {scope}, seed, count(DISTINCT "sessionId") AS sessions, count(DISTINCT "requestId") AS size, count(DISTINCT "agentId") AS agents,
+    count(*) AS findings, min("eventTimeMillis") AS first_at, max("eventTimeMillis") AS last_at FROM members GROUP BY {scope}, seed
+), best AS (
+  SELECT * FROM sizes WHERE sessions >= 3 QUALIFY row_number() OVER (PARTITION BY {scope} ORDER BY sessions DESC, size DESC, seed) = 1
+), incidents AS (
+  SELECT 'PROMPT_INJECTION_CAMPAIGN' AS "incidentType", '{mode}' AS "detectionMode", {scope}, "windowStartMillis" + 300000 AS "windowEndMillis",
+    size AS "groupSize", sessions AS "uniqueSessionCount", agents, findings,
+    CASE WHEN size >= 12 THEN 'CRITICAL' WHEN size >= 8 THEN 'HIGH' WHEN size >= 5 THEN 'MEDIUM' WHEN size >= 3 THEN 'LOW' END AS severity,
+    first_at AS "firstEventTimeMillis", last_at AS "lastEventTimeMillis", seed_request AS "representativeRequestId", seed_text AS "representativeRequest",
+    size || ' similar prompt injections from ' || sessions || ' sessions' AS explanation, CAST(seed AS INTEGER) AS seed
+  FROM best JOIN seeds USING ({scope}, seed)
+)"""
+
+
+for _entry, _mode in (("campaign_windows_global", "GLOBAL"), ("campaign_windows_per_agent", "PER_AGENT")):
+    ORACLES[_entry] = f"{_campaign_windows(_mode)} SELECT * FROM incidents"
+ORACLES["campaign_members"] = f"""{_campaign_windows("GLOBAL")}
+SELECT "windowStartMillis", "agentId", "sessionId", "requestId", "userId", "eventTimeMillis", seq, confidence, similarity
+FROM members JOIN best USING ("windowStartMillis", seed)"""
 
 _CENTROIDS = """parts AS (
   SELECT label, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings

@@ -35,6 +35,25 @@ class CampaignSettings:
     max_request_ids_per_incident: int | None = None
 
 
+@dataclass(frozen=True)
+class CampaignWindowSettings:
+    """One campaign incident at most a tumbling window and scope."""
+
+    mode: str = "GLOBAL"  # or PER_AGENT
+    window_ms: int = 5 * MINUTE_MS
+    min_group_size: int = 3  # distinct sessions
+    top_k_seeds: int = 3
+    max_cosine_distance: float = 0.12
+    severity_by_group_size: tuple[tuple[str, int], ...] = (("CRITICAL", 12), ("HIGH", 8), ("MEDIUM", 5), ("LOW", 3))
+    # Seeds are looked for in the cells of random projections: so many tables, so many signs a cell.
+    tables: int = 6
+    signs: int = 8
+
+    def __post_init__(self) -> None:
+        if self.mode not in ("GLOBAL", "PER_AGENT"):
+            raise ValueError(f"unknown mode {self.mode!r}")
+
+
 @dataclass(frozen=True)
 class Settings:
     """Intake, windows, session rules and policies."""
@@ -66,6 +85,7 @@ class Settings:
 
     reject_older_policies: bool = True
     campaigns: CampaignSettings = CampaignSettings()
+    campaign_windows: CampaignWindowSettings = CampaignWindowSettings()
 
     def __post_init__(self) -> None:
         if self.pi_and_toxic_window_ms > self.session_timeout_ms:
