@@ -60,7 +60,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that :func:`staged` wrote, once every table that was made from them is written too."""
+    for df in tables:
+        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def staged_once(spark: SparkSession, key: str, build) -> DataFrame:
