@@ -26,7 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from railwatch.llm.blocks import Slab, mix, span_hashes
+from railwatch.llm.blocks import Slab, mix, same_spans, span_hashes
 
 # Classes of the splitter.
 SPACE_WORD, SPACE_RUN, WHITE_WORD, WHITE_RUN, LETTER, NUMBER, OTHER, SHORT_FORM, LONG_FORM = range(9)
@@ -34,6 +34,7 @@ START, IN_LETTERS, IN_NUMBER, IN_OTHER, AFTER_SPACE, IN_WHITE, TWO_LEFT, ONE_LEF
 CHUNK = 128
 LONG_PIECE = 96
 TABLE_BITS = 20
+TABLE_BYTES = 32 << 20
 
 
 def _splitter() -> tuple[np.ndarray, np.ndarray]:
@@ -314,31 +315,48 @@ class Vocabulary:
         token[rows], rest[rows] = tokens, rests
         return token, rest
 
-    def encode_long(self, piece: bytes) -> tuple[int, np.ndarray]:
-        """The same recurrence for one long piece, byte by byte."""
-        last, before, count = [0], [0], [0]
-        for i in range(1, len(piece) + 1):
-            value, best = 0, None
-            for k in range(1, i + 1):
-                value = self._longer(value, piece[i - k])
-                token = int(self.suffixes.find(np.array([value], np.uint64))[0]) - 1
-                if token < -1:
-                    break
-                if token >= 0 and (i == k or self._pair(last[i - k], token)):
-                    best = token, i - k
-            token, rest = best
-            last.append(token)
-            before.append(rest)
-            count.append(count[rest] + 1)
-        out, i = [], len(piece)
-        while i:
-            out.append(last[i])
-            i = before[i]
-        return count[-1], np.array(out[::-1], np.int64)
-
-    @lru_cache(200_000)  # noqa: B019  one vocabulary lives as long as its process
-    def _pair(self, one: int, two: int) -> bool:
-        return bool(self.may_follow(np.array([one]), np.array([two]))[0])
+    def encode_long(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`encode`, for long pieces: in chunks side by side, encoded anew around borders that do not hold.
+
+        A sequence of tokens is the one encoding of its bytes if every token may follow the one before it.  So
+        chunks that meet in such a pair stay as they are; where they do not, the tokens around the border are
+        encoded together, in windows that double until both their ends hold.
+        """
+        chunks = -(-(end - start) // CHUNK)
+        piece = np.repeat(np.arange(len(start)), chunks)
+        place = np.arange(len(piece)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+        begin = start[piece] + place * CHUNK
+        counts, token = self.encode(data, begin, np.minimum(begin + CHUNK, end[piece]))
+        of = np.repeat(piece, counts)
+        borders = (np.cumsum(counts) - counts)[place > 0]
+        width = 2
+        while len(borders):
+            borders = borders[~self.may_follow(token[borders - 1], token[borders])]
+            if not len(borders):
+                break
+            inside = of[borders]
+            low = np.maximum(borders - width, np.searchsorted(of, inside))
+            high = np.minimum(borders + width, np.searchsorted(of, inside, side="right"))
+            # Windows that touch become one.
+            heads = np.flatnonzero(np.r_[True, (low[1:] > high[:-1]) | (inside[1:] != inside[:-1])])
+            low, high = low[heads], np.maximum.reduceat(high, heads)
+            inside = of[low]
+            stops = np.cumsum(self.length[token])
+            # Bytes count from the first one of the piece on, whatever lies between pieces.
+            base = start[inside] - np.where(inside > 0, stops[np.searchsorted(of, inside) - 1], 0)
+            counts, inner = self.encode(data, base + stops[low] - self.length[token[low]], base + stops[high - 1])
+            kept = np.ones(len(token), bool)
+            for a, b in zip(low.tolist(), high.tolist(), strict=True):
+                kept[a:b] = False
+            key = np.concatenate([np.flatnonzero(kept), np.repeat(low, counts)])
+            order = np.argsort(key, kind="stable")
+            token = np.concatenate([token[kept], inner])[order]
+            of = np.concatenate([of[kept], np.repeat(inside, counts)])[order]
+            ends = np.unique(np.concatenate([np.searchsorted(key[order], low), np.searchsorted(key[order], low, side="right")]))
+            ends = ends[(ends > 0) & (ends < len(token))]
+            borders = ends[of[ends - 1] == of[ends]]
+            width *= 2
+        return np.bincount(of, minlength=len(start)), token
 
 
 def _byte_symbols() -> list[str]:
@@ -354,8 +372,10 @@ def _byte_symbols() -> list[str]:
 class Encoder:
     """Counts or ids of whole texts, with a table of the pieces seen so far.
 
-    The table holds at most half of ``2 ** TABLE_BITS`` pieces and is emptied when full, so its
-    memory does not grow with the data; a single text with more pieces than that gets a larger one.
+    The table holds at most half of ``2 ** TABLE_BITS`` pieces and ``TABLE_BYTES`` of text and is emptied when full,
+    so its memory does not grow with the data; a single slab with more than that gets a larger one.  A
+    piece is found by its hash and taken only if its bytes are the same; a piece whose hash another one
+    holds goes by a further hash.
     """
 
     def __init__(self, path: str, keep_ids: bool) -> None:
@@ -365,10 +385,9 @@ class Encoder:
     def _clear(self, pieces: int = 0) -> None:
         self.bits = max(TABLE_BITS, (2 * pieces).bit_length())
         self.keys = np.zeros(1 << self.bits, np.uint64)
-        self.counts = np.zeros(1 << self.bits, np.int32)
-        self.places = np.zeros(1 << self.bits, np.int32)
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.used = self.flat_used = 0
+        self.counts, self.places, self.texts, self.lengths = (np.zeros(1 << self.bits, np.int32) for _ in range(4))
+        self.flat, self.bytes = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.uint8)
+        self.used = self.flat_used = self.bytes_used = 0
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Slot of each key, or -1."""
@@ -397,20 +416,30 @@ class Encoder:
         self.used += len(keys)
         return out
 
+    @staticmethod
+    def _room(held: np.ndarray, need: int) -> np.ndarray:
+        if need <= len(held):
+            return held
+        return np.concatenate([held, np.zeros(max(need, 2 * len(held)) - len(held), held.dtype)])
+
     def _learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, keys: np.ndarray) -> None:
         slots = self._insert(keys)
-        long = end - start > LONG_PIECE
-        groups = [(slots[~long], *self.vocabulary.encode(data, start[~long], end[~long]))]
-        for s, a, b in zip(slots[long], start[long], end[long], strict=True):
-            count, ids = self.vocabulary.encode_long(data[a:b].tobytes())
-            groups.append((np.array([s]), np.array([count]), ids))
-        for at, counts, ranks in groups:
-            self.counts[at] = counts
+        length = end - start
+        need = self.bytes_used + int(length.sum())
+        self.bytes = self._room(self.bytes, need)
+        at = self.bytes_used + np.cumsum(length) - length
+        self.bytes[self.bytes_used:need] = data[np.repeat(start - at, length) + np.arange(self.bytes_used, need)]
+        self.texts[slots], self.lengths[slots], self.bytes_used = at, length, need
+        long = length > LONG_PIECE
+        for some, encode in ((~long, self.vocabulary.encode), (long, self.vocabulary.encode_long)):
+            if not some.any():
+                continue
+            counts, ranks = encode(data, start[some], end[some])
+            self.counts[slots[some]] = counts
             if self.keep_ids:
-                self.places[at] = self.flat_used + np.cumsum(counts) - counts
+                self.places[slots[some]] = self.flat_used + np.cumsum(counts) - counts
                 need = self.flat_used + len(ranks)
-                if need > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros(max(need, 2 * len(self.flat)) - len(self.flat), np.uint32)])
+                self.flat = self._room(self.flat, need)
                 self.flat[self.flat_used:need] = self.vocabulary.ids[ranks]
                 self.flat_used = need
 
@@ -460,19 +489,32 @@ class Encoder:
     def slots(self, slab: Slab) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Table slot, row and special mark of every piece, after new pieces were compiled."""
         start, end, row, special = self.pieces(slab)
-        keys = span_hashes(slab.data, start, end) | np.uint64(1)
-        keys = mix(keys) | np.uint64(1)
-        slot = self._find(keys)
-        new = np.flatnonzero((slot < 0) & (special < 0))
-        if len(new):
-            distinct, first = np.unique(keys[new], return_index=True)
-            if self.used + len(distinct) > 1 << (self.bits - 1):
-                new = np.flatnonzero(special < 0)
+        slot = np.full(len(start), -1, np.int64)
+        plain = np.flatnonzero(special < 0)
+        own = mix(span_hashes(slab.data, start, end)) | np.uint64(1)
+        rows, keys, emptied = plain, own.copy(), False
+        while len(rows):
+            found = self._find(keys[rows])
+            new = rows[found < 0]
+            if len(new):
                 distinct, first = np.unique(keys[new], return_index=True)
-                self._clear(len(distinct))
-            chosen = new[first]
-            self._learn(slab.data, start[chosen], end[chosen], distinct)
-            slot = self._find(keys)
+                chosen = new[first]
+                over = self.bytes_used + int((end - start)[chosen].sum()) > TABLE_BYTES
+                if self.used + len(distinct) > 1 << (self.bits - 1) or (over and self.used and not emptied):
+                    # Begin again with an empty table that has room for all of this slab.
+                    self._clear(len(plain))
+                    rows, keys, emptied = plain, own.copy(), True
+                    continue
+                self._learn(slab.data, start[chosen], end[chosen], distinct)
+                found = self._find(keys[rows])
+            length = (end - start)[rows]
+            same = np.flatnonzero(self.lengths[found] == length)
+            same = same[same_spans(slab.data, start[rows[same]], self.bytes, self.texts[found[same]].astype(np.int64), length[same])]
+            slot[rows[same]] = found[same]
+            apart = np.ones(len(rows), bool)
+            apart[same] = False
+            rows = rows[apart]
+            keys[rows] = mix(keys[rows] + np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
         return slot, row, special
 
     def count(self, slab: Slab) -> np.ndarray:

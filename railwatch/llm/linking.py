@@ -9,14 +9,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railwatch.sources.staging import staged
+from railwatch.sources.staging import discard, staged
 
 WIDE_BUCKET = 64
 BLOCK = 512
 ROUNDS_BY_ID = 2
+HOT_BUCKETS = 4096
+HOT_SAMPLE = 256
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,6 +30,7 @@ def components(links: DataFrame) -> DataFrame:
     round, so that chains shrink by a constant factor whatever their ids.
     """
     edges = first_edges = staged(links.select("a", "b").where("a <> b").distinct(), "links")
+    spent_edges = []
     jumps: list[DataFrame] = []
     while not edges.isEmpty():
         spent = len(jumps)
@@ -43,6 +46,7 @@ def components(links: DataFrame) -> DataFrame:
         again = step.toDF("to", "further")
         jump = staged(step.join(again, "to").select("node", F.col("further").alias("to")), "jump")
         jumps.append(jump)
+        spent_edges.append(edges)
         edges = staged(
             edges.join(jump.toDF("a", "x"), "a").join(jump.toDF("b", "y"), "b").where("x <> y")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links",
@@ -52,7 +56,30 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.join(jump.toDF("root", "to"), "root", "left").select("id", F.coalesce("to", "root").alias("root"))
     labels = staged(labels, "labels")
     smallest = labels.groupBy("root").agg(F.min("id").alias("component"))
-    return staged(labels.join(smallest, "root").select("id", "component"), "components")
+    found = staged(labels.join(smallest, "root").select("id", "component"), "components")
+    discard(*spent_edges, edges, *jumps, labels)
+    return found
+
+
+def shared_buckets(members: DataFrame) -> DataFrame:
+    """``bucket, id, low, n`` for every member of a bucket of two or more: its smallest id and its size.
+
+    Members move once, by bucket.  The largest buckets, at most ``HOT_BUCKETS``, are known from a 64th of the
+    ids and do not move at all: their size and smallest id are summed up where their members are.
+    """
+    seen = members.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(64)) == 0).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    hot = staged(seen.where(F.col("n") >= HOT_SAMPLE).orderBy(F.desc("n"), "bucket").limit(HOT_BUCKETS).select("bucket"), "hot")
+    any_hot = not hot.isEmpty()
+    own = Window.partitionBy("bucket")
+    cold = members.join(F.broadcast(hot), "bucket", "left_anti") if any_hot else members
+    found = cold.select("bucket", "id", F.min("id").over(own).alias("low"), F.count(F.lit(1)).over(own).alias("n"))
+    if any_hot:
+        large = members.join(F.broadcast(hot), "bucket", "left_semi").select("bucket", "id")
+        found = found.union(large.join(F.broadcast(
+            large.groupBy("bucket").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n"))), "bucket"))
+    inside = staged(found.where("n > 1"), "members")
+    discard(hot)
+    return inside
 
 
 def linked_components(
@@ -66,19 +93,14 @@ def linked_components(
     pairs before their data is fetched.  ``items`` gives ``id`` and an item for rows of ``id``; it and ``compare``
     serve block comparisons, see :func:`linked_blocks`.
 
-    First every member is compared with the smallest id of its bucket.  Where a bucket then still
-    holds several components, its strays (members outside the component of that smallest id) are
-    compared with all members of other components: pair by pair in buckets of at most
+    First every member is compared with the smallest id of each of its buckets, in rounds: one partner a member, the
+    smallest, in each of the first two, then all that are left; pairs that became one component meanwhile are
+    not compared.  Where a bucket then still holds several components, its strays (members outside the component of
+    that smallest id) are compared with all members of other components: pair by pair in buckets of at most
     ``WIDE_BUCKET``; the wide ones are pooled by common members, and the strays of a pool meet its
     members in blocks.  A pair is left out only if both are known to be in one component.
     """
-    sizes = staged(members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
-    ).where("n > 1"), "buckets")
-    several = sizes.where("n > 2").select("bucket", "low", "n")
-    inside = staged(members.join(several, "bucket").select("bucket", "id", "low", "n"), "members")
-    stars = inside.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
-    pairs = sizes.where("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).union(stars).distinct()
+    inside = shared_buckets(members)
 
     def likely(found: DataFrame) -> DataFrame:
         if traits is None:
@@ -88,8 +110,22 @@ def linked_components(
         right = traits.select(F.col("id").alias("b"), *[F.col(c).alias(f"y_{c}") for c in names])
         return found.join(left, "a").join(right, "b").where(plausible("x_", "y_")).select("a", "b")
 
-    links = staged(verify(likely(pairs)), "verified")
-    groups = components(links)
+    pairs = staged(likely(inside.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()), "pairs")
+    links, groups = None, None
+    for last in (False, False, True):
+        chosen = pairs if last else staged(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "chosen")
+        found = staged(verify(chosen), "verified")
+        links = found if links is None else links.union(found)
+        groups = components(links)
+        if not last:
+            ends = lambda end: groups.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))  # noqa: E731, B023
+            left = staged(
+                pairs.join(chosen, ["a", "b"], "left_anti").join(ends("a"), "a", "left").join(ends("b"), "b", "left")
+                .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"), "pairs")
+            discard(pairs, chosen)
+            pairs = left
+            if pairs.isEmpty():
+                break
     placed = inside.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     heads = inside.select("bucket", F.col("low").alias("id")).distinct().join(groups, "id", "left").select(
         "bucket", F.coalesce("component", "id").alias("main")
@@ -97,6 +133,7 @@ def linked_components(
     placed = placed.join(heads, "bucket")
     mixed = placed.where("component <> main").select("bucket").distinct()
     placed = staged(placed.join(mixed, "bucket").select("bucket", "id", "low", "n", "component", "main"), "mixed")
+    discard(inside)
     if placed.isEmpty():
         return groups
 

@@ -12,12 +12,13 @@ from pyspark.sql import types as T
 
 from railwatch.llm.blocks import Slab, list_column, lowered, mix, slabs, span_hashes, words
 from railwatch.llm.linking import linked_components
-from railwatch.sources.staging import ship_package, staged
+from railwatch.sources.staging import discard, ship_package, staged
 
 PERMUTATIONS = 128
 BANDS = 42  # of three permutations, that is six values, each
 SKETCH_DIFFERENCE = 50  # of 256 bits
 SLOTS = 1 << 22
+STAR = 1024
 
 _C1, _C2 = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -139,25 +140,37 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(build, schema)
 
 
-def _similar(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (``a, b, one, two``) whose sets share ``percent`` hundredths of their union."""
+def _similar(stars: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of links, of rows ``a, part, first, id, items`` in order, the centre's rows first in each part.
+
+    Two sets link if they share ``percent`` hundredths of their union.  Only the centre's sets are held; there
+    are several where its id has several texts.
+    """
+
+    def near(x: np.ndarray, y: np.ndarray) -> bool:
+        small, large = min(len(x), len(y)), max(len(x), len(y))
+        if 100 * small < percent * large or not small:
+            return False
+        merged = np.sort(np.concatenate([x, y]))
+        shared = int((merged[1:] == merged[:-1]).sum())
+        return 100 * shared >= percent * (len(x) + len(y) - shared)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        star, centre = None, []
         for batch in batches:
             keep = []
-            for one, two in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
-                small, large = min(len(x), len(y)), max(len(x), len(y))
-                if 100 * small < percent * large or not small:
-                    keep.append(False)
-                    continue
-                merged = np.sort(np.concatenate([x, y]))
-                shared = int((merged[1:] == merged[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            marks = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for mark, first, items in zip(marks, batch.column(2).to_pylist(), batch.column(4), strict=True):
+                own = np.frombuffer(items.as_buffer(), np.uint64)
+                if mark != star:
+                    star, centre = mark, []
+                if first:
+                    centre.append(own.copy())
+                keep.append(not first and any(near(own, c) for c in centre))
             mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(3).filter(mask)], names=["a", "b"])
 
-    return pairs.mapInArrow(compare, "a long, b long")
+    return stars.mapInArrow(compare, "a long, b long")
 
 
 def _shared(percent: int):
@@ -219,7 +232,8 @@ def near_duplicates(
 
     Null and empty texts, and texts of white space, have no shingle and link with nothing.  Rows
     with a null id are returned with a null component and are not kept.  Rows that repeat an id
-    are one node; each is returned.  Other columns are not carried.  An empty table gives an empty
+    are all returned; where their texts differ, each row has the component of its own text, and all texts of the id are
+    compared.  Other columns are not carried.  An empty table gives an empty
     result.  Ids are integers.
     """
     ship_package(docs.sparkSession)
@@ -229,13 +243,16 @@ def near_duplicates(
     sets = staged(
         signed.where("n_shingles > 0 AND id IS NOT NULL").groupBy(*prints).agg(F.min("id").alias("rep")), "sets"
     )
-    leading = staged(signed.where("n_shingles > 0").join(
-        sets.withColumnRenamed("rep", "id"), [*prints, "id"], "left_semi"
-    ).select("id", "n_shingles", "bands", *[F.get("bits", F.lit(k)).alias(f"w{k}") for k in range(4)]), "leading")
+    lead = signed.where("n_shingles > 0").join(sets.withColumnRenamed("rep", "id"), [*prints, "id"], "left_semi")
+    if not signed.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        lead = lead.dropDuplicates([*prints, "id"])
+    leading = staged(lead.select("id", "n_shingles", "bands", *[F.get("bits", F.lit(k)).alias(f"w{k}") for k in range(4)]), "leading")
+    spent = [leading]
+    # The band is part of the bucket, so a document's own buckets differ.
     members = leading.select("id", F.posexplode("bands").alias("band", "hash")).select(
         F.xxhash64("band", "hash").alias("bucket"), "id"
-    ).distinct()
-    traits = leading.select("id", "n_shingles", "w0", "w1", "w2", "w3").dropDuplicates(["id"])
+    )
+    traits = leading.select("id", "n_shingles", "w0", "w1", "w2", "w3")
 
     def plausible(x: str, y: str):
         apart = sum((F.bit_count(F.col(f"{x}w{k}").bitwiseXOR(F.col(f"{y}w{k}"))) for k in range(4)), F.lit(0))
@@ -247,13 +264,18 @@ def near_duplicates(
         return shingle_sets(likely_among(texts, ids), width).join(ids, "id", "left_semi")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = staged(pairs, "pairs")
-        known = staged(sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), "shingles")
-        one = pairs.join(known.select(F.col("id").alias("a"), F.col("items").alias("one")), "a")
-        both = one.join(known.select(F.col("id").alias("b"), F.col("items").alias("two")), "b")
-        return _similar(both.select("a", "b", "one", "two"), percent).distinct()
+        parts = F.ceil(F.col("k") / STAR).cast("int")
+        sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("k"))
+        rays = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"), F.lit(False).alias("first"), F.col("b").alias("id"))
+        centres = sizes.select("a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(True).alias("first"), F.col("a").alias("id"))
+        wanted = staged(centres.union(rays), "wanted")
+        spent.append(wanted)
+        known = shingle_sets(likely_among(texts, wanted.select("id")), width)
+        dealt = known.join(wanted, "id").select("a", "part", "first", "id", "items").repartition("a", "part")
+        return _similar(dealt.sortWithinPartitions("a", "part", F.desc("first")), percent)
 
     groups = linked_components(members, verify, sets_of, _shared(percent), traits, plausible)
+    discard(*spent)
     placed = sets.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select(
         *[F.col(c).alias(f"_{c}") for c in prints], F.coalesce("component", "rep").alias("_component")
     )

@@ -180,3 +180,28 @@ def test_odd_vectors(spark):
     assert all((by[i].n_links, by[i].component_id, by[i].kept) == (0, i, True) for i in (4, 5, 6, 7, 8, 9))
     assert by[11].n_links == 1 and by[None].component_id is None and not by[None].kept
     assert near_vectors(df.where("false")).collect() == []
+
+
+def test_words_that_only_a_polynomial_takes_for_one(spark):
+    """Texts of long words that differ in every place share no shingle."""
+    bits = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    other = bits.translate(str.maketrans("ab", "ba"))
+    texts = [(1, f"{bits} " * 3 + "c d e"), (2, f"{other} " * 3 + "c d e"), (3, f"{bits} " * 3 + "c d e")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates(docs, 4).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_texts_of_one_id_are_all_compared(spark):
+    base = " ".join(f"w{k}" for k in range(100))
+    texts = [(5, "some other text of this document entirely"), (5, base + " x"), (7, base + " y"), (9, base)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in near_duplicates(docs).where("doc_id > 5").collect()} == {7: 5, 9: 5}
+
+
+@pytest.mark.parametrize("sample", [1, 256])
+def test_largest_buckets_stay_where_they_are(spark, monkeypatch, sample):
+    monkeypatch.setattr(linking, "HOT_SAMPLE", sample)
+    members = spark.range(2_000).selectExpr("1L AS bucket", "id").union(spark.range(900).selectExpr("id % 400 + 5 AS bucket", "id"))
+    got = {(r.bucket, r.id): (r.low, r.n) for r in linking.shared_buckets(members).collect()}
+    want = {(1, i): (0, 2_000) for i in range(2_000)} | {(i % 400 + 5, i): (i % 400, 3 if i % 400 < 100 else 2) for i in range(900)}
+    assert got == want

@@ -1,5 +1,6 @@
 """Token counts, ids and packing against the tokenizer library."""
 
+import random
 import zlib
 
 import numpy as np
@@ -167,3 +168,28 @@ def test_blocks_are_packed_within_their_limit(lengths):
         assert lengths[own].sum() <= 64
     first, plain = packing.best_fit(lengths, 64)
     assert bins <= plain
+
+
+def test_long_pieces_and_colliding_hashes_equal_the_library(library, monkeypatch):
+    """Words of any length go through the transducer in chunks; a hash alone never decides."""
+    rng = random.Random(1)
+    bits = "".join("ab"[i.bit_count() % 2] for i in range(4096))
+    texts = [bits[:1024] + " " + bits[:1024].translate(str.maketrans("ab", "ba")), bits, bits.translate(str.maketrans("ab", "ba"))]
+    texts += ["a" * n for n in (97, 128, 129, 5_000)] + ["the" * 500, "=" * 3_000 + "-" * 500, " " * 4_000, "\n" * 700, "的一是不了" * 300]
+    texts += ["".join(rng.choices(letters, k=rng.randrange(90, 3_000))) for letters in ("ab", "abcdefghijklmnopqrstuvwxyz") for _ in range(20)]
+    texts += ["".join(rng.choice(["the", "and", "ing", "tion", "ed"]) for _ in range(rng.randrange(30, 900))) for _ in range(20)]
+
+    def same(machine, some):
+        at = 0
+        for slab in slabs(pa.array(some)):
+            count, flat = machine.ids(slab)
+            ends = np.r_[0, np.cumsum(count)]
+            for row in range(slab.rows):
+                assert flat[ends[row]:ends[row + 1]].tolist() == library.encode(some[at], add_special_tokens=False).ids
+                at += 1
+
+    same(bpe.Encoder(vocabulary(), True), texts)
+    monkeypatch.setattr(bpe, "TABLE_BYTES", 4_000)
+    same(bpe.Encoder(vocabulary(), True), texts[:30] + ["some words and more words"] * 3)
+    monkeypatch.setattr(bpe, "span_hashes", lambda data, start, end: ((end - start) % 5).astype(np.uint64))
+    same(bpe.Encoder(vocabulary(), True), ["it is what it was, and who would say not", "who it was"])
