@@ -6,11 +6,13 @@ milliseconds is the order, so a busy session is cut into pieces of a few minutes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railwatch.operators.scan import running
-from railwatch.schemas import FINDING, LEAKAGE, PROMPT_INJECTION, REQUEST, RESPONSE
+from railwatch.operators.scan import in_time_blocks, running
+from railwatch.schemas import FINDING, LEAKAGE, LOOPING, PROMPT_INJECTION, REQUEST, RESPONSE
 
 SESSION = ("agentId", "sessionId")
 _SHIFTS = (18,)  # buckets of 262 seconds of milliseconds
@@ -87,23 +89,78 @@ def escalations(
     """Two strong injections, then a leakage, then a high output, in order and in time.
 
     The latest leakage and, before it, the latest two injections give the shortest sequence,
-    so three values carried forward decide each candidate row.
+    so three values carried forward decide each candidate row, in blocks of time that overlap by ``within_ms``.
     """
     t, fired = F.col("eventTimeMillis"), F.coalesce(F.col("triggered"), F.lit(False))
     injection = fired & (F.col("guardrailName") == PROMPT_INJECTION) & (F.col("confidence") >= confidence)
     leak = fired & (F.col("guardrailName") == LEAKAGE)
-
-    def carry(rows: DataFrame, out: str, column: str) -> DataFrame:
-        return running(rows, "eventTimeMillis", {out: ("last", column)}, SESSION, inclusive=False,
-                       shifts=_SHIFTS, ties=("seq",))
-
     rows = events.select(
         *SESSION, "seq", "requestId", "eventTimeMillis", "outputTokens",
         F.coalesce(injection, F.lit(False)).alias("injection"), F.coalesce(leak, F.lit(False)).alias("leak"),
-    )
-    rows = carry(rows.withColumn("injectionAt", F.when(F.col("injection"), t)), "previous", "injectionAt")
-    rows = carry(rows.withColumn("pairAt", F.when(F.col("injection"), F.col("previous"))), "pair", "pairAt")
-    rows = carry(rows.withColumn("leakAt", F.when(F.col("leak"), F.col("pair"))), "startMillis", "leakAt")
-    return rows.where((F.col("outputTokens") >= output_tokens) & (t - F.col("startMillis") <= within_ms)).select(
+    ).where(F.col("injection") | F.col("leak") | (F.col("outputTokens") >= output_tokens))
+    rows = in_time_blocks(rows, "eventTimeMillis", within_ms)
+    before = _ordered().rowsBetween(Window.unboundedPreceding, -1)
+    latest = lambda flag, value: F.last(F.when(F.col(flag), value), ignorenulls=True).over(before)
+    rows = rows.withColumn("previous", latest("injection", t))
+    rows = rows.withColumn("pair", latest("injection", F.col("previous")))
+    rows = rows.withColumn("startMillis", latest("leak", F.col("pair")))
+    return rows.where(F.col("__own") & (F.col("outputTokens") >= output_tokens) & (t - F.col("startMillis") <= within_ms)).select(
         *SESSION, "requestId", "startMillis", "eventTimeMillis", "outputTokens"
     )
+
+
+def _ordered():
+    return Window.partitionBy(*SESSION, "__block").orderBy("eventTimeMillis", "seq")
+
+
+def rising_injections(events: DataFrame, steps: int = 3, within_ms: int = 180_000) -> DataFrame:
+    """The last of ``steps`` triggered injections of a session, one after the other, of rising confidence and in time.
+
+    Other events between them do not matter; an injection of equal or lower confidence ends a rise, one
+    without confidence is passed over.
+    """
+    if steps < 2:
+        raise ValueError("a rise has two steps at least")
+    fired = F.coalesce(F.col("triggered"), F.lit(False)) & (F.col("guardrailName") == PROMPT_INJECTION) & F.col("confidence").isNotNull()
+    rows = in_time_blocks(
+        events.where(fired).select(*SESSION, "seq", "requestId", "eventTimeMillis", "confidence"), "eventTimeMillis", within_ms)
+    order = _ordered()
+    back = [F.lag(F.struct("eventTimeMillis", "confidence"), k).over(order) for k in range(1, steps)]
+    rows = rows.withColumns({f"__back{k + 1}": b for k, b in enumerate(back)})
+    values = [F.col("confidence"), *[F.col(f"__back{k}.confidence") for k in range(1, steps)]]
+    rises = reduce(lambda a, b: a & b, [later > earlier for later, earlier in zip(values, values[1:], strict=False)])
+    first = F.col(f"__back{steps - 1}")
+    return rows.where(F.col("__own") & rises & (F.col("eventTimeMillis") - first["eventTimeMillis"] <= within_ms)).select(
+        *SESSION, "requestId", first["eventTimeMillis"].alias("startMillis"), "eventTimeMillis",
+        first["confidence"].alias("firstConfidence"), F.col("confidence").alias("lastConfidence"),
+    )
+
+
+def runaway_agents(events: DataFrame, steps: int = 2, within_ms: int = 180_000) -> DataFrame:
+    """A triggered looping finding, then a response followed by ``steps`` more, each with more output tokens than the one before.
+
+    Given out at the last of these responses, all within ``within_ms`` of the latest such finding before the first of
+    them.  Responses without a number of tokens are passed over.
+    """
+    if steps < 1:
+        raise ValueError("growth has one step at least")
+    looping = F.coalesce(F.col("triggered"), F.lit(False)) & (F.col("guardrailName") == LOOPING) & (F.col("eventType") == FINDING)
+    response = (F.col("eventType") == RESPONSE) & F.col("outputTokens").isNotNull()
+    rows = events.select(
+        *SESSION, "seq", "requestId", "eventTimeMillis", "outputTokens", F.coalesce(looping, F.lit(False)).alias("looping"),
+        F.coalesce(response, F.lit(False)).alias("response"),
+    ).where("looping OR response")
+    rows = in_time_blocks(rows, "eventTimeMillis", within_ms)
+    before = _ordered().rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("loopAt", F.last(F.when(F.col("looping"), F.col("eventTimeMillis")), ignorenulls=True).over(before))
+    # Each response carries those before it, so ``steps`` windows in one order reach the first.
+    rows = rows.withColumn("grown0", F.struct("outputTokens", "loopAt"))
+    for k in range(steps):
+        earlier = F.last(F.when(F.col("response"), F.col(f"grown{k}")), ignorenulls=True).over(before)
+        rows = rows.withColumn(f"grown{k + 1}", earlier)
+    grows = reduce(lambda a, b: a & b, [F.col(f"grown{k}.outputTokens") > F.col(f"grown{k + 1}.outputTokens") for k in range(steps)])
+    start = F.col(f"grown{steps}.loopAt")
+    return rows.where(F.col("__own") & F.col("response") & grows & (F.col("eventTimeMillis") - start <= within_ms)).select(
+        *SESSION, "requestId", start.alias("startMillis"), "eventTimeMillis",
+        F.col(f"grown{steps}.outputTokens").alias("firstOutputTokens"), F.col("outputTokens").alias("lastOutputTokens"),
+    )

@@ -91,3 +91,17 @@ def running(
             for out, (k, _) in values.items()
         ],
     )
+
+
+def in_time_blocks(df: DataFrame, time: str, within_ms: int, width_ms: int = 1 << 18) -> DataFrame:
+    """Cut the time of a key into blocks in which every row sees the ``within_ms`` before it.
+
+    Adds ``__block`` and ``__own``.  A block is at least ``within_ms`` wide; rows at its end are there twice, the
+    copies (``__own`` false) in the next block.  What looks back no further can be computed inside ``(key, __block)`` with
+    ordinary windows, all of them behind one exchange, and a busy key is spread over its blocks.
+    """
+    width = max(within_ms, width_ms)
+    block = F.floor(F.col(time) / F.lit(width)).cast("long")
+    near_end = F.pmod(F.col(time), F.lit(width)) >= width - within_ms
+    blocks = F.when(near_end, F.array(block, block + 1)).otherwise(F.array(block))
+    return df.select("*", F.posexplode(blocks).alias("__copy", "__block")).withColumn("__own", F.col("__copy") == 0).drop("__copy")

@@ -406,6 +406,16 @@ def _(p: Pipeline) -> DataFrame:
     return correlation.escalations(p.events, 0.5, 350, 10 * MINUTE_MS)
 
 
+@query("rising_injections")
+def _(p: Pipeline) -> DataFrame:
+    return correlation.rising_injections(p.events, 3, 10 * MINUTE_MS)
+
+
+@query("runaway_agents")
+def _(p: Pipeline) -> DataFrame:
+    return correlation.runaway_agents(p.events, 2, 10 * MINUTE_MS)
+
+
 @query("finding_severity")
 def _(p: Pipeline) -> DataFrame:
     return review.with_severity(p.events).select("seq", "guardrailName", "severity")

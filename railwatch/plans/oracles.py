@@ -649,6 +649,23 @@ SELECT h."agentId", h."sessionId", h."requestId", max(l.start) AS "startMillis",
 FROM leaks l JOIN e h ON h."outputTokens" >= 350 AND l."agentId" = h."agentId" AND l."sessionId" = h."sessionId"
   AND (l.t, l.seq) < (h.t, h.seq) AND h.t - l.start <= 600000
 GROUP BY h."agentId", h."sessionId", h."requestId", h."outputTokens", h.t"""
+ORACLES["rising_injections"] = f"""WITH {ROUTED}, pi AS (
+  SELECT *, lag(confidence, 1) OVER w AS c1, lag(confidence, 2) OVER w AS c2, lag("eventTimeMillis", 2) OVER w AS t2 FROM ev
+  WHERE triggered AND "guardrailName" = 'PROMPT_INJECTION' AND confidence IS NOT NULL
+  WINDOW w AS (PARTITION BY "agentId", "sessionId" ORDER BY "eventTimeMillis", seq)
+)
+SELECT "agentId", "sessionId", "requestId", t2 AS "startMillis", "eventTimeMillis", c2 AS "firstConfidence", confidence AS "lastConfidence"
+FROM pi WHERE confidence > c1 AND c1 > c2 AND "eventTimeMillis" - t2 <= 600000"""
+ORACLES["runaway_agents"] = f"""WITH {ROUTED}, answers AS (
+  SELECT *, lag("outputTokens", 1) OVER w AS o1, lag("outputTokens", 2) OVER w AS o2, lag("eventTimeMillis", 2) OVER w AS t2, lag(seq, 2) OVER w AS seq2
+  FROM ev WHERE "eventType" = 'AGENT_RESPONSE' WINDOW w AS (PARTITION BY "agentId", "sessionId" ORDER BY "eventTimeMillis", seq)
+)
+SELECT a."agentId", a."sessionId", a."requestId", max(l."eventTimeMillis") AS "startMillis", a."eventTimeMillis",
+  a.o2 AS "firstOutputTokens", a."outputTokens" AS "lastOutputTokens"
+FROM answers a JOIN ev l ON l."agentId" = a."agentId" AND l."sessionId" = a."sessionId" AND l."eventType" = 'GUARDRAIL_FINDING' AND l.triggered
+  AND l."guardrailName" = 'LOOPING' AND (l."eventTimeMillis", l.seq) < (a.t2, a.seq2) AND a."eventTimeMillis" - l."eventTimeMillis" <= 600000
+WHERE a."outputTokens" > a.o1 AND a.o1 > a.o2
+GROUP BY a."agentId", a."sessionId", a."requestId", a."eventTimeMillis", a.o2, a."outputTokens", a.seq"""
 ORACLES["finding_severity"] = f"""WITH {ROUTED}
 SELECT seq, "guardrailName", CASE
   WHEN "guardrailName" = 'PROMPT_INJECTION' THEN

@@ -52,3 +52,9 @@ def test_raw_findings_use_a_hash_aggregate(pipeline):
 
     text = plan(value_counts(pipeline.events, 60_000))
     assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+@pytest.mark.parametrize("name", ["escalations", "rising_injections", "runaway_agents"])
+def test_ordered_patterns_read_and_shuffle_once(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert text.count("Scan parquet") == 1 and text.count("Exchange hashpartitioning") == 1
