@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from railwatch.functions import instant_millis
 from railwatch.operators.scan import running
-from railwatch.schemas import POLICY, POLICY_SECTIONS
+from railwatch.schemas import POLICY, POLICY_SECTIONS, TIME_LINE
 from railwatch.settings import DEFAULTS, Settings
 
 # Thresholds in force before any policy exists, and for absent thresholds.
@@ -23,6 +23,7 @@ SEVERITIES = ("MEDIUM", "HIGH", "CRITICAL")
 
 # Policies are few, so one level of wide buckets is enough for their scans.
 _SHIFTS = (20,)
+_BLOCK = 16  # blocks of 65,536 numbers or milliseconds
 
 PARSED = T.StructType([T.StructField("seq", T.LongType()), T.StructField("policy", POLICY)])
 
@@ -94,13 +95,29 @@ def _scalars(block: dict) -> dict:
 
 
 def parse_policies(messages: DataFrame) -> DataFrame:
-    """``value, seq`` messages to ``seq, policy``; ``policy`` is null for an invalid message."""
+    """``value, seq`` messages to ``seq, policy``; ``policy`` is null for an invalid message.
+
+    The other columns of ``TIME_LINE`` stay where the messages have them.
+    """
+    arrival = [c for c in TIME_LINE if c != "seq" and c in messages.columns]
+    schema = T.StructType([*PARSED.fields, *[messages.schema[c] for c in arrival]])
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"seq": batch["seq"], "policy": [policy_from_text(v) for v in batch["value"]]})
+            yield batch[["seq"]].assign(policy=[policy_from_text(v) for v in batch["value"]], **{c: batch[c] for c in arrival})
+
+    return messages.select("seq", "value", *arrival).mapInPandas(read, schema)
+
+
+def on_time_line(policies: DataFrame) -> DataFrame:
+    """Parsed policies of one or several logs with ``seq`` as their rank in ``TIME_LINE`` and ``at``, their place there.
 
-    return messages.select("seq", "value").mapInPandas(read, PARSED)
+    Offsets of different partitions say nothing about each other, so the rank takes their place in the order
+    in which :func:`decide` goes.
+    """
+    placed = policies.withColumns({"at": F.struct(*TIME_LINE), "__one": F.lit(1)})
+    ranked = running(placed, "ingestMillis", {"__rank": ("sum", "__one")}, shifts=_SHIFTS, ties=TIME_LINE[1:])
+    return ranked.select(F.col("__rank").alias("seq"), "policy", "at")
 
 
 def load_policy(spark: SparkSession, path: str, required: bool = True, seq: int = -1) -> DataFrame:
@@ -182,8 +199,9 @@ def accepted_timeline(
     bootstrap: DataFrame | None, updates: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Accepted policies; each is in force from its ``seq`` to the next accepted one."""
-    everything = updates if bootstrap is None else bootstrap.unionByName(updates)
-    return decide(everything, settings).where("accepted").select("seq", "policy")
+    everything = updates if bootstrap is None else bootstrap.unionByName(updates, allowMissingColumns=True)
+    placed = ["at"] if "at" in everything.columns else []
+    return decide(everything, settings).where("accepted").select("seq", "policy", *placed)
 
 
 def merged_section(policy: Column, agent: Column, section: str) -> Column:
@@ -210,27 +228,31 @@ def effective_policies(policies: DataFrame) -> DataFrame:
     return exploded.select("seq", policy["version"].alias("version"), "agentId", *flat)
 
 
-def attach_policy(rows: DataFrame, timeline: DataFrame) -> DataFrame:
-    """As-of join: each row gets the last accepted policy at or before its ``seq``.
+def attach_policy(rows: DataFrame, timeline: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
+    """As-of join: each row gets the last accepted policy at or before its place in ``order``.
 
-    Policies are carried forward along the sequence, so neither side is broadcast and no
-    range join is formed.  Rows before the first policy get null.
+    ``order`` is ``("seq",)`` for one log, or ``TIME_LINE`` for rows and policies of several (see :func:`on_time_line`).
+    A policy takes effect before the row that shares its place.  Policies rank by ``seq``, so the one in force is a
+    maximum of numbers: the largest of earlier blocks, kept as one small row a block, or one of those in the row's
+    own block.  Rows meet blocks and then policies in equi-joins, which Spark makes broadcasts where sizes
+    allow; rows are not sorted.  Rows before the first policy get null.
     """
-    fields = rows.columns
-    # A policy takes effect before the row that shares its sequence number.
-    slot = "__slot"
-    left = rows.select(
-        (F.col("seq") * 2 + 1).alias(slot), F.struct(*fields).alias("__row"),
-        F.lit(None).cast(POLICY).alias("policy"),
-    )
-    right = timeline.select(
-        (F.col("seq") * 2).alias(slot), F.lit(None).cast(left.schema["__row"].dataType).alias("__row"),
-        "policy",
-    )
-    carried = running(
-        left.unionByName(right), slot, {"__applied": ("last", "policy")}, shifts=_SHIFTS
-    )
-    return carried.where(F.col("__row").isNotNull()).select("__row.*", F.col("__applied").alias("policy"))
+    place = F.struct(*order)
+    block = F.shiftright(F.col(order[0]).cast("long"), _BLOCK)
+    at = F.col("at") if len(order) > 1 else F.struct("seq")
+    first = F.col("at")[order[0]] if len(order) > 1 else F.col("seq")
+    # A bootstrap has no place in a log: it is there from the start.
+    start = F.coalesce(F.shiftright(first.cast("long"), _BLOCK), F.lit(-1))
+    changes = timeline.select(start.cast("long").alias("__block"), F.struct(at.alias("at"), F.col("seq").alias("number")).alias("change"))
+    blocks = changes.groupBy("__block").agg(F.collect_list("change").alias("__changes"), F.max("change.number").alias("__latest"))
+    present = rows.select(block.alias("__block")).distinct().join(blocks, "__block", "full")
+    known = running(present, "__block", {"__before": ("max", "__latest")}, inclusive=False, shifts=_SHIFTS)
+    inside = F.filter("__changes", lambda c: c["at"].isNull() | (c["at"] <= F.col("__place")))
+    number = F.greatest("__before", F.array_max(F.transform(inside, lambda c: c["number"])))
+    placed = rows.withColumns({"__block": block, "__place": place}).join(known.select("__block", "__before", "__changes"), "__block", "left")
+    return placed.withColumn("__number", number).select(*rows.columns, "__number").join(
+        timeline.select(F.col("seq").alias("__number"), "policy"), "__number", "left"
+    ).select(*rows.columns, "policy")
 
 
 def thresholds(policy: Column, agent: Column) -> dict[str, Column]:

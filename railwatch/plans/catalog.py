@@ -13,7 +13,7 @@ from railwatch.operators import (
 )
 from railwatch.plans.pipeline import Pipeline, flat
 from railwatch.schemas import (
-    ARRIVAL, BURST_RULE, EVENT_FIELDS, LEAK_RULE, LOOP_RULE, MIXED_RULE, TOXIC_RULE,
+    ARRIVAL, BURST_RULE, EVENT_FIELDS, LEAK_RULE, LOOP_RULE, MIXED_RULE, TIME_LINE, TOXIC_RULE,
 )
 from railwatch.settings import DEFAULTS, MINUTE_MS
 from railwatch.sources import tables
@@ -183,6 +183,14 @@ def _(p: Pipeline) -> DataFrame:
     return attached.select("seq", "agentId", *[c.alias(n) for n, c in limits.items()])
 
 
+@query("policy_asof_topics")
+def _(p: Pipeline) -> DataFrame:
+    rows = intake.triggered(p.events).select("seq", "agentId", "ingestMillis", "source", "partition")
+    attached = policies.attach_policy(rows, p.topic_timeline, TIME_LINE)
+    limits = policies.thresholds(F.col("policy"), F.col("agentId"))
+    return attached.select("seq", "agentId", *[c.alias(n) for n, c in limits.items()])
+
+
 @query("report_policy_updates")
 def _(p: Pipeline) -> DataFrame:
     return reports.policy_updates(p.parsed_policies, p.decided)

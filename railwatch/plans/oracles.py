@@ -53,7 +53,7 @@ bursts AS (
     CASE WHEN k <> 13 AND kind <> 'click' THEN score >= 0.40 END AS triggered,
     CAST(5 + k AS BIGINT) AS "detectorLatencyMs",
     CASE WHEN k % 12 = 0 THEN 'ERROR' ELSE 'OK' END AS "detectorStatus",
-    evidence AS "evidenceSnippet",
+    evidence AS "evidenceSnippet", ms0 AS "ingestMillis",
     CASE
       WHEN k = 15 THEN 'PARSE_ERROR'
       WHEN k = 14 THEN 'UNSUPPORTED_EVENT_TYPE'
@@ -268,6 +268,16 @@ _IN_FORCE = "JOIN timeline t ON x.seq >= t.seq AND (t.until IS NULL OR x.seq < t
 ORACLES["policy_asof"] = f"""{_R} {FIRED}, {TIMELINE}
 SELECT x.seq, x."agentId", {_LIMITS} FROM fired x {_IN_FORCE}"""
 
+# The same policies as messages of two partitions: their rank in the order of all logs takes the place of their number.
+_TOPIC = TIMELINE.replace("SELECT i, i * 100 + 50 AS seq,", f"""SELECT i, {T0_MILLIS} + i * 7919000 % 10800000 AS ingest, i % 2 AS part, i // 2 AS off,
+    row_number() OVER (ORDER BY {T0_MILLIS} + i * 7919000 % 10800000, i % 2, i // 2) AS seq,""")
+ORACLES["policy_asof_topics"] = f"""{_R} {FIRED}, {_TOPIC}, placed AS (
+  SELECT t.*, coalesce(p.ingest, -1) AS ingest, coalesce(p.part, -1) AS part, coalesce(p.off, -1) AS off FROM timeline t LEFT JOIN pol p ON p.seq = t.seq
+)
+SELECT x.seq, x."agentId", {_LIMITS} FROM fired x
+JOIN placed t ON t.ingest < x."ingestMillis" OR (t.ingest = x."ingestMillis" AND 'policy-updates' < x.source)
+QUALIFY row_number() OVER (PARTITION BY x.seq ORDER BY t.seq DESC) = 1"""
+
 ORACLES["report_policy_updates"] = f"""{_R} {DECIDED}
 SELECT (SELECT count(*) FROM fold WHERE accepted AND seq >= 0) AS "acceptedUpdates",
   (SELECT count(*) FROM fold WHERE NOT accepted) AS "rejectedUpdates",

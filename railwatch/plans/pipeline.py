@@ -104,6 +104,14 @@ class Pipeline:
             self.bootstrap.unionByName(self.parsed_policies), self.settings
         ), self.settings.reject_older_policies)
 
+    @cached_property
+    def topic_timeline(self) -> DataFrame:
+        """Accepted policies of a topic with several partitions, with their place in the order of all logs."""
+        parsed = policies.parse_policies(tables.policy_topic(self.table("supplier")))
+        return self._staged("topic_timeline", lambda: policies.accepted_timeline(
+            self.bootstrap, policies.on_time_line(parsed), self.settings
+        ), self.settings.reject_older_policies)
+
     @cached_property
     def timeline(self) -> DataFrame:
         return self.decided.where("accepted").select("seq", "policy")

@@ -54,6 +54,8 @@ EVENT = _struct(
 )
 EVENT_FIELDS = tuple(EVENT.fieldNames())
 ARRIVAL = ("source", "partition", "seq")
+# The common order of several logs: when a message reached its log, then the log, its partition and the offset there.
+TIME_LINE = ("ingestMillis", "source", "partition", "seq")
 
 GUARDRAIL_POLICY = _struct(medium=D, high=D, critical=D, severity=S)
 POLICY_BLOCK = _struct(

@@ -16,9 +16,10 @@ def read_topics(
     spark: SparkSession, servers: str, topics: Sequence[str], group: str | None = None,
     from_earliest: bool = True, streaming: bool = True,
 ) -> DataFrame:
-    """Several message topics as one stream of ``value, source, partition, seq``.
+    """Several message topics as one stream of ``value, source, partition, seq, ingestMillis``.
 
-    Needs the Kafka connector on the class path.
+    ``seq`` is the offset in the partition; ``ingestMillis`` the message's own timestamp, by which several
+    topics have a common order (``TIME_LINE``).  Needs the Kafka connector on the class path.
     """
     reader = (spark.readStream if streaming else spark.read).format("kafka")
     options = {
@@ -27,9 +28,15 @@ def read_topics(
     }
     if group:
         options["groupIdPrefix"] = group
-    return reader.options(**options).load().select(
+    return from_messages(reader.options(**options).load())
+
+
+def from_messages(messages: DataFrame) -> DataFrame:
+    """Rows of the columns that a message log has, in the columns of this package."""
+    return messages.select(
         F.col("value").cast("string").alias("value"), F.col("topic").alias("source"),
         F.col("partition").cast("int").alias("partition"), F.col("offset").alias("seq"),
+        F.unix_millis("timestamp").alias("ingestMillis"),
     )
 
 

@@ -38,7 +38,7 @@ def _pick(index: Column, options: tuple[str, ...]) -> Column:
 
 
 def raw_events(events: DataFrame, conversations: DataFrame) -> DataFrame:
-    """``value, source, partition, seq`` from the ``events`` table (batch or stream).
+    """``value, source, partition, seq, ingestMillis`` from the ``events`` table (batch or stream).
 
     Evidence comes from all conversations in turn: ``EVIDENCE_BURST`` events in a row share one, by its
     number, and each takes a turn of it by its own number.
@@ -109,13 +109,27 @@ def raw_events(events: DataFrame, conversations: DataFrame) -> DataFrame:
         F.when(kind != "click", "guardrail-findings")
         .when(F.col("event_id") % 2 == 0, "agent-requests").otherwise("agent-responses")
     )
-    return base.withColumn("ms", millis).select(
+    return base.withColumns({"ms": millis, "shift": shift}).select(
         F.when(k == 15, F.lit('{"eventType": "AGENT_REQUEST", "agentId')).otherwise(
             F.to_json(fields)
         ).alias("value"),
         topic.alias("source"),
         (F.col("user_id") % 3).cast("int").alias("partition"),
         F.col("event_id").alias("seq"),
+        (F.col("ms") + F.col("shift")).cast("long").alias("ingestMillis"),
+    )
+
+
+def policy_topic(suppliers: DataFrame) -> DataFrame:
+    """The messages of :func:`policy_updates` as a topic of two partitions whose offsets overlap.
+
+    ``value, source, partition, seq, ingestMillis``: ``seq`` is the offset, and messages arrive in another order
+    than that of their numbers.
+    """
+    i = F.floor(F.col("seq") / 100)
+    return policy_updates(suppliers).select(
+        "value", F.lit("policy-updates").alias("source"), (i % 2).cast("int").alias("partition"), F.floor(i / 2).alias("seq"),
+        (F.lit(T0_MILLIS) + (i * 7_919_000) % 10_800_000).cast("long").alias("ingestMillis"),
     )
 
 

@@ -124,3 +124,34 @@ def test_as_of_join(spark):
         0: ("config-fallback", 0.90), 10: ("v0", 0.75), 11: ("v0", 0.75), 100_009: ("v0", 0.75),
         100_010: ("v1", 0.75), 900_000: ("v2", 0.75),
     }
+
+
+def test_as_of_join_over_logs_whose_offsets_overlap(spark):
+    """Policies and rows of several partitions: only the common order says what was in force."""
+    rng = random.Random(8)
+    messages, rows = [], []
+    for k in range(60):
+        at, partition = rng.randrange(400_000), rng.randrange(2)
+        messages.append((at, "policies", partition, k // 2, f"v{k:03d}"))
+        for source in ("findings", "requests"):
+            rows.append((at + rng.choice([-1, 0, 0, 1, 70_000]), source, partition, k // 3, f"{source}-{k}"))
+    rows.append((min(m[0] for m in messages) - 1, "findings", 0, 0, "early"))
+    text = lambda v: f'version: "{v}"\ndefaults:\n' + "".join(f"  {n}:\n    severity: HIGH\n" for n in ("promptInjection", "toxicity", "looping", "systemPromptLeakage"))
+    log = spark.createDataFrame([(text(v), s, p, o, at) for at, s, p, o, v in messages], "value string, source string, partition int, seq long, ingestMillis long")
+    timeline = P.accepted_timeline(None, P.on_time_line(P.parse_policies(log.repartition(3))))
+    current, ruled = None, []
+    for at, source, partition, offset, version in sorted(messages):
+        if current is None or version >= current:
+            current = version
+            ruled.append(((at, source, partition, offset), version))
+    frame = spark.createDataFrame([(i, at, s, p, o) for at, s, p, o, i in rows], "id string, ingestMillis long, source string, partition int, seq long")
+    got = {r.id: r.version for r in P.attach_policy(frame, timeline, P.TIME_LINE).select("id", "policy.version").collect()}
+    assert got == {i: next((v for place, v in reversed(ruled) if place <= (at, s, p, o)), None) for at, s, p, o, i in rows}
+    assert None in got.values() and len(set(got.values())) > 3
+
+
+def test_messages_keep_their_timestamp(spark):
+    from railwatch.sources.streams import from_messages
+
+    log = spark.sql("SELECT cast('x' AS binary) AS value, 't' AS topic, 3 AS partition, 9L AS offset, timestamp'2026-01-01 00:00:00.123' AS timestamp")
+    assert tuple(from_messages(log).first()) == ("x", "t", 3, 9, 1_767_225_600_123)
