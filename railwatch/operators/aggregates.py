@@ -29,7 +29,8 @@ from railwatch.operators.intake import findings
 from railwatch.schemas import AGGREGATE_KEY, FINDING, LEAKAGE, LOOPING, SCORED_GUARDRAILS
 from railwatch.settings import DEFAULTS, Settings
 
-SLICES = 256
+SLICES = 4096  # in each of three zones
+EDGE = 1 / 64
 NO_VALUE = "\u0000"  # stands for null inside the job, so that keys join with plain equality
 
 WINDOW_KEY = (*AGGREGATE_KEY, "windowName", "windowStartMillis")
@@ -143,17 +144,26 @@ def merged_value_counts(parts: DataFrame) -> DataFrame:
     )
 
 
+def score_slice(score: Column, slices: int = SLICES) -> Column:
+    """The slice of a score: numbers that never fall as scores rise.
+
+    Detectors are sure of most of what they see, so the outer 64ths of [0, 1] are cut as finely as all
+    between them.  Values outside [0, 1] fall into the two outer slices; NaN sorts last.
+    """
+    within = lambda low, width: F.floor((score - low) / width * slices)
+    inner = F.least(within(EDGE, 1 - 2 * EDGE), F.lit(slices - 1))
+    top = F.when(F.isnan(score), slices).otherwise(F.least(within(1 - EDGE, EDGE), F.lit(slices)))
+    return F.when(score < EDGE, F.greatest(within(0.0, EDGE), F.lit(-1))).when(
+        score < 1 - EDGE, inner + slices).otherwise(top + 2 * slices).cast("int")
+
+
 def aggregate_value_counts(
     counts: DataFrame, sizes_ms: Sequence[int], slices: int = SLICES
 ) -> DataFrame:
     """Window aggregates from :func:`value_counts` rows at a divisor of every size."""
     sizes = F.explode(F.array(*[F.lit(int(s)).cast("long") for s in sizes_ms]))
     scored = F.col("score").isNotNull()
-    # Values outside [0, 1] fall into the two outer slices; NaN sorts last.
-    cut = F.when(
-        scored,
-        F.least(F.greatest(F.floor(F.col("score") * slices), F.lit(-1)), F.lit(slices)).cast("int"),
-    ).otherwise(F.lit(-2))
+    cut = F.when(scored, score_slice(F.col("score"), slices)).otherwise(F.lit(-2))
     sized = (
         counts.select("*", sizes.alias("windowSizeMillis"))
         .withColumn("windowStartMillis", window_start(F.col("baseStart"), F.col("windowSizeMillis")))
@@ -169,7 +179,7 @@ def aggregate_value_counts(
     )
     ranked = sized.withColumns({f"cum_{c}": F.sum(c).over(inside) for c in ("n", "n_trig")})
 
-    # At most slices + 3 rows per window from here on.
+    # At most 3 * slices + 3 rows per window from here on.
     per_slice = sized.groupBy(*key, "slice").agg(F.sum("n").alias("n"), F.sum("n_trig").alias("n_trig"))
     lower = (
         Window.partitionBy(*key).orderBy("slice")

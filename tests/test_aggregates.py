@@ -142,3 +142,18 @@ def test_window_names(spark):
     sizes = {60_000: "1m", 300_000: "5m", 7_200_000: "120m", 90_000: "90s", 15_000: "15s"}
     frame = spark.createDataFrame([(s,) for s in sizes], "s long").select("s", window_name(F.col("s")).alias("n"))
     assert {r.s: r.n for r in frame.collect()} == sizes
+
+
+def test_sure_scores_spread_over_many_slices(spark):
+    """Scores of .99x, as sure detectors give: no slice holds over a 64th of them."""
+    from railwatch.operators.aggregates import score_slice
+
+    for low, high in ((0.99, 0.999), (0.0, 1.0), (0.001, 0.01), (0.4, 0.6)):
+        scores = spark.range(20_000).selectExpr(f"{low} + ({high} - {low}) * id / 20000 AS score")
+        placed = scores.select("score", score_slice(F.col("score")).alias("slice"))
+        assert placed.groupBy("slice").count().agg(F.max("count")).first()[0] <= 20_000 / 64
+        rows = [r.slice for r in placed.orderBy("score").collect()]
+        assert rows == sorted(rows)
+    edge = spark.sql("SELECT explode(array(double('-infinity'), -1d, 0d, 0.015625d, 0.5d, 0.984375d, 1d, 2d, double('infinity'), double('nan'))) AS score")
+    found = [r.slice for r in edge.select("score", score_slice(F.col("score")).alias("slice")).collect()]
+    assert found == sorted(found) and found[0] == -1
