@@ -7,30 +7,33 @@ other has once becomes a repeated group, and items that only one side has become
 result has no alternatives, only slots, optional items and repeated groups, and so can be merged
 with another wrapper in the same way; wrappers of partitions merge into one of the host.
 
-Template text is what an item says on nearly all pages of a host, outside of their main regions.
-Every item of every page is counted for that, over distinct contents, as rows that Spark groups.  What
+Template text is what an item of the wrapper says on nearly all contents of a host, outside of their main
+regions; slots that vary are content.  A page is aligned with the wrapper of its host to find its template items.  What
 is content is then read from the page with the elements that are never part of an article left out.
 """
 
 from __future__ import annotations
 
 import html as references
+import pickle
 import re
 from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
+from difflib import SequenceMatcher
 from functools import lru_cache
 from hashlib import blake2b
-from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railwatch.llm.urls import host_of
 from railwatch.sources.staging import ship_package, staged
 
+SHOWN, DOUBTED, NOT_SHOWN = range(3)
 LONGEST_GROUP = 12
+LABEL = 100  # characters of text for each control that a form may have as labels
 REMEMBERED = 1_000  # characters of attributes; longer ones are read each time
 PAGES_FOR_TEMPLATE = 4
 NEARLY_ALL = 90  # per cent of a host's distinct contents that a template slot is on
@@ -38,7 +41,7 @@ NEARLY_ALL = 90  # per cent of a host's distinct contents that a template slot i
 # Names of elements and of their roles.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset(
-    "head script style noscript template nav footer aside form button select option textarea iframe object svg canvas "
+    "head script style noscript template nav footer aside button select option textarea iframe object svg canvas "
     "audio video dialog menu map datalist title".split()
 )
 INLINE = frozenset(
@@ -54,7 +57,8 @@ ENDED_BY = {
     "td": frozenset({"td", "th", "tr"}), "th": frozenset({"td", "th", "tr"}), "option": frozenset({"option"}),
 }
 KEEPS_OPEN = frozenset("ul ol dl table tbody thead tfoot article section div body html".split())
-NEVER_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog alertdialog menu menubar form".split())
+CONTROLS = frozenset("input select button".split())
+NEVER_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog alertdialog menu menubar".split())
 NEVER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense adslot adbox sponsor sponsored promo promoted promotion "
     "banner sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar cookie cookies consent gdpr notice "
@@ -77,12 +81,12 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
-def _looks(tag: str, attributes: str) -> tuple[bool, bool, bool, str]:
-    """Whether an element is never content, is a comment, is a main region, and its mark in the stream."""
+def _looks(tag: str, attributes: str) -> tuple[int, bool, bool, str]:
+    """Whether an element is content by its names (``SHOWN``, ``DOUBTED``, ``NOT_SHOWN``), is a comment, is a main region, and its mark in the stream."""
     return (_looks_held if len(attributes) <= REMEMBERED else _looks_of)(tag, attributes)
 
 
-def _looks_of(tag: str, attributes: str) -> tuple[bool, bool, bool, str]:
+def _looks_of(tag: str, attributes: str) -> tuple[int, bool, bool, str]:
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     names = f"{values.get('class', '')} {values.get('id', '')}"
     parts = frozenset(p.lower() for p in _NAME_PART.findall(names)) | frozenset(names.lower().split())
@@ -93,11 +97,13 @@ def _looks_of(tag: str, attributes: str) -> tuple[bool, bool, bool, str]:
     )
     root = tag in ("html", "body")
     main = tag in ("article", "main") or role in ("main", "article") or values.get("itemprop") == "articleBody"
-    never = tag in NEVER or hides or role in NEVER_ROLES or comment or (not main and bool(parts & NEVER_WORDS))
+    never = NOT_SHOWN if tag in NEVER or hides or role in NEVER_ROLES or comment else SHOWN
+    if never == SHOWN and (tag == "form" or (not main and parts & NEVER_WORDS)):
+        never = DOUBTED
     header = tag == "header" or bool(parts & HEADER_WORDS)
     mark = re.sub(r"\d+", "", values.get("class", "").strip()) or re.sub(r"\d+", "", values.get("id", ""))
     name = f"{tag}.{mark}" if mark else tag
-    return (never and not root, comment, main and not comment and not root, ("^" if header and not root else "") + name)
+    return (SHOWN if root else never, comment, main and not comment and not root, ("^" if header and not root else "") + name)
 
 
 _looks_held = lru_cache(4096)(_looks_of)
@@ -113,20 +119,39 @@ class Block:
     region: int  # number of the outermost main region around it, or -1
     linked: int  # characters inside links
     at: int  # position in the tag stream
+    doubts: tuple[int, ...] = ()  # numbers of the elements around it whose names alone speak against it
 
 
 @dataclass
 class Page:
     stream: list[str] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
+    controls: dict[int, int] = field(default_factory=dict)  # visible controls of each form
+
+    def settle(self) -> None:
+        """Decide doubted elements: they are not content, unless they hold most of a page without a main region.
+
+        A form must hold more text than labels of its controls take.
+        """
+        open_ = [b for b in self.blocks if not b.never]
+        sizes: dict[int, int] = {}
+        for b in open_:
+            for d in b.doubts:
+                sizes[d] = sizes.get(d, 0) + len(b.text)
+        most = set()
+        if not any(b.region >= 0 and not b.doubts for b in open_):
+            total = sum(len(b.text) for b in open_)
+            most = {d for d, n in sizes.items() if 2 * n > total and n > LABEL * self.controls.get(d, 0)}
+        for b in open_:
+            b.never = any(d not in most for d in b.doubts)
 
 
 def read(markup: str) -> Page:
     """Tag stream and text blocks of a page; forgiving of unclosed, misnested and cut-off markup."""
     page = Page()
-    open_tags: list[tuple[str, bool, bool, bool]] = []  # tag, never, header, begins a region
+    open_tags: list[tuple[str, int, bool, bool, int]] = []  # tag, shown or not, header, begins a region, number
     words: list[str] = []
-    linked, regions, position = 0, 0, 0
+    linked, regions, position, number = 0, 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -135,8 +160,8 @@ def read(markup: str) -> Page:
         if text:
             region = next((i for i, t in enumerate(open_tags) if t[3]), -1)
             page.blocks.append(Block(
-                text, any(t[1] for t in open_tags), region < 0 and any(t[2] for t in open_tags),
-                regions if region >= 0 else -1, linked, len(page.stream),
+                text, any(t[1] == NOT_SHOWN for t in open_tags), region < 0 and any(t[2] for t in open_tags),
+                regions if region >= 0 else -1, linked, len(page.stream), tuple(t[4] for t in open_tags if t[1] == DOUBTED),
             ))
             page.stream.append("#")
         linked = 0
@@ -159,6 +184,10 @@ def read(markup: str) -> Page:
                 flush()
             continue
         tag = match[3].lower()
+        if tag in CONTROLS and not match[2] and "hidden" not in match[4].lower():
+            for t in open_tags:
+                if t[0] == "form":
+                    page.controls[t[4]] = page.controls.get(t[4], 0) + 1
         if tag in INLINE:
             if tag == "br":
                 words.append(" ")
@@ -171,7 +200,8 @@ def read(markup: str) -> Page:
                         break
             elif tag not in VOID and not match[4].endswith("/"):
                 never, _, _, _ = _looks(tag, match[4])
-                open_tags.append((tag, never, False, False))
+                number += 1
+                open_tags.append((tag, never, False, False, number))
             continue
         flush()
         if match[2]:
@@ -201,9 +231,11 @@ def read(markup: str) -> Page:
         header = mark.startswith("^")
         page.stream.append(mark.removeprefix("^"))
         if tag not in VOID and not match[4].endswith("/"):
-            open_tags.append((tag, never or nested, header, begins))
+            number += 1
+            open_tags.append((tag, NOT_SHOWN if nested else never, header, begins, number))
     say(markup[position:])
     flush()
+    page.settle()
     return page
 
 
@@ -249,7 +281,7 @@ def _as_groups(keys: list, groups: list) -> list[tuple[int, int, tuple]]:
 
 
 def _align(one: list, two: list) -> list[tuple[int, int]]:
-    """Longest common subsequence of two key lists, after equal beginnings and ends."""
+    """Longest common subsequence of two key lists, after equal beginnings and ends; between long ones, long common blocks."""
     if one == two:
         return [(i, i) for i in range(len(one))]
     head = 0
@@ -259,11 +291,15 @@ def _align(one: list, two: list) -> list[tuple[int, int]]:
     while tail < min(len(one), len(two)) - head and one[-1 - tail] == two[-1 - tail]:
         tail += 1
     a, b = one[head:len(one) - tail], two[head:len(two) - tail]
+    ends = [(k, k) for k in range(head)], [(len(one) - tail + k, len(two) - tail + k) for k in range(tail)]
+    if len(a) * len(b) > SEARCHED:
+        blocks = SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
+        return [*ends[0], *((head + m.a + k, head + m.b + k) for m in blocks for k in range(m.size)), *ends[1]]
     lengths = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
             lengths[i][j] = lengths[i + 1][j + 1] + 1 if a[i] == b[j] else max(lengths[i + 1][j], lengths[i][j + 1])
-    pairs, i, j = [(k, k) for k in range(head)], 0, 0
+    pairs, i, j = ends[0], 0, 0
     while i < len(a) and j < len(b):
         if a[i] == b[j]:
             pairs.append((head + i, head + j))
@@ -272,33 +308,47 @@ def _align(one: list, two: list) -> list[tuple[int, int]]:
             i += 1
         else:
             j += 1
-    return pairs + [(len(one) - tail + k, len(two) - tail + k) for k in range(tail)]
+    return pairs + ends[1]
 
 
-# An item of a wrapper: [block, pages that have it, checksum of its text or None if it varies, characters].
-def wrapper_of(page: Page) -> list[list]:
-    texts = {b.at: b.text for b in page.blocks}
+# An item of a wrapper: [block, contents that have it, its texts by checksum and how many contents say each].
+TEXTS = 32  # texts that an item remembers; the count of one said on 90 % is short by a third of a per cent at most
+
+
+def said_by(page: Page) -> list[tuple[tuple[str, ...], int | None]]:
+    """The items of a page: their block, and the checksum of their text where that may be template text.
+
+    Items with text in a main region are content, and items that are never shown need no template.
+    """
+    blocks = {b.at: b for b in page.blocks}
     out = []
     for block, start, end in fold(page.stream):
-        said = [texts[i] for i in range(start, end) if i in texts]
-        out.append([list(block), 1, crc32("\n".join(said).encode("utf-8", "replace")) if said else 0, sum(map(len, said))])
+        said = [blocks[i] for i in range(start, end) if i in blocks]
+        open_ = said and all(b.region < 0 for b in said) and not all(b.never for b in said)
+        out.append((block, _digest("\n".join(b.text for b in said)) if open_ else None))
     return out
 
 
-def _joined(items: list[list], spans: list[tuple[int, int, tuple]]) -> list[list]:
-    """Items with the spans of a group taken together."""
-    out = []
-    for a, b, key in spans:
-        part = items[a:b]
-        if b - a == 1:
-            out.append([list(key), *part[0][1:]])
-        else:
-            marks = {p[2] for p in part if p[3]}
-            mark = marks.pop() if len(marks) == 1 and None not in marks else (0 if not marks else None)
-            out.append([list(key), max(p[1] for p in part), mark, sum(p[3] for p in part)])
+def wrapper_of(items: list[tuple[tuple[str, ...], int | None]]) -> list[list]:
+    return [[list(block), 1, {} if text is None else {text: 1}] for block, text in items]
+
+
+def _summed(one: dict[int, int], two: dict[int, int]) -> dict[int, int]:
+    """Counts added up; beyond ``TEXTS`` every count falls by the next largest (frequent items survive)."""
+    out = dict(one)
+    for text, n in two.items():
+        out[text] = out.get(text, 0) + n
+    if len(out) > TEXTS:
+        less = sorted(out.values(), reverse=True)[TEXTS]
+        out = {t: n - less for t, n in out.items() if n > less}
     return out
 
 
+def _joined(items: list[list], spans: list[tuple[int, int, tuple]]) -> list[list]:
+    """Items with the spans of a group taken together; the texts of several are no text of the group."""
+    return [[list(key), max(p[1] for p in items[a:b]), items[a][2] if b - a == 1 else {}] for a, b, key in spans]
+
+
 def merge(one: list[list], two: list[list]) -> list[list]:
     """The union-free expression of both: matched items add up, the others become optional."""
     keys = [[tuple(i[0]) for i in w] for w in (one, two)]
@@ -312,7 +362,7 @@ def merge(one: list[list], two: list[list]) -> list[list]:
         out += one[i:a] + two[j:b]
         if a < len(one):
             x, y = one[a], two[b]
-            out.append([x[0], x[1] + y[1], x[2] if x[2] == y[2] else None, x[3] + y[3]])
+            out.append([x[0], x[1] + y[1], _summed(x[2], y[2])])
         i, j = a + 1, b + 1
     return out
 
@@ -321,78 +371,139 @@ def _digest(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-def slots(page: Page) -> list[tuple[int, int, int]]:
-    """``(digest of block and text, start, end)`` of the items with text that may be template text.
-
-    Items with text in a main region are content and items that are never shown need no template.
-    """
-    blocks = {b.at: b for b in page.blocks}
-    if all(b.never or b.region >= 0 for b in page.blocks):
-        return []
-    out = []
-    for block, start, end in fold(page.stream):
-        said = [blocks[i] for i in range(start, end) if i in blocks]
-        if said and all(b.region < 0 for b in said) and not all(b.never for b in said):
-            out.append((_digest("\n".join(["\t".join(block), *(b.text for b in said)])), start, end))
-    return out
-
-
 def main_text(page: Page, template: Collection[int]) -> str:
-    """The blocks of a page that are content, joined by line breaks."""
+    """The blocks of a page that are content, joined by line breaks; ``template`` are numbers of items."""
     dropped: set[int] = set()
     if template:
-        for slot, start, end in slots(page):
-            if slot in template:
+        for k, (_, start, end) in enumerate(fold(page.stream)):
+            if k in template:
                 dropped.update(range(start, end))
     shown = [b for b in page.blocks if not b.never and b.at not in dropped]
-    sizes: dict[int, int] = {}
-    for block in shown:
-        if block.region >= 0:
-            sizes[block.region] = sizes.get(block.region, 0) + len(block.text)
     plain = [b for b in shown if b.region >= 0 or not b.header and not (b.linked > 0.8 * len(b.text) and len(b.text) < 200)]
-    if 2 * sum(sizes.values()) > sum(len(b.text) for b in plain):
-        best = max(sizes, key=lambda r: (sizes[r], -r))
-        shown = [b for b in shown if b.region == best]
-    else:
-        shown = plain
-    return "\n".join(b.text for b in shown)
+    inside = [b for b in shown if b.region >= 0]
+    if 2 * sum(len(b.text) for b in inside) > sum(len(b.text) for b in plain):
+        return "\n".join(b.text for b in inside)
+    return "\n".join(b.text for b in plain)
+
+
+def template_items(items: list[tuple[tuple[str, ...], int | None]], wrapper: list[list], constant: list[int | None]) -> list[int]:
+    """Numbers of a page's items that match an item of its host's wrapper and say that item's template text."""
+    keys, others = [block for block, _ in items], [tuple(w[0]) for w in wrapper]
+    groups = [[k for k in ks if k[0] == "+"] for ks in (keys, others)]
+    spans = [_as_groups(keys, groups[1]), _as_groups(others, groups[0])]
+    out = []
+    for a, b in _align(*([s[2] for s in side] for side in spans)):
+        (low, high, _), (at, to, _) = spans[0][a], spans[1][b]
+        if high - low == 1 and to - at == 1 and items[low][1] is not None and items[low][1] == constant[at]:
+            out.append(low)
+    return out
+
 
+PARTS = (1024, 32)  # of a host, merged by themselves before they are merged with each other
+SEARCHED = 40_000  # pairs of items up to which the longest common sequence is searched in full
 
-def templates(pages: DataFrame) -> DataFrame:
-    """``host, template`` from rows of ``host, html``: the slots of hosts that have any; every page enters.
 
-    A slot is template text if nearly all distinct contents of the host have it, and at least four.
-    Pages whose shown text is the same are one content.  Only digests are grouped, first by
-    (host, slot, content), then map side by (host, slot), so neither a host nor a page is too big; a
-    host's template has hardly more slots than a page.
+def _merged(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One wrapper for each group of ``keys``, merged one after the other in a stream; no group is held."""
+    def fold_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, n = None, None, 0
+        done: list[tuple] = []
+        for batch in batches:
+            marks = list(zip(*(batch.column(k).to_pylist() for k in range(len(keys))), strict=True))
+            for mark, text, contents in zip(marks, batch.column(len(keys)), batch.column(len(keys) + 1).to_pylist(), strict=True):
+                own = pickle.loads(text.as_buffer())  # noqa: S301  written by this module
+                if mark != current:
+                    if held is not None:
+                        done.append((*current, pickle.dumps(held), n))
+                    current, held, n = mark, own, contents
+                else:
+                    held, n = merge(held, own), n + contents
+            yield out(done)
+            done = []
+        if held is not None:
+            yield out([(*current, pickle.dumps(held), n)])
+
+    def out(done: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*done, strict=True)) or [[]] * (len(keys) + 2)
+        kinds = [pa.string(), *[pa.int32()] * (len(keys) - 1), pa.binary(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[*keys, "wrapper", "contents"])
+
+    schema = T.StructType([rows.schema[k] for k in keys] + [T.StructField("wrapper", T.BinaryType()), T.StructField("contents", T.LongType())])
+    ordered = rows.select(*keys, "wrapper", "contents").repartition(*keys).sortWithinPartitions(*keys, "wrapper")
+    return ordered.mapInArrow(fold_groups, schema)
+
+
+def wrappers(pages: DataFrame) -> DataFrame:
+    """``host, wrapper, contents`` from rows of ``host, html``: the merged wrapper of all distinct contents of each host.
+
+    Pages whose shown text is the same are one content.  Pages of one shape (the same blocks in the same
+    order) align without a search: their items are counted by Spark, map side first, by (host, shape, item, text).  The
+    shapes of a host are then aligned and merged in a tree: in many parts of the host (``PARTS``), then in few, then all.
+    Shapes and counts move, texts and pages do not.
     """
-    def read_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contents, found = [], []
+            contents, shapes, keys, texts = [], [], [], []
             for markup in batch.column(1):
                 page = read(markup.as_py() or "")
                 shown = [b.text for b in page.blocks if not b.never]
+                items = said_by(page)
+                blocks = "\n".join("\t".join(block) for block, _ in items)
                 contents.append(_digest("\n".join(shown)) if shown else None)
-                found.append(sorted({s[0] for s in slots(page)}))
+                shapes.append(_digest(blocks))
+                keys.append(blocks)
+                texts.append([text for _, text in items])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(contents, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["host", "content", "slots"]
+                [batch.column(0), pa.array(contents, pa.int64()), pa.array(shapes, pa.int64()), pa.array(keys, pa.string()), pa.array(texts, pa.list_(pa.int64()))],
+                names=["host", "content", "shape", "blocks", "texts"],
             )
 
-    told = staged(pages.mapInArrow(read_slots, "host string, content long, slots array<long>").where("content IS NOT NULL"), "slots")
-    contents = told.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_contents"))
-    counts = told.select("host", "content", F.explode("slots").alias("slot")).distinct().groupBy("host", "slot").agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") >= PAGES_FOR_TEMPLATE).join(contents, "host").where(
-        F.col("_n") * 100 >= F.col("_contents") * NEARLY_ALL
-    ).groupBy("host").agg(F.sort_array(F.collect_list("slot")).alias("template"))
+    told = staged(pages.mapInArrow(look, "host string, content long, shape long, blocks string, texts array<long>").where("content IS NOT NULL"), "shapes")
+    # A content stands for one page, in its smallest shape.
+    one = told.groupBy("host", "content").agg(F.min("shape").alias("shape"))
+    told_once = told.join(one, ["host", "content", "shape"], "left_semi")
+    said = told_once.select("host", "content", "shape", F.posexplode("texts").alias("item", "text")).where("text IS NOT NULL").distinct()
+    counts = said.groupBy("host", "shape", "item", "text").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.withColumn("k", F.row_number().over(Window.partitionBy("host", "shape", "item").orderBy(F.desc("n"), "text"))).where(F.col("k") <= TEXTS)
+    texts = best.groupBy("host", "shape").agg(F.collect_list(F.struct("item", "text", "n")).alias("said"))
+    shapes = told.groupBy("host", "shape").agg(F.min("blocks").alias("blocks")).join(
+        one.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("contents")), ["host", "shape"]
+    ).join(texts, ["host", "shape"], "left")
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for blocks, n, said in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
+                wrapper = [[block.split("\t"), n, {}] for block in blocks.split("\n")]
+                for s in said or ():
+                    wrapper[s["item"]][2][s["text"]] = s["n"]
+                made.append(pickle.dumps(wrapper))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary()), batch.column(3)], names=["host", "part", "wrapper", "contents"])
+
+    merged = shapes.select("host", F.pmod("shape", F.lit(PARTS[0])).cast("int").alias("part"), "blocks", "contents", "said").mapInArrow(
+        build, "host string, part int, wrapper binary, contents long")
+    for parts in PARTS:
+        merged = _merged(merged.withColumn("part", (F.col("part") % parts).cast("int")), ["host", "part"])
+    return _merged(merged, ["host"])
+
+
+def constant_texts(wrapper: list[list], contents: int) -> list[int | None]:
+    """For each item of a wrapper the text that nearly all contents of the host say there, four at least."""
+    out = []
+    for _, _, texts in wrapper:
+        text, n = max(texts.items(), key=lambda x: (x[1], x[0]), default=(None, 0))
+        out.append(text if n >= PAGES_FOR_TEMPLATE and 100 * n >= NEARLY_ALL * contents else None)
+    return out
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id, url, text`` for every page.
 
-    Template slots are counted over all pages of each host; hosts that have any send the list of
-    these to their pages, the others nothing.  A page's text is that of its longest main region
-    (article, main) if its main regions hold most of it, else of all its blocks but links and headers;
-    menus, footers, asides, notices, adverts, forms, comments and hidden parts are left out.
+    Every page is aligned with the wrapper of its host (see :func:`wrappers`) that the wrapper has template text for;
+    items that match such an item and say its text go.  A page's text is that of its main regions
+    (article, main), in page order, if they hold most of it, else of all its blocks but links and headers;
+    menus, footers, asides, notices, adverts, forms, comments and hidden parts are left out.  Forms, and elements that only their class or
+    id speaks against, stay where they hold most of a page that has no main region.
 
     Null and empty markup gives an empty text; a null url has the empty host.  Null ids and repeated
     rows are extracted each (repeats are one content: a host of copies keeps its text).  Other columns are not carried.
@@ -401,16 +512,33 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     ship_package(pages.sparkSession)
     data = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     hosted = data.withColumn("host", host_of(F.col("url")))
-    told = staged(templates(hosted.select("host", "html")).withColumnRenamed("host", "_host"), "templates")
-    joined = hosted.join(told, F.col("host") == F.col("_host"), "left").select("id", "url", "html", "template")
+
+    def worth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                any(c is not None for c in constant_texts(pickle.loads(w.as_buffer()), n))  # noqa: S301
+                for w, n in zip(batch.column(1), batch.column(2).to_pylist(), strict=True)
+            ]
+            yield batch.filter(pa.array(rows, pa.bool_()))
+
+    found = wrappers(hosted.select("host", "html"))
+    told = staged(found.mapInArrow(worth, found.schema).withColumnRenamed("host", "_host"), "wrappers")
+    joined = hosted.join(told, F.col("host") == F.col("_host"), "left").select("id", "url", "html", "wrapper", "contents")
     kind = pages.schema[id_col].dataType
 
     def text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [
-                main_text(read(markup.as_py() or ""), frozenset(template or ()))
-                for markup, template in zip(batch.column(2), batch.column(3).to_pylist(), strict=True)
-            ]
+            out, known = [], {}
+            for markup, wrapper, contents in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(), strict=True):
+                page, template = read(markup.as_py() or ""), []
+                if contents is not None:
+                    raw = wrapper.as_py()
+                    if raw not in known:
+                        known.clear()
+                        items = pickle.loads(raw)  # noqa: S301
+                        known[raw] = items, constant_texts(items, contents)
+                    template = template_items(said_by(page), *known[raw])
+                out.append(main_text(page, frozenset(template)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["id", "url", "text"])
 
     schema = T.StructType([T.StructField("id", kind), T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])

@@ -28,7 +28,12 @@ CASES = [
     ("<div><p>x</p><form><input name=a>Your mail<button>ok</button></form><div class='ad-slot'>buy</div><p>y</p></div>", "x\ny"),
     ("<p>a</p><noscript>enable</noscript><pre>x\n  y</pre>", "a\nx y"), ("<p hidden>no</p><div style='display: none'>no</div>yes", "yes"),
     ("<article><p>a&#233;&#x4e2d;&unknown;</p></article>", "aé中&unknown;"),
-    ("<article>short</article><article><p>the long one, with text</article>", "the long one, with text"),
+    ("<article>short</article><article><p>the long one, with text</article>", "short\nthe long one, with text"),
+    ("<body><form id=aspnetForm><input type=hidden name=v><div class='cookie-notice'>We use cookies</div><p>the body of a page in a form</p></form></body>",
+     "the body of a page in a form"),
+    ("<div class='social studies'><p>what pupils learn</p></div><div class=social>share</div>", "what pupils learn"),
+    ("<div id='hidden-gems'><p>places to see</p></div><form>Your name<input></form>", "places to see"),
+    ("<p>short</p><div class=comments><p>a reader who wrote much more than the page says</p></div>", "short"),
 ]
 
 
@@ -48,9 +53,9 @@ def test_query_extracts_every_article(spark):
 
 
 def wrapper(*markups):
-    found = pages.wrapper_of(pages.read(markups[0]))
+    found = pages.wrapper_of(pages.said_by(pages.read(markups[0])))
     for m in markups[1:]:
-        found = pages.merge(found, pages.wrapper_of(pages.read(m)))
+        found = pages.merge(found, pages.wrapper_of(pages.said_by(pages.read(m))))
     return found
 
 
@@ -124,7 +129,7 @@ def test_pages_of_very_many_items(spark):
     shared = "".join(f"<div class='k{n}'>Shared {n}</div>" for n in names)
     rows = [("a.net", f"<body>{shared}<section><p>{f'story {i} ' * 900}</p></section><div class=last>Our office</div></body>") for i in range(5)]
     assert texts_of(spark, rows) == [" ".join([f"story {i}"] * 900) for i in range(5)]
-    one, two = (pages.wrapper_of(pages.read(f"<body>{shared}<p>{i}</p></body>")) for i in range(2))
+    one, two = (wrapper(f"<body>{shared}<p>{i}</p></body>") for i in range(2))
     assert len(pages.merge(one, two)) == len(one) > 900
 
 
@@ -206,3 +211,52 @@ def test_stages_do_what_they_say(spark, tmp_path):
     assert {r.doc_id for r in mix} <= want and len(mix) > len({r.doc_id for r in mix}) > 0
     assert sum(r.piece == 0 for r in packed) == len(mix)
     assert corpus_pipeline.run(spark, SF).count() == len(packed)
+
+
+def site(k, menu, body, extra=""):
+    """A page without telling names: fixed slots before and after the body, one of them only on some pages."""
+    return f"<body><div>{menu}</div>{extra}<section>{''.join(f'<p>{b}</p>' for b in body)}</section><div><span>Our office</span></div></body>"
+
+
+@pytest.mark.parametrize("parts", [(1024, 32), (3, 2)])
+def test_wrappers_decide_where_no_name_does(spark, monkeypatch, parts):
+    """The text of pages without article or names against a count of what stands before and after the body."""
+    monkeypatch.setattr(pages, "PARTS", parts)
+    rng = np.random.default_rng(6)
+    rows, want = [], []
+    for k in range(60):
+        body = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"], 9)) + f" {k}" for _ in range(1 + k % 4)]
+        extra = f"<h2>Note {k}</h2>" if k % 5 == 0 else ""
+        menu = "Start, shop, contact" if k != 17 else "Closed today"
+        rows.append(("plain.net", site(k, menu, body, extra)))
+        want.append("\n".join(([menu] if k == 17 else []) + ([f"Note {k}"] if extra else []) + body))
+    assert texts_of(spark, rows) == want
+    # With fewer than four contents nothing can be told.
+    few = texts_of(spark, [("small.net", site(k, "Start", [f"text {k}"])) for k in range(3)])
+    assert few == [f"Start\ntext {k}\nOur office" for k in range(3)]
+
+
+def test_wrapper_of_a_host_counts_each_content_once(spark):
+    rows = [(f"http://a.net/{i}", site(i, "Menu", [f"text {i % 7}"])) for i in range(40)]
+    df = spark.createDataFrame([("a.net", m) for _, m in rows] + [("a.net", None), ("a.net", "")], "host string, html string")
+    found = pages.wrappers(df).collect()
+    assert [(r.host, r.contents) for r in found] == [("a.net", 7)]
+    import pickle
+
+    items = pickle.loads(found[0].wrapper)
+    said = [(w[0], w[1], sorted(w[2].values())) for w in items if w[2]]
+    assert [(n, texts) for _, n, texts in said] == [(7, [7]), (7, [1] * 7), (7, [7])]
+
+
+def test_frequent_texts_survive_any_merge():
+    rng = np.random.default_rng(3)
+    parts = []
+    for _ in range(50):
+        part = {}
+        for _ in range(20):
+            part = pages._summed(part, {int(rng.integers(1_000)) if rng.random() < 0.08 else -1: 1})
+        parts.append(part)
+    total = {}
+    for part in parts:
+        total = pages._summed(total, part)
+    assert len(total) <= pages.TEXTS and total[-1] >= 0.9 * 1_000 - 10
