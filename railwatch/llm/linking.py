@@ -108,7 +108,8 @@ def linked_components(
         names = [c for c in traits.columns if c != "id"]
         left = traits.select(F.col("id").alias("a"), *[F.col(c).alias(f"x_{c}") for c in names])
         right = traits.select(F.col("id").alias("b"), *[F.col(c).alias(f"y_{c}") for c in names])
-        return found.join(left, "a").join(right, "b").where(plausible("x_", "y_")).select("a", "b")
+        # Both sides grow with the corpus: merged at every size.
+        return found.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(plausible("x_", "y_")).select("a", "b")
 
     pairs = staged(likely(inside.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()), "pairs")
     links, groups = None, None

@@ -17,7 +17,7 @@ from railwatch.sources.staging import discard, ship_package, staged
 PERMUTATIONS = 128
 BANDS = 42  # of three permutations, that is six values, each
 SKETCH_DIFFERENCE = 50  # of 256 bits
-SLOTS = 1 << 22
+SLOTS = 1 << 25
 STAR = 1024
 
 _C1, _C2 = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -200,18 +200,20 @@ def _shared(percent: int):
     return compare
 
 
-def likely_among(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``texts`` whose id is in ``ids``, and few others, without a shuffle of texts.
+def among(rows: DataFrame, ids: DataFrame, likely: bool = True, id_col: str = "id") -> DataFrame:
+    """The rows whose id may be in ``ids`` (all that are, and few others), or else all other rows; no row is shuffled.
 
-    A bitmap of hashed ids has ``SLOTS`` bits, kept as at most ``SLOTS / 64`` rows of two numbers,
-    so it can be broadcast whatever the number of ids.
+    A bitmap of hashed ids has ``SLOTS`` bits, four megabytes at most, so it can be broadcast whatever the number of
+    ids; with very many ids more rows are likely than are in.
     """
-    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS))
-    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {SLOTS}) % 64 AS int))")
-    words = ids.select(F.floor(slot / 64).alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    marked = texts.withColumn("_at", F.floor(slot / 64)).withColumn("_own", bit)
-    likely = marked.join(F.broadcast(words), F.col("_at") == F.col("_word")).where(F.col("_own").bitwiseAND(F.col("_bits")) != 0)
-    return likely.select(*texts.columns)
+    slot = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(SLOTS))
+    own = F.pmod(F.xxhash64(F.col("id").cast("long")), F.lit(SLOTS))
+    bits = ids.select(F.bitmap_bucket_number(own).alias("_bucket"), F.bitmap_bit_position(own).alias("_bit")).groupBy("_bucket").agg(
+        F.bitmap_construct_agg("_bit").alias("_bits"))
+    marked = rows.withColumns({"_at": F.bitmap_bucket_number(slot), "_place": F.bitmap_bit_position(slot)}).join(
+        F.broadcast(bits), F.col("_at") == F.col("_bucket"), "left")
+    hit = F.expr("coalesce(shiftright(cast(conv(hex(substring(_bits, cast(_place div 8 AS int) + 1, 1)), 16, 10) AS int), cast(_place % 8 AS int)) & 1, 0) = 1")
+    return marked.where(hit if likely else ~hit).select(*rows.columns)
 
 
 def near_duplicates(
@@ -243,7 +245,7 @@ def near_duplicates(
     sets = staged(
         signed.where("n_shingles > 0 AND id IS NOT NULL").groupBy(*prints).agg(F.min("id").alias("rep")), "sets"
     )
-    lead = signed.where("n_shingles > 0").join(sets.withColumnRenamed("rep", "id"), [*prints, "id"], "left_semi")
+    lead = signed.where("n_shingles > 0").join(sets.withColumnRenamed("rep", "id").hint("merge"), [*prints, "id"], "left_semi")
     if not signed.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         lead = lead.dropDuplicates([*prints, "id"])
     leading = staged(lead.select("id", "n_shingles", "bands", *[F.get("bits", F.lit(k)).alias(f"w{k}") for k in range(4)]), "leading")
@@ -261,7 +263,7 @@ def near_duplicates(
 
     def sets_of(ids: DataFrame) -> DataFrame:
         # The exact join stands behind the sets: before them it would shuffle every text.
-        return shingle_sets(likely_among(texts, ids), width).join(ids, "id", "left_semi")
+        return shingle_sets(among(texts, ids), width).join(ids, "id", "left_semi")
 
     def verify(pairs: DataFrame) -> DataFrame:
         parts = F.ceil(F.col("k") / STAR).cast("int")
@@ -270,8 +272,8 @@ def near_duplicates(
         centres = sizes.select("a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(True).alias("first"), F.col("a").alias("id"))
         wanted = staged(centres.union(rays), "wanted")
         spent.append(wanted)
-        known = shingle_sets(likely_among(texts, wanted.select("id")), width)
-        dealt = known.join(wanted, "id").select("a", "part", "first", "id", "items").repartition("a", "part")
+        known = shingle_sets(among(texts, wanted.select("id")), width)
+        dealt = known.join(wanted.hint("merge"), "id").select("a", "part", "first", "id", "items").repartition("a", "part")
         return _similar(dealt.sortWithinPartitions("a", "part", F.desc("first")), percent)
 
     groups = linked_components(members, verify, sets_of, _shared(percent), traits, plausible)
@@ -295,7 +297,11 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """
     id_col = options.get("id_col", "doc_id")
     found = staged(near_duplicates(docs, **options), "near-duplicates")
-    left = docs.join(found.where(F.col(id_col).isNotNull() & ~F.col("kept")).select(id_col).distinct(), id_col, "left_anti").select(*docs.columns)
+    dropped = found.where(F.col(id_col).isNotNull() & ~F.col("kept")).select(id_col).distinct()
+    # Only texts that may have to go meet the ids in a join.
+    ids = dropped.withColumnRenamed(id_col, "id") if id_col != "id" else dropped
+    doubted = among(docs, ids, id_col=id_col).join(dropped.hint("merge"), id_col, "left_anti").select(*docs.columns)
+    left = among(docs, ids, likely=False, id_col=id_col).unionByName(doubted)
     repeated = found.where("kept").groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_col)
     if repeated.isEmpty():
         return left
