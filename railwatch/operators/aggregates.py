@@ -267,11 +267,13 @@ def quality_metrics(aggregates: DataFrame) -> DataFrame:
 
 def latest_aggregates(emissions: DataFrame) -> DataFrame:
     """Final revision of every window: of all emissions, the one that saw most events."""
+    return latest_rows(emissions, "totalEvents", "latestEventTimeMillis")
+
+
+def latest_rows(emissions: DataFrame, *order: str) -> DataFrame:
+    """Of all emissions of a window the row that is greatest in ``order``."""
     keyed = emissions.withColumns(
         {f"__k_{c}": F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)) for c in WINDOW_KEY}
     )
-    row = F.struct(*emissions.columns)
-    best = keyed.groupBy(*[f"__k_{c}" for c in WINDOW_KEY]).agg(
-        F.max_by(row, F.struct("totalEvents", "latestEventTimeMillis")).alias("row")
-    )
+    best = keyed.groupBy(*[f"__k_{c}" for c in WINDOW_KEY]).agg(F.max_by(F.struct(*emissions.columns), F.struct(*order)).alias("row"))
     return best.select("row.*")

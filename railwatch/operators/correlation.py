@@ -44,6 +44,20 @@ def findings_around_requests(events: DataFrame, before_ms: int = 2_000, after_ms
     )
 
 
+PAIR = (*SESSION, "requestId", "requestSeq", "requestMillis", "findingSeq", "findingMillis", "guardrailName", "triggered")
+
+
+def request_sides(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Requests and findings with the columns that their pairs have, and their times as timestamps."""
+    t = F.col("eventTimeMillis")
+    return (
+        events.where(F.col("eventType") == REQUEST).select(
+            *SESSION, "requestId", F.col("seq").alias("requestSeq"), t.alias("requestMillis"), F.col("event_time").alias("requestTime")),
+        events.where(F.col("eventType") == FINDING).select(
+            *SESSION, F.col("seq").alias("findingSeq"), t.alias("findingMillis"), "guardrailName", "triggered", F.col("event_time").alias("findingTime")),
+    )
+
+
 def request_findings(events: DataFrame, before_ms: int = 2_000, after_ms: int = 30_000) -> DataFrame:
     """Pairs of a request and a finding of its session in ``[request - before, request + after]``.
 

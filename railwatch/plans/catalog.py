@@ -513,7 +513,7 @@ def _(p: Pipeline) -> DataFrame:
 def _(p: Pipeline) -> DataFrame:
     out = _stream_intake(p)
     jobs.start_aggregates(_normalized_stream(p, out), out, p.settings).awaitTermination()
-    emissions = p.spark.read.parquet(f"{out}/aggregates").drop("batch_id")
+    emissions = p.spark.read.parquet(f"{out}/aggregates").select(*aggregates.AGGREGATE_FIELDS)
     return _rounded(aggregates.latest_aggregates(emissions))
 
 
@@ -531,3 +531,52 @@ def _(p: Pipeline) -> DataFrame:
     out = _stream_intake(p)
     jobs.start_campaigns(_normalized_stream(p, out), out, p.settings).awaitTermination()
     return flat(p.spark.read.parquet(f"{out}/campaigns").drop("batch_id"))
+
+
+PIECES = 4
+
+
+def _stream_pieces(p: Pipeline, rows: DataFrame, by: str) -> tuple[DataFrame, str]:
+    """``rows`` as a stream of ``PIECES`` files, cut by equal ranges of ``by``, one file a micro-batch; and an output folder."""
+    out = new_path(p.spark, "stream")
+    low, high = rows.agg(F.min(by), F.max(by)).first()
+    for i in range(PIECES):
+        a, b = (low + (high + 1 - low) * k // PIECES for k in (i, i + 1))
+        rows.where((F.col(by) >= a) & (F.col(by) < b)).coalesce(1).write.mode("append").parquet(f"{out}/pieces")
+    return p.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/pieces"), out
+
+
+@query("stream_quality")
+def _(p: Pipeline) -> DataFrame:
+    """The last quality row of every window after several micro-batches in order of arrival."""
+    source, out = _stream_pieces(p, p.events, "seq")
+    jobs.start_aggregates(source, out, p.settings, emitted_at=lambda: EMITTED_AT_MS).awaitTermination()
+    rows = p.spark.read.parquet(f"{out}/quality")
+    latest = aggregates.latest_rows(rows, "batch_id").drop("batch_id")
+    return _rounded(latest)
+
+
+@query("stream_incident_messages")
+def _(p: Pipeline) -> DataFrame:
+    """Session incidents as JSON messages after several micro-batches, read back at a few fields."""
+    source, out = _stream_pieces(p, p.events, "eventTimeMillis")
+    jobs.start_session_incidents(source, lambda: p.timeline, out, p.settings).awaitTermination()
+    field = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
+    return jobs.incident_messages(p.spark, out).select(
+        *[field(c) for c in ("incidentId", "ruleName", "severity", "appliedPolicyVersion", "lastEventTimeMillis", "summary")])
+
+
+@query("stream_all_incidents")
+def _(p: Pipeline) -> DataFrame:
+    """Incidents of sessions and of campaigns as one output of JSON messages."""
+    source, out = _stream_pieces(p, p.events, "eventTimeMillis")
+    jobs.start_session_incidents(source, lambda: p.timeline, out, p.settings).awaitTermination()
+    jobs.start_campaigns(source, out, p.settings).awaitTermination()
+    return jobs.incident_messages(p.spark, out).select("value")
+
+
+@query("stream_request_findings")
+def _(p: Pipeline) -> DataFrame:
+    source, out = _stream_pieces(p, p.events, "seq")
+    jobs.start_request_findings(source, out, p.settings).awaitTermination()
+    return p.spark.read.parquet(f"{out}/request_findings").drop("batch_id")

@@ -751,5 +751,10 @@ SELECT 'TOXICITY' AS "guardrailName", *,
 
 # A finished stream has the result of the batch.
 ORACLES["stream_intake"] = ORACLES["on_time_events"]
+ORACLES["stream_quality"] = ORACLES["guardrail_quality"]
+ORACLES["stream_request_findings"] = ORACLES["request_findings"]
+ORACLES["stream_incident_messages"] = f"""{_R} {INCIDENTS}
+SELECT "incidentId", "ruleName", severity, "appliedPolicyVersion", CAST("lastEventTimeMillis" AS VARCHAR) AS "lastEventTimeMillis", summary
+FROM incidents"""
 ORACLES["stream_guardrail_agg"] = ORACLES["guardrail_agg_all"]
 ORACLES["stream_session_incidents"] = ORACLES["session_incidents"]

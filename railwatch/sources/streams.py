@@ -75,6 +75,41 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def _target(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def commit_sinks(spark: SparkSession, out: str, job: str, batch_id: int, sinks: dict[str, DataFrame]) -> None:
+    """Write the outputs of one micro-batch below ``out``, then the mark that they are whole.
+
+    Readers that follow the marks (:func:`read_committed`) see all outputs of a batch or none.  A repeated batch takes
+    its mark back first, so nobody reads a folder while it is replaced.
+    """
+    files, mark = _target(spark, f"{out}/_commits/{job}/{batch_id}")
+    files.delete(mark, False)
+    for name, rows in sinks.items():
+        write_batch(rows, f"{out}/{name}", batch_id)
+    files.create(mark, True).close()
+
+
+def committed(spark: SparkSession, out: str, job: str) -> list[int]:
+    """The batches of a job whose outputs are whole."""
+    files, folder = _target(spark, f"{out}/_commits/{job}")
+    if not files.exists(folder):
+        return []
+    return sorted(int(f.getPath().getName()) for f in files.listStatus(folder))
+
+
+def read_committed(spark: SparkSession, out: str, job: str, name: str, schema: T.StructType) -> DataFrame:
+    """One output of a job with its ``batch_id``, of whole batches only."""
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    paths = [f"{out}/{name}/batch_id={b}" for b in committed(spark, out, job)]
+    if not paths:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", f"{out}/{name}").parquet(*paths)
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, upto: int | None = None) -> DataFrame:
     """All micro-batch folders with their ``batch_id``; empty when nothing was written."""
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])

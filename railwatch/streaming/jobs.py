@@ -7,7 +7,9 @@ output.  Sessions and campaigns keep keyed state (see ``state.py``).
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Callable
 from functools import reduce
 from math import gcd
 
@@ -16,11 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from railwatch.operators import aggregates, campaigns, incidents, intake, policies
+from railwatch.operators import aggregates, campaigns, correlation, incidents, intake, policies
 from railwatch.operators.aggregates import AGGREGATE_KEY, WINDOW_KEY
 from railwatch.settings import DEFAULTS, MINUTE_MS, Settings
-from railwatch.sources.staging import new_path, ship_package
-from railwatch.sources.streams import read_batches, write_batch
+from railwatch.schemas import INCIDENT_FIELDS
+from railwatch.sources.staging import discard, ship_package, staged
+from railwatch.sources.streams import commit_sinks, read_batches, read_committed, write_batch, write_topic
 from railwatch.streaming.state import CampaignProcessor, SessionProcessor
 
 NEWEST = T.StructType([
@@ -76,30 +79,31 @@ def start_intake(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        staged = new_path(spark, "intake")
-        intake.parse(batch).write.parquet(staged)
-        parsed = spark.read.parquet(staged)
+        parsed = staged(intake.parse(batch), "intake")
         earlier = read_batches(spark, f"{out}/newest", NEWEST, batch_id - 1)
         carry = earlier.groupBy("source", "partition").agg(F.max("newest").alias("newest"))
         valid = intake.valid(parsed)
         marked = intake.with_watermark(valid, settings, carry=carry)
-        write_batch(intake.on_time(marked, settings), f"{out}/normalized", batch_id)
-        write_batch(intake.late(marked, settings), f"{out}/late", batch_id)
-        write_batch(intake.invalid(parsed), f"{out}/invalid", batch_id)
-        write_batch(intake.newest_times(valid), f"{out}/newest", batch_id)
+        commit_sinks(spark, out, "intake", batch_id, {
+            "normalized": intake.on_time(marked, settings), "late": intake.late(marked, settings),
+            "invalid": intake.invalid(parsed), "newest": intake.newest_times(valid),
+        })
+        discard(parsed)
 
     return _start(raw, handle, f"{out}/_checkpoints/intake", "append", trigger, settings)
 
 
 def start_aggregates(
     events: DataFrame, out: str, settings: Settings = DEFAULTS, trigger: dict | None = None,
+    emitted_at: Callable[[], int] = lambda: int(time.time() * 1000),
 ) -> StreamingQuery:
-    """Normalised stream to the ``value_counts`` and ``aggregates`` tables below ``out``.
+    """Normalised stream to the ``value_counts``, ``aggregates`` and ``quality`` tables below ``out``.
 
     The partial measures are mergeable, so a micro-batch only adds those of its own rows, in folders
     by the hour of their window, and sums what the touched hours hold.  There is no state that a
     watermark could close: a row counts however late its partition delivers it.  Each micro-batch
-    re-emits the windows it touched; the last revision of a window equals the batch result.
+    re-emits the windows it touched, with their latencies at ``emitted_at()``, and their quality rows, both under one
+    batch number; the last revision of a window equals the batch result.
     """
     base, widest = reduce(gcd, settings.window_sizes_ms), max(settings.window_sizes_ms)
     table = f"{out}/value_counts"
@@ -134,7 +138,9 @@ def start_aggregates(
         same = reduce(
             lambda a, b: a & b, [rows[c].eqNullSafe(touched[c]) for c in WINDOW_KEY]
         )
-        write_batch(rows.join(touched, same, "left_semi"), f"{out}/aggregates", batch_id)
+        emitted = staged(aggregates.with_emit_latency(rows.join(touched, same, "left_semi"), emitted_at()), "aggregates")
+        commit_sinks(spark, out, "aggregates", batch_id, {"aggregates": emitted, "quality": aggregates.quality_metrics(emitted)})
+        discard(emitted)
 
     return _start(events, handle, f"{out}/_checkpoints/aggregates", "append", trigger, settings)
 
@@ -161,10 +167,30 @@ def current_timeline(
     return policies.accepted_timeline(bootstrap, updates, settings)
 
 
+MESSAGES = T.StructType([T.StructField("value", T.StringType())])
+
+
+def _commit_incidents(rows: DataFrame, out: str, job: str, name: str, batch_id: int, topic: tuple[str, str] | None) -> None:
+    """Incidents as a table and as JSON messages, and to a message topic ``(servers, topic)`` where one is named."""
+    rows = staged(rows, name)
+    messages = intake.to_json_rows(rows, INCIDENT_FIELDS)
+    commit_sinks(rows.sparkSession, out, job, batch_id, {name: rows, f"{name}_messages": messages})
+    if topic is not None:
+        write_topic(messages, *topic)
+    discard(rows)
+
+
+def incident_messages(spark: SparkSession, out: str) -> DataFrame:
+    """All incidents so far as one table of JSON messages ``value, batch_id``: those of sessions and of campaigns."""
+    return read_committed(spark, out, "sessions", "incidents_messages", MESSAGES).unionByName(
+        read_committed(spark, out, "campaigns", "campaigns_messages", MESSAGES))
+
+
 def start_session_incidents(
-    events: DataFrame, policies_at, out: str, settings: Settings = DEFAULTS, trigger: dict | None = None
+    events: DataFrame, policies_at, out: str, settings: Settings = DEFAULTS, trigger: dict | None = None,
+    topic: tuple[str, str] | None = None,
 ) -> StreamingQuery:
-    """Normalised stream to the ``incidents`` table below ``out``.
+    """Normalised stream to the ``incidents`` table and its JSON messages below ``out``.
 
     ``policies_at()`` gives the accepted policies as of the micro-batch (a small table that
     is read again each time), or None.  The state machine decides when a rule emits; the
@@ -181,19 +207,18 @@ def start_session_incidents(
     )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        staged = new_path(spark, "emitted")
-        batch.write.parquet(staged)
-        rows = spark.read.schema(SessionProcessor.OUTPUT).parquet(staged)
-        write_batch(incidents.incident_rows(rows, policies_at(), settings), f"{out}/incidents", batch_id)
+        rows = staged(batch, "emitted")
+        _commit_incidents(incidents.incident_rows(rows, policies_at(), settings), out, "sessions", "incidents", batch_id, topic)
+        discard(rows)
 
     return _start(emitted, handle, f"{out}/_checkpoints/sessions", "update", trigger, settings)
 
 
 def start_campaigns(
     events: DataFrame, out: str, settings: Settings = DEFAULTS, trigger: dict | None = None, embedder=None,
+    topic: tuple[str, str] | None = None,
 ) -> StreamingQuery:
-    """Normalised stream to the ``campaigns`` table below ``out``."""
+    """Normalised stream to the ``campaigns`` table and its JSON messages below ``out``."""
     use_rocksdb(events.sparkSession)
     found = campaigns.embedded_findings(events, settings.campaigns, embedder)
     keyed = found.withColumn("tenantId", F.coalesce(F.col("tenantId"), F.lit(campaigns.NO_VALUE)))
@@ -203,6 +228,30 @@ def start_campaigns(
     )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(campaigns.campaign_incidents(batch), f"{out}/campaigns", batch_id)
+        _commit_incidents(campaigns.campaign_incidents(batch), out, "campaigns", "campaigns", batch_id, topic)
 
     return _start(emitted, handle, f"{out}/_checkpoints/campaigns", "update", trigger, settings)
+
+
+def start_request_findings(
+    events: DataFrame, out: str, settings: Settings = DEFAULTS, trigger: dict | None = None,
+    before_ms: int = 2_000, after_ms: int = 30_000,
+) -> StreamingQuery:
+    """Pairs of a request and a finding of its session in ``[request - before, request + after]``, below ``out``.
+
+    The stream form of :func:`correlation.request_findings`: both sides have a watermark, twice the time that routing
+    lets a row lag, and keep rows until no partner can come any more, so state is bounded by that span.
+    """
+    use_rocksdb(events.sparkSession)
+    delay = f"{2 * (settings.late_tolerance_ms + settings.out_of_orderness_ms)} milliseconds"
+    asked, found = correlation.request_sides(events.withColumn("event_time", F.timestamp_millis("eventTimeMillis")))
+    asked = asked.withWatermark("requestTime", delay)
+    found = found.withWatermark("findingTime", delay).withColumnsRenamed({c: f"_{c}" for c in correlation.SESSION})
+    near = F.expr(f"findingTime >= requestTime - INTERVAL {before_ms} MILLISECOND AND findingTime <= requestTime + INTERVAL {after_ms} MILLISECOND")
+    same = reduce(lambda a, b: a & b, [asked[c] == found[f"_{c}"] for c in correlation.SESSION])
+    pairs = asked.join(found, same & near).select(*correlation.PAIR)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        commit_sinks(batch.sparkSession, out, "request_findings", batch_id, {"request_findings": batch})
+
+    return _start(pairs, handle, f"{out}/_checkpoints/request_findings", "append", trigger, settings)

@@ -22,7 +22,7 @@ def streamed(spark, tmp_path_factory):
         part = raw.where((F.col("seq") >= top * i // PIECES) & (F.col("seq") < top * (i + 1) // PIECES))
         part.coalesce(1).write.mode("append").parquet(f"{folder}/raw")
     out = f"{folder}/out"
-    source = read_raw_stream(spark, f"{folder}/raw", files_per_trigger=1)
+    source = read_raw_stream(spark, f"{folder}/raw", schema=raw.schema, files_per_trigger=1)
     query = jobs.start_intake(source, out, pipeline.settings)
     query.awaitTermination()
     assert query.lastProgress["batchId"] == PIECES - 1
@@ -65,7 +65,7 @@ def test_repeated_batch_replaces_its_output(spark, tmp_path):
 def test_aggregates_end_like_the_batch(spark, streamed):
     pipeline, out = streamed
     jobs.start_aggregates(stream(spark, pipeline, out), out, pipeline.settings).awaitTermination()
-    emissions = spark.read.parquet(f"{out}/aggregates").drop("batch_id")
+    emissions = spark.read.parquet(f"{out}/aggregates").select(*aggregates.AGGREGATE_FIELDS)
     final = aggregates.latest_aggregates(emissions)
     rounded = lambda df: df.withColumns({
         c: F.round(c, 9) for c in ("avgConfidence", "avgDetectorLatencyMs")
@@ -163,7 +163,65 @@ def test_old_partition_still_counts(spark, tmp_path):
     source = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
     settings = Settings()
     jobs.start_aggregates(source, f"{tmp_path}/out", settings).awaitTermination()
-    got = aggregates.latest_aggregates(spark.read.parquet(f"{tmp_path}/out/aggregates").drop("batch_id"))
+    got = aggregates.latest_aggregates(spark.read.parquet(f"{tmp_path}/out/aggregates").select(*aggregates.AGGREGATE_FIELDS))
     want = aggregates.aggregate_value_counts(aggregates.value_counts(whole, 60_000), settings.window_sizes_ms)
     rounded = lambda df: df.withColumn("avgConfidence", F.round("avgConfidence", 9))
     assert same(rounded(got), rounded(want)) == 4
+
+
+def test_readers_see_whole_batches_only(spark, tmp_path):
+    from railwatch.sources.streams import commit_sinks, committed, read_committed
+
+    out, frame = str(tmp_path), spark.range(3)
+    read = lambda name: read_committed(spark, out, "job", name, frame.schema)
+    assert committed(spark, out, "job") == [] and read("one").collect() == []
+    commit_sinks(spark, out, "job", 0, {"one": frame, "two": frame})
+    bad = frame.select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        commit_sinks(spark, out, "job", 1, {"one": frame, "two": bad})
+    assert committed(spark, out, "job") == [0] and read("one").count() == read("two").count() == 3
+    # The repeated batch replaces what the broken attempt left.
+    commit_sinks(spark, out, "job", 1, {"one": frame.limit(1), "two": frame})
+    assert sorted((r.id, r.batch_id) for r in read("one").collect()) == [(0, 0), (0, 1), (1, 0), (2, 0)]
+
+
+def test_quality_rows_follow_the_aggregates(spark, streamed, tmp_path):
+    pipeline, out = streamed
+    jobs.start_aggregates(stream(spark, pipeline, out), f"{tmp_path}/out", pipeline.settings, emitted_at=lambda: 5_000_000_000_000).awaitTermination()
+    quality = spark.read.parquet(f"{tmp_path}/out/quality")
+    assert quality.count() == spark.read.parquet(f"{tmp_path}/out/aggregates").count()
+    last = aggregates.latest_rows(quality, "batch_id").drop("batch_id")
+    want = aggregates.quality_metrics(aggregates.with_emit_latency(pipeline.aggregates, 5_000_000_000_000))
+    rounded = lambda df: df.withColumn("avgDetectorLatencyMs", F.round("avgDetectorLatencyMs", 9))
+    assert same(rounded(last), rounded(want)) > 500
+
+
+def test_all_incidents_are_one_output(spark, streamed, tmp_path):
+    pipeline, out = streamed
+    settings, folder = Settings(), f"{tmp_path}/out"
+    source = ordered_stream(spark, pipeline, out)
+    assert jobs.incident_messages(spark, folder).collect() == []
+    jobs.start_session_incidents(source, lambda: pipeline.timeline, folder, settings).awaitTermination()
+    jobs.start_campaigns(source, folder, settings).awaitTermination()
+    ids = jobs.incident_messages(spark, folder).select(F.get_json_object("value", "$.incidentId").alias("id"))
+    plain = Pipeline(spark, SF, settings)
+    assert same(ids, plain.all_incidents().select(F.col("incidentId").alias("id"))) > 20
+
+
+def test_request_findings_as_a_stream(spark, streamed, tmp_path):
+    from railwatch.operators.correlation import request_findings
+
+    pipeline, out = streamed
+    jobs.start_request_findings(stream(spark, pipeline, out), f"{tmp_path}/out", before_ms=60_000, after_ms=300_000).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out/request_findings").drop("batch_id")
+    assert same(got, request_findings(pipeline.events, 60_000, 300_000)) > 20
+
+
+def test_scratch_of_a_stream_is_removed(spark, streamed):
+    from railwatch.sources.staging import new_path
+
+    folder = new_path(spark, "x").rsplit("/", 1)[0]
+    import os
+
+    names = os.listdir(folder)
+    assert not [n for n in names if n.startswith(("intake-", "emitted-", "aggregates-"))]
