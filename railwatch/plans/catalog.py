@@ -485,6 +485,16 @@ def _(p: Pipeline) -> DataFrame:
     )))
 
 
+@query("incidents_per_session", emit_updates=True)
+def _(p: Pipeline) -> DataFrame:
+    return review.incidents_per_session(p.incidents())
+
+
+@query("incidents_by_session_version")
+def _(p: Pipeline) -> DataFrame:
+    return review.incidents_by_version(p.incidents(), ("agentId", "sessionId"))
+
+
 # --- streams ------------------------------------------------------------------------------
 # Each runs the stream over everything the source holds, then reads the table it wrote.
 
@@ -580,3 +590,12 @@ def _(p: Pipeline) -> DataFrame:
     source, out = _stream_pieces(p, p.events, "seq")
     jobs.start_request_findings(source, out, p.settings).awaitTermination()
     return p.spark.read.parquet(f"{out}/request_findings").drop("batch_id")
+
+
+@query("stream_affected_sessions")
+def _(p: Pipeline) -> DataFrame:
+    """The last count of every window after several micro-batches in order of arrival."""
+    source, out = _stream_pieces(p, p.events, "seq")
+    jobs.start_affected_sessions(source, out, 5 * MINUTE_MS, p.settings).awaitTermination()
+    rows = p.spark.read.parquet(f"{out}/affected_sessions")
+    return rows.groupBy("agentId", "windowStartMillis").agg(F.max_by("affectedSessions", "batch_id").alias("affectedSessions"))

@@ -719,6 +719,14 @@ FROM rates WINDOW w AS (PARTITION BY "guardrailName" ORDER BY "guardrailVersion"
 ORACLES["incidents_by_version"] = f"""{_R} {INCIDENTS}
 SELECT "agentId", "ruleName", v AS "guardrailVersion", count(*) AS incidents
 FROM (SELECT *, unnest(string_split("guardrailVersions", ',')) AS v FROM incidents) GROUP BY 1, 2, 3"""
+ORACLES["incidents_by_session_version"] = f"""{_R} {INCIDENTS}
+SELECT "agentId", "sessionId", "ruleName", v AS "guardrailVersion", count(*) AS incidents
+FROM (SELECT *, unnest(string_split("guardrailVersions", ',')) AS v FROM incidents) GROUP BY 1, 2, 3, 4"""
+ORACLES["incidents_per_session"] = f"""{_R} {UPDATES}
+SELECT "agentId", "sessionId", count(*) AS incidents, count(DISTINCT "ruleName") AS rules,
+  count(*) FILTER (WHERE severity = 'CRITICAL') AS critical, count(*) FILTER (WHERE severity = 'HIGH') AS high,
+  count(*) FILTER (WHERE severity = 'MEDIUM') AS medium, min("emittedAtEventTimeMillis") AS "firstIncidentMillis",
+  max("emittedAtEventTimeMillis") AS "lastIncidentMillis" FROM incidents GROUP BY 1, 2"""
 ORACLES["suppressed_incidents"] = f"""{_R} {UPDATES}, lagged AS (
   SELECT *, coalesce("emittedAtEventTimeMillis" - lag("emittedAtEventTimeMillis") OVER (
       PARTITION BY "agentId", "sessionId", "ruleName" ORDER BY "emittedAtEventTimeMillis", "emissionRevision",
@@ -751,6 +759,7 @@ SELECT 'TOXICITY' AS "guardrailName", *,
 
 # A finished stream has the result of the batch.
 ORACLES["stream_intake"] = ORACLES["on_time_events"]
+ORACLES["stream_affected_sessions"] = ORACLES["affected_sessions"]
 ORACLES["stream_quality"] = ORACLES["guardrail_quality"]
 ORACLES["stream_request_findings"] = ORACLES["request_findings"]
 ORACLES["stream_incident_messages"] = f"""{_R} {INCIDENTS}

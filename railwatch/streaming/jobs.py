@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from railwatch.operators import aggregates, campaigns, correlation, incidents, intake, policies
+from railwatch.operators import aggregates, campaigns, correlation, incidents, intake, policies, review
 from railwatch.operators.aggregates import AGGREGATE_KEY, WINDOW_KEY
 from railwatch.settings import DEFAULTS, MINUTE_MS, Settings
 from railwatch.schemas import INCIDENT_FIELDS
@@ -255,3 +255,28 @@ def start_request_findings(
         commit_sinks(batch.sparkSession, out, "request_findings", batch_id, {"request_findings": batch})
 
     return _start(pairs, handle, f"{out}/_checkpoints/request_findings", "append", trigger, settings)
+
+
+def start_affected_sessions(
+    events: DataFrame, out: str, size_ms: int, settings: Settings = DEFAULTS, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Distinct sessions with a triggered finding per agent and window, below ``out``.
+
+    Sessions of a window come in many micro-batches, so each adds a mergeable sketch, in folders by the hour of the
+    window, and re-emits the windows it touched from all sketches of their hours.
+    """
+    table = f"{out}/session_sketches"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        delta = review.affected_sketches(batch, size_ms).withColumn("hour", F.floor(F.col("windowStartMillis") / HOUR_MS).cast("long"))
+        delta.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("hour", "batch_id").parquet(table)
+        known = spark.read.schema(T.StructType([*delta.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(table)
+        fresh = known.where(F.col("batch_id") == batch_id).select("agentId", "windowStartMillis", "hour")
+        hours = [r["hour"] for r in fresh.select("hour").distinct().collect()]
+        near = known.where((F.col("batch_id") <= batch_id) & F.col("hour").isin(hours))
+        touched = near.join(fresh.drop("hour"), ["agentId", "windowStartMillis"], "left_semi")
+        commit_sinks(spark, out, "affected_sessions", batch_id, {"affected_sessions": review.merged_sketches(touched)})
+
+    return _start(events, handle, f"{out}/_checkpoints/affected_sessions", "append", trigger, settings)

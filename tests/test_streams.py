@@ -225,3 +225,22 @@ def test_scratch_of_a_stream_is_removed(spark, streamed):
 
     names = os.listdir(folder)
     assert not [n for n in names if n.startswith(("intake-", "emitted-", "aggregates-"))]
+
+
+def test_affected_sessions_as_mergeable_sketches(spark, tmp_path):
+    """Exact for some hundred sessions, within a few per cent for many, whatever the micro-batches."""
+    from tests.rows import events, finding
+
+    rows = [finding(i, i % 250_000, confidence=0.9, triggered=i % 3 > 0, sessionId=f"s{i * 7 % 90}", agentId="few") for i in range(600)]
+    rows += [finding(1_000 + i, i, confidence=0.9, sessionId=f"m{i % 3_000}", agentId="many") for i in range(6_000)]
+    rows += [finding(9_000, 0, confidence=0.1, triggered=False, agentId="none")]
+    for k in range(3):
+        events(spark, rows[k::3]).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    schema = spark.read.parquet(f"{tmp_path}/in").schema
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    jobs.start_affected_sessions(source, f"{tmp_path}/out", 600_000).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out/affected_sessions")
+    assert got.select("batch_id").distinct().count() == 3
+    last = {r.agentId: r.n for r in got.groupBy("agentId").agg(F.max_by("affectedSessions", "batch_id").alias("n")).collect()}
+    exact = len({r["sessionId"] for r in rows if r["agentId"] == "few" and r["triggered"]})
+    assert last["few"] == exact and last["none"] == 0 and abs(last["many"] - 3_000) < 150
