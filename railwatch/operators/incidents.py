@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from railwatch.functions import non_blank
 from railwatch.operators.intake import triggered
 from railwatch.operators.policies import attach_policy, thresholds
+from railwatch.operators.scan import running
 from railwatch.schemas import (
     BURST_RULE, INCIDENT_FIELDS, LEAK_RULE, LEAKAGE, LOOP_RULE, LOOPING, MIXED_RULE,
     POLICY, PROMPT_INJECTION, SESSION_RULES, TOXIC_RULE, TOXICITY,
@@ -211,21 +212,40 @@ def emissions(state: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     return emitted.withColumn("rule_rank", rank[F.col("ruleName")])
 
 
-def first_seen_lists(state: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Per epoch, the distinct values of four columns in first-seen order, with their rank.
-
-    The order key is ``n_all``, the place of a finding in its epoch.  Request ids are cut if
-    the settings limit them (later ids are then never recorded); the other lists are complete.
-    """
+def _first_seen(state: DataFrame) -> DataFrame:
+    """``kind, value, at`` for every distinct value of four columns of an epoch: the place of its first finding."""
     values = F.explode(F.array(*[
         F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in _LISTS.values()
     ]))
-    seen = (
+    return (
         state.select(*SESSION, "epoch", "n_all", values.alias("v"))
         .where(non_blank(F.col("v.value")))
         .groupBy(*SESSION, "epoch", F.col("v.kind").alias("kind"), F.col("v.value").alias("value"))
         .agg(F.min("n_all").alias("at"))
     )
+
+
+def incident_members(state: DataFrame) -> DataFrame:
+    """What the incidents of a session lifetime name, as rows in first-seen order.
+
+    ``kind, value, firstFinding, rank``: an incident that counts ``triggeredFindingsCount`` findings names the values
+    with ``firstFinding`` up to that, so members are written once however many incidents and revisions name them, and
+    no row grows with a session.  Ranks are prefix counts of blocks.  With ``list_members`` off in the settings incidents
+    have no lists beside this table.
+    """
+    ranked = running(
+        _first_seen(state).withColumn("__one", F.lit(1)), "at", {"rank": ("sum", "__one")}, (*SESSION, "epoch", "kind"),
+    )
+    return ranked.select(*SESSION, "epoch", "kind", "value", F.col("at").alias("firstFinding"), "rank")
+
+
+def first_seen_lists(state: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Per epoch, the distinct values of four columns in first-seen order, with their rank.
+
+    The order key is ``n_all``, the place of a finding in its epoch.  Request ids are cut if
+    the settings limit them (later ids are then never recorded); the other lists are complete.
+    """
+    seen = _first_seen(state)
     kept = seen if settings.max_request_ids is None else _first_ids(seen, settings.max_request_ids)
     item = F.struct("at", "value")
     return kept.groupBy(*SESSION, "epoch").agg(*[
@@ -296,6 +316,9 @@ def session_incidents(
     if emitted is None:
         emitted = emissions(state, settings)
     emitted = emitted.where(F.col("ruleName").isin(*rules))
+    if not settings.list_members:
+        none = F.array().cast("array<string>")
+        return incident_rows(emitted.select(*EMITTED_FIELDS, *[none.alias(out) for out in _LISTS]), timeline, settings)
     lists = first_seen_lists(state, settings)
     listed = {
         out: F.transform(

@@ -231,6 +231,11 @@ def _(p: Pipeline) -> DataFrame:
     return flat(p.incidents())
 
 
+@query("incident_members")
+def _(p: Pipeline) -> DataFrame:
+    return incidents.incident_members(p.session_state)
+
+
 @query("open_sessions")
 def _(p: Pipeline) -> DataFrame:
     as_of = F.lit(T0_MILLIS + 175 * MINUTE_MS).cast("long")

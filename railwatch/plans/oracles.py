@@ -719,6 +719,13 @@ FROM rates WINDOW w AS (PARTITION BY "guardrailName" ORDER BY "guardrailVersion"
 ORACLES["incidents_by_version"] = f"""{_R} {INCIDENTS}
 SELECT "agentId", "ruleName", v AS "guardrailVersion", count(*) AS incidents
 FROM (SELECT *, unnest(string_split("guardrailVersions", ',')) AS v FROM incidents) GROUP BY 1, 2, 3"""
+ORACLES["incident_members"] = f"""WITH {STATE}, spelled AS (
+  SELECT "agentId", "sessionId", epoch, n_all, unnest(['requestId', 'guardrailName', 'guardrailVersion', 'policyVersion']) AS kind,
+    unnest(["requestId", "guardrailName", "guardrailVersion", "policyVersion"]) AS value FROM state
+), named AS (
+  SELECT "agentId", "sessionId", epoch, kind, value, min(n_all) AS "firstFinding" FROM spelled WHERE trim(value) <> '' GROUP BY ALL
+)
+SELECT *, row_number() OVER (PARTITION BY "agentId", "sessionId", epoch, kind ORDER BY "firstFinding") AS rank FROM named"""
 ORACLES["incidents_by_session_version"] = f"""{_R} {INCIDENTS}
 SELECT "agentId", "sessionId", "ruleName", v AS "guardrailVersion", count(*) AS incidents
 FROM (SELECT *, unnest(string_split("guardrailVersions", ',')) AS v FROM incidents) GROUP BY 1, 2, 3, 4"""

@@ -71,6 +71,7 @@ class Settings:
     emit_updates: bool = False
     session_timeout_ms: int = 30 * MINUTE_MS
     max_request_ids: int | None = None  # of an incident; None lists all
+    list_members: bool = True  # False: incidents have no lists, their members are rows of a table
     state_idle_ms: int = 24 * 60 * MINUTE_MS  # wall-clock time after which a silent key's state is freed
     injection_burst_min: int = 3
     toxicity_campaign_min: int = 3

@@ -197,3 +197,27 @@ def test_random_sessions_equal_a_sequential_loop(spark, settings):
         for r in run(spark, rows, settings)
     )
     assert got == simulate(rows, settings)
+
+
+def test_members_as_rows_say_what_the_lists_say(spark):
+    from railwatch.operators import incidents as I
+    from railwatch.settings import Settings
+    from tests.rows import events, finding
+
+    rows = [finding(i, i * 1_000, confidence=0.9, requestId=f"r{i % 7}", policyVersion=f"p{i // 9}", sessionId=f"s{i % 2}") for i in range(40)]
+    rows += [finding(90, 7_200_000, confidence=0.9, requestId="r1", sessionId="s0")] * 1
+    table, settings = events(spark, rows), Settings(emit_updates=True)
+    state = I.session_state(table, settings)
+    members = {}
+    for r in sorted(I.incident_members(state).collect(), key=lambda r: r["rank"]):
+        members.setdefault((r.sessionId, r.epoch, r.kind), []).append((r.firstFinding, r.value))
+        assert r["rank"] == len(members[r.sessionId, r.epoch, r.kind])
+    found = I.session_incidents(table, None, settings).collect()
+    assert len(found) > 20
+    for r in found:
+        listed = [v for at, v in members[r.sessionId, 0, "requestId"] if at <= r.triggeredFindingsCount]
+        assert r.requestIds == listed
+        assert r.policyVersions == [v for at, v in members[r.sessionId, 0, "policyVersion"] if at <= r.triggeredFindingsCount]
+    bare = I.session_incidents(table, None, Settings(emit_updates=True, list_members=False)).collect()
+    assert {(r.incidentId, r.emissionRevision, r.summary) for r in bare} == {(r.incidentId, r.emissionRevision, r.summary) for r in found}
+    assert all(r.requestIds == [] for r in bare)
