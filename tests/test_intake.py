@@ -151,3 +151,31 @@ def test_only_strict_json_is_an_event(spark):
     nan = json.dumps({**FINDING, "confidence": 0.5}).replace("0.5", "NaN")
     raw = spark.createDataFrame([(single, "t", 0, 1), (nan, "t", 0, 2)], "value string, source string, partition int, seq long")
     assert [r.reason_code for r in intake.parse(raw).collect()] == ["PARSE_ERROR", "PARSE_ERROR"]
+
+
+def test_events_without_evidence_are_not_dealt_to_one_task(spark):
+    """Only errors have a conversation; the other rows have no key to be joined by."""
+    from pyspark.sql import functions as F
+
+    from railwatch.sources.tables import raw_events
+
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("error", "view", "click", "purchase")]), (F.col("id") % 5 + 1).cast("int"))
+    events = spark.range(0, 5_000, numPartitions=8).select(
+        F.col("id").alias("event_id"), F.timestamp_millis(F.lit(1_704_067_200_000) + F.col("id")).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 7).alias("user_id"), F.when(F.col("id") % 5 < 4, kind).alias("event_type"), F.lit(1.5).alias("value"), F.lit('{"k": 1}').alias("props"))
+    turns = spark.range(30).select(
+        F.floor(F.col("id") / 3).alias("conv_id"), (F.col("id") % 3).alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("text "), "id").alias("text"))
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        raw = raw_events(events, turns)
+        tasks = raw.groupBy(F.spark_partition_id()).count().collect()
+        texts = {r.seq: json.loads(r.value).get("evidenceSnippet") for r in raw.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(r["count"] for r in tasks) < 1_500
+    assert len(texts) == 5_000
+    assert all(text == (f"text {i // 128 % 10 * 3 + i % 3}" if i % 5 == 0 else None) for i, text in texts.items())
