@@ -244,3 +244,24 @@ def test_affected_sessions_as_mergeable_sketches(spark, tmp_path):
     last = {r.agentId: r.n for r in got.groupBy("agentId").agg(F.max_by("affectedSessions", "batch_id").alias("n")).collect()}
     exact = len({r["sessionId"] for r in rows if r["agentId"] == "few" and r["triggered"]})
     assert last["few"] == exact and last["none"] == 0 and abs(last["many"] - 3_000) < 150
+
+
+def test_pieces_of_a_stream_are_written_by_many_tasks(spark):
+    """Each micro-batch is one range of the rows in order, and no task writes or reads a whole piece."""
+    from types import SimpleNamespace
+
+    from railwatch.plans.catalog import _stream_pieces
+
+    rows, seen = spark.range(0, 8_000, numPartitions=8).withColumn("v", F.lit("x")), []
+
+    def start(source, out):
+        def handle(batch, batch_id):
+            a = batch.agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).first()
+            files = batch.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+            seen.append((a.n, a.low, a.high, files))
+
+        return source.writeStream.foreachBatch(handle).option("checkpointLocation", f"{out}/c").trigger(availableNow=True).start()
+
+    _stream_pieces(SimpleNamespace(spark=spark), rows, "id", start)
+    assert [s[:3] for s in seen] == [(2_000, 2_000 * i, 2_000 * i + 1_999) for i in range(4)]
+    assert max(s[3] for s in seen) <= 1_000
