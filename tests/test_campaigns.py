@@ -196,3 +196,26 @@ def test_nothing_is_cut(spark):
     assert len(last.evidenceSnippets[0]) > 1_000
     counters, = C.campaign_counters(scanned).collect()
     assert (counters.embedded, counters.evicted, counters.overflow) == (210, 0, 0)
+
+
+def test_revisions_carry_their_lists_though_the_scan_tells_changes_only(spark, monkeypatch):
+    """A scan gives out one request a row; blocks of revisions get the whole lists by a join."""
+    monkeypatch.setattr(C, "BLOCK", 16)
+    rows = [evidence(i, i, EVIDENCE[i % 3], f"s{i % 9}", requestId=f"r{i:03d}", tenantId=[None, "t"][i % 2]) for i in range(120)]
+    # The same request opens a second cluster after the first one has died.
+    rows += [evidence(500 + i, 900_000 + i, EVIDENCE[0], f"z{i % 2}", requestId=f"r{i:03d}", tenantId=None) for i in range(6)]
+    settings = Settings(emit_updates=True, campaigns=replace(DEFAULT, max_request_ids_per_incident=50))
+    scanned = scan(spark, rows, settings)
+    assert max(len(r.requestIds or []) for r in scanned.collect()) == 1
+    got = {(r.tenantId, r.emittedAtEventTimeMillis): r for r in C.campaign_incidents(scanned).collect()}
+    assert len(got) == C.campaign_incidents(scanned).count() == 2 * 58 + 4
+    for tenant in (None, "t"):
+        mine = [r for r in rows if r["tenantId"] == tenant and r["seq"] < 500]
+        for n in range(3, 61):
+            r = got[tenant, mine[n - 1]["eventTimeMillis"]]
+            assert r.requestIds == [x["requestId"] for x in mine[:n]][:50]
+            assert r.sessionIds == list(dict.fromkeys(x["sessionId"] for x in mine[:n]))
+            assert r.evidenceSnippets == list(dict.fromkeys(x["evidenceSnippet"] for x in mine[:n]))
+            assert (r.triggeredFindingsCount, r.emissionRevision) == (n, n - 2)
+    last = got[None, rows[-1]["eventTimeMillis"]]
+    assert last.requestIds == [f"r{i:03d}" for i in range(6)] and last.sessionIds == ["z0", "z1"]
