@@ -58,3 +58,13 @@ def test_raw_findings_use_a_hash_aggregate(pipeline):
 def test_ordered_patterns_read_and_shuffle_once(spark, name):
     text = plan(QUERIES[name](spark, SF))
     assert text.count("Scan parquet") == 1 and text.count("Exchange hashpartitioning") == 1
+
+
+def test_session_scans_move_and_stage_little(pipeline, spark):
+    """Copies of findings that only count carry no texts, and staged tables are written with the tighter codec."""
+    from railwatch.sources.staging import staged
+
+    text = plan(incidents.session_state(pipeline.events))
+    assert re.search(r"CASE WHEN \(own#\d+ = 1\) THEN requestId", text)
+    written = staged(spark.range(1_000).selectExpr("id", "md5(string(id)) AS text"), "codec")
+    assert written.inputFiles() and all(f.endswith(".zstd.parquet") for f in written.inputFiles())
