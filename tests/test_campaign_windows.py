@@ -1,11 +1,13 @@
 import random
+import tracemalloc
 from collections import defaultdict
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from railwatch.functions.embedding import hash_vector
+from railwatch.functions.embedding import hash_embedding, hash_vector, list_array
 from railwatch.operators import campaign_windows as W
 from railwatch.settings import DEFAULTS, CampaignWindowSettings
 from tests.rows import BASE, events, finding
@@ -107,3 +109,32 @@ def test_the_window_of_a_busy_agent_is_spread(spark):
 def test_unknown_mode():
     with pytest.raises(ValueError):
         CampaignWindowSettings(mode="BOTH")
+
+
+def peak_of(action):
+    tracemalloc.start()
+    try:
+        return action(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_vector_functions_hold_one_copy_of_a_batch(spark):
+    rng = np.random.default_rng(5)
+    matrix = rng.normal(size=(8_192, 384)).astype(np.float32)
+    codes, peak = peak_of(lambda: W._cells(6, 8).func(list_array(matrix)))
+    signs = (np.round(matrix.astype(np.float64) @ W.projections(48, 384).T, 4) >= 0).reshape(len(matrix), 6, 8)
+    assert codes.to_pylist() == (signs * (1 << np.arange(8))).sum(axis=2).tolist()
+    assert peak < matrix.nbytes
+    texts = [f"word{i % 3_000} other{i % 7}" if i % 11 else None for i in range(8_000)]
+    vectors, peak = peak_of(lambda: hash_embedding().func(pa.array(texts)))
+    assert peak < 2 * len(texts) * 384 * 4
+    assert vectors.is_null().to_pylist() == [t is None for t in texts]
+    for i in (1, 2, 3_001, 7_999):
+        assert vectors[i].as_py() == hash_vector(texts[i]).tolist()
+
+
+@pytest.mark.parametrize("rows", [[[1.0, 2.0], None], [[1.0, 2.0], [1.0, 2.0, 3.0, 4.0], [1.0, 2.0, 3.0]]])
+def test_cells_need_whole_vectors(spark, rows):
+    with pytest.raises(ValueError):
+        W._cells(2, 3).func(pa.array(rows, pa.list_(pa.float32())))
