@@ -1,11 +1,18 @@
+import json
+import random
+import time
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from railwatch.operators import aggregates, campaigns, incidents, intake
 from railwatch.plans.pipeline import Pipeline, flat
 from railwatch.settings import Settings
+from railwatch.sources.staging import new_path
 from railwatch.sources.streams import read_raw_stream
 from railwatch.streaming import jobs
+from railwatch.streaming.state import Recent, SessionProcessor
 
 SF = "/root/testdata/sf0.001"
 PIECES = 4
@@ -265,3 +272,73 @@ def test_pieces_of_a_stream_are_written_by_many_tasks(spark):
     _stream_pieces(SimpleNamespace(spark=spark), rows, "id", start)
     assert [s[:3] for s in seen] == [(2_000, 2_000 * i, 2_000 * i + 1_999) for i in range(4)]
     assert max(s[3] for s in seen) <= 1_000
+
+
+def test_the_columns_of_a_stream_need_no_batch_run(spark, monkeypatch):
+    """The stream of normalised events takes its schema from the plan; the batch intake is not run beside the stream's own."""
+    from railwatch.plans import catalog
+
+    types = lambda schema: [(f.name, f.dataType) for f in schema]
+    assert types(Pipeline(spark, SF).events.schema) == types(Pipeline(spark, SF).events_schema)
+    monkeypatch.setattr("railwatch.plans.pipeline.staged_once", lambda *_: pytest.fail("a batch step was run"))
+    out = f"{new_path(spark, 'schema')}"
+    spark.range(0).write.parquet(f"{out}/normalized")
+    assert "event_time" in catalog._normalized_stream(Pipeline(spark, SF), out).columns
+
+
+class _Kept:
+    """Value state of one key."""
+
+    def __init__(self):
+        self.value = None
+
+    def getValueState(self, *_):  # noqa: N802
+        return self
+
+    def get(self):
+        return self.value
+
+    def exists(self):
+        return self.value is not None
+
+    def update(self, value):
+        self.value = value
+
+
+def _session_rows(processor, rows):
+    frames = processor.handleInputRows(("a", "s"), iter([pd.DataFrame(rows)]), None)
+    return [row for frame in frames for row in frame.to_dict("records")]
+
+
+def _row(t, seq, name="PROMPT_INJECTION", confidence=0.5):
+    return {"t": t, "seq": seq, "tenantId": "x", "requestId": f"r{seq}", "guardrailName": name, "guardrailVersion": "v",
+            "policyVersion": "p", "confidence": confidence}
+
+
+def test_a_dense_session_costs_the_same_per_row():
+    """20,000 injections inside the look-back: each row was compared with all before it."""
+    processor = SessionProcessor(Settings())
+    processor.init(_Kept())
+    start = time.process_time()
+    found = _session_rows(processor, [_row(i * 10, i, confidence=i % 97 / 100) for i in range(20_000)] + [_row(199_999, 20_000, "TOXICITY")])
+    assert time.process_time() - start < 15
+    assert [(r["ruleName"], r["win_pi"], r["winmax_pi"]) for r in found] == [("PROMPT_INJECTION_BURST", 3, 0.02), ("PI_AND_TOXIC", 20_000, 0.96)]
+    assert len(found[1]["requestIds"]) == 20_001
+
+
+def test_the_look_back_counts_rows_in_any_order():
+    rng = random.Random(3)
+    recent, plain, newest = Recent({}), {}, 0
+    for _ in range(3_000):
+        newest = max(newest, newest + rng.randrange(-3, 4))
+        at, top = newest - rng.choice((0, 0, 0, 1, 5, 9)), rng.randrange(100) / 100
+        count, most = plain.get(at, (0, -1.0))
+        plain[at] = (count + 1, max(most, top))
+        recent.add(at, top)
+        plain = {a: v for a, v in plain.items() if a >= newest - 20}
+        recent.expire(newest - 20)
+        for high in (newest, at):
+            fits = [v for a, v in plain.items() if high - 20 <= a <= high]
+            assert recent.between(high - 20, high) == (sum(c for c, _ in fits), max((m for _, m in fits), default=-1.0))
+        if rng.random() < 0.05:
+            recent = Recent(json.loads(json.dumps(recent.saved())))
