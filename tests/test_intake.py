@@ -1,5 +1,8 @@
 import json
 import random
+from collections import Counter
+
+import pytest
 
 from railwatch.operators import intake
 from railwatch.operators.scan import running
@@ -179,3 +182,32 @@ def test_events_without_evidence_are_not_dealt_to_one_task(spark):
     assert max(r["count"] for r in tasks) < 1_500
     assert len(texts) == 5_000
     assert all(text == (f"text {i // 128 % 10 * 3 + i % 3}" if i % 5 == 0 else None) for i, text in texts.items())
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_events_of_one_row_group_are_parsed_by_all_tasks(spark, tmp_path, threshold):
+    """A task reads a whole row group; what is built from its rows must not stay there, whether conversations are broadcast or not."""
+    from pyspark.sql import functions as F
+
+    from railwatch.sources.tables import raw_events
+
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("error", "view", "click", "purchase")]), (F.col("id") % 4 + 1).cast("int"))
+    spark.range(0, 20_000, numPartitions=1).select(
+        F.when(F.col("id") >= 2_000, F.col("id")).alias("event_id"),
+        F.timestamp_millis(F.lit(1_704_067_200_000) + F.col("id")).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 7).alias("user_id"), kind.alias("event_type"), F.lit(1.5).alias("value"), F.lit('{"k": 1}').alias("props"),
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    turns = spark.range(30).select(
+        F.floor(F.col("id") / 3).alias("conv_id"), (F.col("id") % 3).alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("text "), "id").alias("text"))
+    changed = {"spark.sql.autoBroadcastJoinThreshold": threshold, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        parsed = intake.parse(raw_events(spark.read.parquet(f"{tmp_path}/events.parquet"), turns)).select("seq", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tasks = Counter(r.task for r in parsed)
+    assert len(parsed) == 20_000 and sum(r.seq is None for r in parsed) == 2_000
+    assert max(tasks.values()) < 7_500
