@@ -219,3 +219,32 @@ def test_revisions_carry_their_lists_though_the_scan_tells_changes_only(spark, m
             assert (r.triggeredFindingsCount, r.emissionRevision) == (n, n - 2)
     last = got[None, rows[-1]["eventTimeMillis"]]
     assert last.requestIds == [f"r{i:03d}" for i in range(6)] and last.sessionIds == ["z0", "z1"]
+
+
+def test_revisions_of_long_rows_are_not_held_together(spark, monkeypatch):
+    """The lists of all blocks went to every task and a writer held a hundred rows before it looked at their bytes."""
+    monkeypatch.setattr(C, "BLOCK", 16)
+    rows = [evidence(i, i, f"{EVIDENCE[i % 3]} w{i}", f"s{i % 9}") for i in range(60)]
+    scanned = scan(spark, rows, Settings(emit_updates=True))
+    listed = C.campaign_incidents(scanned)
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "REPARTITION_BY_NUM" in plan
+    got = {r.triggeredFindingsCount: r.requestIds for r in listed.collect()}
+    assert got == {n: [f"req-{i}" for i in range(n)] for n in range(3, 61)}
+    assert int(spark.conf.get("parquet.page.size.row.check.min")) == 1
+    assert int(spark.conf.get("parquet.page.size.row.check.max")) <= 4
+
+
+def test_the_bytes_of_long_rows_end_a_page(spark, tmp_path):
+    """Short rows in front of long ones: the estimate from the former lets no more than a few of the latter into a page."""
+    import pyarrow.parquet as pq
+
+    from railwatch.sources.staging import write_long_rows
+
+    write_long_rows(spark)
+    text = F.when(F.col("id") < 100, F.lit("x")).otherwise(F.concat(F.col("id").cast("string"), F.repeat(F.lit("y"), 400_000)))
+    spark.range(0, 160, numPartitions=1).select(text.alias("v")).write.option("compression", "none").option(
+        "parquet.block.size", 1 << 20).parquet(f"{tmp_path}/t")
+    file, = tmp_path.glob("t/*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    assert meta.num_rows == 160 and max(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)) < 4_000_000
